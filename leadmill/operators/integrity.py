@@ -89,13 +89,13 @@ def audit_scored(scored: DataFrame) -> DataFrame:
 
 
 def repeated(rows: DataFrame, key: str) -> DataFrame:
-    """Non-null keys held by more than one row, with the number of rows."""
-    return (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("copies"))
-        .where("copies > 1")
-    )
+    """Non-null keys held by more than one row, with the number of rows.
+
+    Counting the key leaves the null group at zero. A null test would be pushed
+    down and make Spark compute a derived key twice.
+    """
+    counts = rows.groupBy(key).agg(F.count(key).alias("copies"))
+    return counts.where("copies > 1")
 
 
 def orphans(child: DataFrame, parent: DataFrame, parent_key: str) -> DataFrame:

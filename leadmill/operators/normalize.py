@@ -117,6 +117,22 @@ def _group_key() -> Column:
     return F.coalesce("dedup_hash", F.concat(F.lit("#"), "raw_record_id"))
 
 
+def _hashes(existing: DataFrame) -> DataFrame:
+    return existing.where(F.col("dedup_hash").isNotNull()).select(
+        F.col("dedup_hash").alias("group_key")
+    )
+
+
+def _with_known(groups: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Mark the groups whose hash ``existing`` holds."""
+    if existing is None:
+        return groups.withColumn("known", F.lit(False))
+    marked = _hashes(existing).withColumn("seen_before", F.lit(True))
+    joined = groups.join(marked, "group_key", "left")
+    known = F.coalesce("seen_before", F.lit(False))
+    return joined.withColumn("known", known).drop("seen_before")
+
+
 def first_of_each(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The first row of each duplicate group; rows without a hash all stay.
 
@@ -129,10 +145,7 @@ def first_of_each(rows: DataFrame, existing: DataFrame | None = None) -> DataFra
         F.min_by(F.struct(*rows.columns), F.struct(*ORDER)).alias("first")
     )
     if existing is not None:
-        known = existing.where(F.col("dedup_hash").isNotNull()).select(
-            F.col("dedup_hash").alias("group_key")
-        )
-        firsts = firsts.join(known, "group_key", "left_anti")
+        firsts = firsts.join(_hashes(existing), "group_key", "left_anti")
     return firsts.select("first.*")
 
 
@@ -150,25 +163,16 @@ def tag_duplicates(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
     ``dup_existing``: the hash was there before this run; ``dup_in_run``: an
     earlier row of this run has it; ``kept``: neither.
     """
-    hashed = rows.where(F.col("dedup_hash").isNotNull())
-    groups = hashed.groupBy("dedup_hash").agg(
+    # Rows without a hash share one group that is never contested. A null test
+    # instead would be pushed down and make Spark compute the hash twice.
+    groups = rows.groupBy(F.coalesce("dedup_hash", F.lit("")).alias("group_key")).agg(
         F.min(F.struct(*ORDER, "raw_record_id")).alias("first"),
-        F.count("*").alias("copies"),
+        F.count("dedup_hash").alias("copies"),
     )
-    if existing is None:
-        groups = groups.withColumn("known", F.lit(False))
-    else:
-        known = existing.where(F.col("dedup_hash").isNotNull()).select(
-            "dedup_hash", F.lit(True).alias("seen")
-        )
-        groups = groups.join(known, "dedup_hash", "left").select(
-            "dedup_hash", "first", "copies", F.coalesce("seen", F.lit(False)).alias("known")
-        )
+    groups = _with_known(groups, existing)
     contested = groups.where("copies > 1 OR known").select(
-        F.col("dedup_hash").alias("group_key"),
-        F.struct(
-            F.col("first.raw_record_id").alias("winner"), "known"
-        ).alias("verdict"),
+        "group_key",
+        F.struct(F.col("first.raw_record_id").alias("winner"), "known").alias("verdict"),
         "copies",
     )
     hot = (
@@ -211,15 +215,9 @@ def run_summary(
     groups = rows.groupBy(_group_key().alias("group_key")).agg(
         F.count("*").alias("seen")
     )
-    if existing is None:
-        groups = groups.withColumn("known", F.lit(False))
-    else:
-        known = existing.where(F.col("dedup_hash").isNotNull()).select(
-            F.col("dedup_hash").alias("group_key"), F.lit(True).alias("known")
-        )
-        groups = groups.join(known, "group_key", "left")
+    groups = _with_known(groups, existing)
     counted = groups.agg(
-        F.count_if(~F.coalesce("known", F.lit(False))).alias("processed"),
+        F.count_if(~F.col("known")).alias("processed"),
         F.coalesce(F.sum("seen"), F.lit(0)).alias("seen"),
         F.lit(0).cast("bigint").alias("unknown"),
     ).unionByName(

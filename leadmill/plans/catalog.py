@@ -116,7 +116,9 @@ def s1_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings written as CSV files and read back as text cells."""
     path = f"{store_in(spark).root}/csv"
     listings = claims.order_listings(spark, sf_dir).select(*claims.LISTING_CELLS)
-    listings.write.option("header", True).option("escape", '"').csv(path)
+    writer = listings.write.option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(path)
     cells = read_csv_source(spark, path).select(*claims.LISTING_CELLS)
     return cells.na.fill("")
 

@@ -28,6 +28,8 @@ def read_csv_source(
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("multiLine", multi_line)
         .option("encoding", encoding)
     )

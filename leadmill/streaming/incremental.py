@@ -31,6 +31,8 @@ def csv_stream(
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("multiLine", True)
         .option("encoding", encoding)
         .option("maxFilesPerTrigger", files_per_step)

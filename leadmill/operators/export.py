@@ -56,15 +56,15 @@ def crm_fields() -> list[Column]:
     ]
 
 
-def number_by_score(leads: DataFrame) -> DataFrame:
+def number_by_score(leads: DataFrame, digits: int | None = None) -> DataFrame:
     """Add ``position``: 1 for the best score, ties by id, without gaps.
 
     No window runs over all rows. Leads are sliced by score and id prefix; a
     small table of slice counts gives each slice its start, and a window inside
     the slice the rest. Slices follow from values alone, so a lost task that is
-    run again numbers its rows the same.
+    run again numbers its rows the same. More ``digits`` make more, smaller slices.
     """
-    sliced = leads.withColumn("slice", F.substring("id", 1, SLICE_DIGITS))
+    sliced = leads.withColumn("slice", F.substring("id", 1, digits or SLICE_DIGITS))
     counts = sliced.groupBy("score", "slice").agg(F.count("*").alias("leads_in"))
 
     earlier_slices = (

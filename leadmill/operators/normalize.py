@@ -35,6 +35,10 @@ ORDER = ("ingested_at", "origin", "ingest_seq")
 # by shuffle.
 HOT_GROUPS = 4096
 
+# Rows up to which hashes are broadcast: 65 characters each, some 60 MB at most.
+# Hashes that are stored are unique, so those found among them are no more.
+FEW_ROWS = 500_000
+
 
 def not_yet_normalized(raw: DataFrame, normalized: DataFrame) -> DataFrame:
     """Raw rows without a normalized child.
@@ -133,28 +137,39 @@ def _with_known(groups: DataFrame, existing: DataFrame | None) -> DataFrame:
     return joined.withColumn("known", known).drop("seen_before")
 
 
-def first_of_each(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def first_of_each(
+    rows: DataFrame, existing: DataFrame | None = None, few: bool = False
+) -> DataFrame:
     """The first row of each duplicate group; rows without a hash all stay.
 
     ``min_by`` combines before the shuffle, so a hash shared by a large part of
     the input arrives as one row per task. With ``existing`` given, hashes it
-    already holds are dropped too; that join reuses the aggregate's partitioning
-    and reads a single column of ``existing``.
+    already holds are dropped too, in one of two ways. Usually the join reuses the
+    aggregate's partitioning and shuffles a single column of ``existing``. With
+    ``few`` set, for at most ``FEW_ROWS`` rows, their hashes are broadcast and
+    ``existing``, however large, is only scanned; the rows are computed twice.
     """
     firsts = rows.groupBy(_group_key().alias("group_key")).agg(
         F.min_by(F.struct(*rows.columns), F.struct(*ORDER)).alias("first")
     )
     if existing is not None:
-        firsts = firsts.join(_hashes(existing), "group_key", "left_anti")
+        known = _hashes(existing)
+        if few:
+            probes = rows.select(_group_key().alias("group_key"))
+            known = F.broadcast(known.join(F.broadcast(probes), "group_key", "left_semi"))
+        firsts = firsts.join(known, "group_key", "left_anti")
     return firsts.select("first.*")
 
 
 def normalize(
-    raw: DataFrame, registry: Registry, existing: DataFrame | None = None
+    raw: DataFrame,
+    registry: Registry,
+    existing: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
-    """New normalized rows for pending raw rows."""
+    """New normalized rows for pending raw rows; ``few`` as in ``first_of_each``."""
     rows = build_normalized(raw, registry)
-    return first_of_each(rows, existing).select(*NORMALIZED_COLUMNS)
+    return first_of_each(rows, existing, few).select(*NORMALIZED_COLUMNS)
 
 
 def tag_duplicates(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadmill.plans.session import spread
 from leadmill.sources.mappings import LISTING, KeyMapping, Registry
 from leadmill.sources.raw import batch_id, wrap_raw
 
@@ -70,7 +71,8 @@ def order_listings(
     spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
 ) -> DataFrame:
     """One listing per order, plus a second one for every 23rd order key."""
-    orders = table(spark, sf_dir, "orders") if orders is None else orders
+    if orders is None:
+        orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     joined = orders.join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

@@ -68,6 +68,11 @@ def _now(at: datetime | None) -> Column:
     return F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
 
 
+def _at_most(stored: DataFrame, limit: int) -> bool:
+    """Compare a count taken from file footers."""
+    return stored.agg(F.count("*")).first()[0] <= limit
+
+
 def ingest_raw(store: Warehouse, raw: DataFrame, batch: str) -> IngestResult:
     """Append one batch of wrapped rows, whole or not at all.
 
@@ -110,7 +115,8 @@ def normalize_new(
         seen = store.read(RAW, fresh).unionByName(store.read(LEFTOVER, left))
         existing = store.read(NORMALIZED) if state.live.get(NORMALIZED) else None
 
-        kept = normalize.normalize(seen, registry, existing)
+        few = _at_most(seen, normalize.FEW_ROWS)
+        kept = normalize.normalize(seen, registry, existing, few)
         store.write(kept.withColumn("created_at", _now(at)), NORMALIZED, run)
         written = store.read(NORMALIZED, [run])
         leftover = normalize.not_yet_normalized(seen, written)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # HotSpot does not compile methods above 8000 bytes of bytecode. The field rules
 # form long projections; beyond this limit Spark splits their code into many
@@ -25,3 +25,14 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal a scan of few splits out to all cores before costly expressions.
+
+    A scan with enough splits, as any large table has, is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)

@@ -63,10 +63,11 @@ def test_duplicates_of_hot_groups(spark, monkeypatch, existing, hot_groups):
     tags = normalize.tag_duplicates(rows, known).collect()
     assert len(tags) == len(expected)
     assert {row.raw_record_id: row.outcome for row in tags} == expected
-    kept = normalize.first_of_each(rows, known).collect()
-    assert {row.raw_record_id for row in kept} == {
-        key for key, outcome in expected.items() if outcome == "kept"}
-    assert len(kept) == len({row.raw_record_id for row in kept})
+    for few in (False, True):
+        kept = normalize.first_of_each(rows, known, few).collect()
+        assert {row.raw_record_id for row in kept} == {
+            key for key, outcome in expected.items() if outcome == "kept"}
+        assert len(kept) == len({row.raw_record_id for row in kept})
 
 
 def test_first_of_each_combines_before_one_shuffle(spark):
@@ -85,6 +86,17 @@ def test_first_of_each_combines_before_one_shuffle(spark):
     assert plan.count("Exchange") == 2 and "LeftAnti" in plan
 
 
+def test_a_small_increment_only_scans_the_stored_hashes(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("dedup_hash"),
+                             F.lit("x").alias("other")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    plan = _plan(normalize.first_of_each(_hot_rows(spark), stored, few=True))
+    assert "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "ReadSchema: struct<dedup_hash:string>" in plan
+
+
 def _leads(spark, count=5000):
     """A third of all leads share one score."""
     at = F.col("id")

@@ -117,8 +117,12 @@ def build_normalized(
 
 
 def _group_key() -> Column:
-    """The hash, or a value of its own for a row without one."""
-    return F.coalesce("dedup_hash", F.concat(F.lit("#"), "raw_record_id"))
+    """The hash, or a value of its own for a row without one.
+
+    The literal only tells Spark that the key is never null. Else a join on it adds
+    a null test, which is pushed down and computes the hash a second time.
+    """
+    return F.coalesce("dedup_hash", F.concat(F.lit("#"), "raw_record_id"), F.lit(""))
 
 
 def _hashes(existing: DataFrame) -> DataFrame:

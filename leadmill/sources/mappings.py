@@ -84,6 +84,7 @@ LISTING = KeyMapping(
     name_keywords=True,
 )
 
+# Fixed value: the source id that layout is registered under.
 DEFAULT_REGISTRY: Registry = {"sample_us_unclaimed": LISTING}
 
 

@@ -16,7 +16,7 @@ from leadmill.plans import claims, jobs
 from leadmill.plans.session import shared_folder, tune
 from leadmill.sources import mappings
 from leadmill.sources.csv import read_csv_source
-from leadmill.sources.raw import batch_id, wrap_raw
+from leadmill.sources.raw import batch_id, json_cells, wrap_raw
 from leadmill.sources.warehouse import NORMALIZED, RAW, SCORED, Warehouse
 from leadmill.streaming.incremental import run_available
 
@@ -141,6 +141,23 @@ def s2_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def s2_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that arrive as one JSON text each."""
+    events = claims.table(spark, sf_dir, "events")
+    month = F.date_trunc("month", "ts")
+    raw = wrap_raw(
+        events,
+        source=F.lit("events"),
+        file_batch_id=batch_id(F.lit("events"), month, F.lit("00000000")),
+        ingested_at=F.col("ts"),
+        seq=F.col("event_id"),
+        raw_data=json_cells(F.col("props")),
+    )
+    cell = F.try_element_at("raw_data", F.lit("k"))
+    return raw.select("id", "file_batch_id", "ingest_seq", cell.alias("cell"))
+
+
 @query
 def s3_batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     listings = claims.order_listings(spark, sf_dir)

@@ -370,6 +370,11 @@ ORACLES: dict[str, str] = {
         f"""SELECT id, source, {_STAMP.format("listed_at")} AS ingested_at, file_batch_id,
         seq AS ingest_seq, cells, owner_name AS owner_cell FROM raw""",
     ),
+    "s2_json_records": f"""SELECT file_batch_id, event_id AS ingest_seq, cell,
+        {_uuid("'events|' || file_batch_id || '||' || CAST(event_id AS VARCHAR)")} AS id
+        FROM (SELECT event_id, json_extract_string(props, '$.k') AS cell,
+          'events:' || strftime(ts, '%Y%m') || '01T000000Z:00000000' AS file_batch_id
+          FROM events)""",
     "s3_batch_ids": _over(
         "listings",
         """SELECT source || ':' || strftime(listed_at, '%Y%m%d') || 'T000000Z:'

@@ -26,6 +26,11 @@ def new_batch_id(source: str, at: datetime | None = None, suffix: str | None = N
     return f"{source}:{at:%Y%m%dT%H%M%SZ}:{suffix or uuid4().hex[:8]}"
 
 
+def json_cells(text: Column) -> Column:
+    """Cells of a JSON object; a nested value stays JSON text."""
+    return F.from_json(text, "map<string,string>")
+
+
 def wrap_raw(
     rows: DataFrame,
     source: Column,
@@ -33,19 +38,23 @@ def wrap_raw(
     ingested_at: Column,
     cells: list[str] | None = None,
     seq: Column | None = None,
+    raw_data: Column | None = None,
 ) -> DataFrame:
     """Raw rows ``(id, source, raw_data, ingested_at, file_batch_id, origin, ingest_seq)``.
 
     ``origin`` and ``ingest_seq`` give the record order within a batch. For files
     they are the split and the row's position in the reading task, which a retried
     task repeats; other sources pass a sortable ``seq``. Ids depend on both, so a
-    batch is wrapped once and read back from where it was written.
+    batch is wrapped once and read back from where it was written. ``raw_data``
+    replaces the map of cells, for sources whose record is one JSON text.
     """
     names = cells or [name for name in rows.columns if name not in _POSITION]
-    pairs: list[Column] = []
-    for name in names:
-        quoted = "`" + name.replace("`", "``") + "`"
-        pairs += [F.lit(name), F.coalesce(F.col(quoted).cast("string"), F.lit(""))]
+    if raw_data is None:
+        pairs: list[Column] = []
+        for name in names:
+            quoted = "`" + name.replace("`", "``") + "`"
+            pairs += [F.lit(name), F.coalesce(F.col(quoted).cast("string"), F.lit(""))]
+        raw_data = F.create_map(*pairs)
 
     if seq is None:
         block = F.lpad(F.col(BLOCK_COLUMN).cast("string"), 20, "0")
@@ -56,7 +65,7 @@ def wrap_raw(
 
     located = rows.select(
         source.alias("source"),
-        F.create_map(*pairs).alias("raw_data"),
+        raw_data.alias("raw_data"),
         ingested_at.alias("ingested_at"),
         file_batch_id.alias("file_batch_id"),
         origin.alias("origin"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -88,8 +87,7 @@ def lead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_in(spark: SparkSession) -> Warehouse:
-    folder = shared_folder(spark, fallback=tempfile.gettempdir())
-    return Warehouse(spark, f"{folder}/leadmill-{uuid4().hex}")
+    return Warehouse(spark, f"{shared_folder(spark)}/leadmill-{uuid4().hex}")
 
 
 def with_points(rows: DataFrame) -> list[Column]:

@@ -3,7 +3,7 @@
 A stage knows which folders of the layer before it has covered, so a run reads
 new folders only and needs no join against all that was done before. Raw rows
 without a normalized child, duplicates and rows of unregistered sources, are kept
-in ``leftover`` and looked at again by each run.
+in ``leftover`` for runs that may judge them differently.
 """
 
 from __future__ import annotations
@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 from leadmill.functions.rules import DEFAULT_RULES, PRIORITIES
 from leadmill.operators import export, integrity, leads, normalize, scoring
 from leadmill.sources.csv import read_csv_source
-from leadmill.sources.mappings import DEFAULT_REGISTRY, Registry, unregistered
+from leadmill.sources.mappings import (
+    DEFAULT_REGISTRY,
+    Registry,
+    fingerprint,
+    unregistered,
+)
 from leadmill.sources.raw import new_batch_id, wrap_raw
 from leadmill.sources.warehouse import (
     LEADS,
@@ -105,13 +110,22 @@ def normalize_new(
     registry: Registry = DEFAULT_REGISTRY,
     run: str | None = None,
     at: datetime | None = None,
+    recheck: bool | None = None,
 ) -> NormalizeResult:
-    """Normalize raw rows that have no child yet; all of it appears at once."""
+    """Normalize raw rows that have no child yet; all of it appears at once.
+
+    Rows left over by earlier runs count as seen again each time. They can only
+    fare differently once mappings have changed or rows were removed, so they are
+    computed again just then, or when ``recheck`` says so.
+    """
     state = store.state()
     run = run or _run_name("normalize")
     if run not in state.runs:
+        used = fingerprint(registry)
+        if recheck is None:
+            recheck = state.removed or state.mappings != used
         fresh = [name for name in state.live.get(RAW, []) if name not in state.covered]
-        left = state.live.get(LEFTOVER, [])
+        left = state.live.get(LEFTOVER, []) if recheck else []
         seen = store.read(RAW, fresh).unionByName(store.read(LEFTOVER, left))
         existing = store.read(NORMALIZED) if state.live.get(NORMALIZED) else None
 
@@ -126,10 +140,11 @@ def normalize_new(
             add={NORMALIZED: [run], LEFTOVER: [run]},
             retire={LEFTOVER: left},
             covers=fresh,
+            mappings=used,
         )
 
     processed = store.count(NORMALIZED, run)
-    leftover = store.read(LEFTOVER, [run])
+    leftover = store.read(LEFTOVER)
     skipped = leftover.agg(F.count("*")).first()[0]
     unknown = unregistered(leftover, registry).agg(F.count("*")).first()[0]
     return NormalizeResult(processed, unknown, skipped - unknown, processed + skipped)
@@ -258,4 +273,5 @@ def remove_raw(store: Warehouse, condition: Column) -> None:
         },
         retire={layer: state.live.get(layer, []) for layer in layers},
         covers=[run],
+        removed=True,
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # HotSpot does not compile methods above 8000 bytes of bytecode. The field rules
@@ -16,12 +18,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    ``fallback`` serves where the setting is absent, as in local tests.
+    Only where everything runs on one machine may the setting be absent.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.gettempdir()
     if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")

@@ -8,6 +8,8 @@ to common columns works too.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -88,6 +90,16 @@ LISTING = KeyMapping(
 DEFAULT_REGISTRY: Registry = {"sample_us_unclaimed": LISTING}
 
 
+def fingerprint(registry: Registry) -> str:
+    """Changes when a source or the columns its mapping gives change."""
+    described = {
+        source: {name: str(column) for name, column in mapping(F.col("raw_data")).items()}
+        for source, mapping in registry.items()
+    }
+    text = json.dumps(described, sort_keys=True)
+    return hashlib.sha256(text.encode("utf-8")).hexdigest()
+
+
 def registered(raw: DataFrame, registry: Registry) -> DataFrame:
     return raw.where(F.col("source").isin(*registry))
 

@@ -154,7 +154,9 @@ def first_of_each(
     ``existing``, however large, is only scanned; the rows are computed twice.
     """
     firsts = rows.groupBy(_group_key().alias("group_key")).agg(
-        F.min_by(F.struct(*rows.columns), F.struct(*ORDER)).alias("first")
+        F.min_by(F.struct(*rows.columns), F.struct(*ORDER, "raw_record_id")).alias(
+            "first"
+        )
     )
     if existing is not None:
         known = _hashes(existing)

@@ -62,13 +62,16 @@ def run_available(
 ) -> None:
     """Ingest, normalize and score all that is new in ``stream``, then return.
 
-    Each step calls the batch jobs under names made from the step's number, so a
-    step repeated after a failure finds its finished parts done. There is no
-    watermark: a duplicate counts however long ago its first copy came.
+    Each step calls the batch jobs under names made from the stream's id, which its
+    checkpoint keeps, and the step's number, so a step repeated after a failure finds
+    its finished parts done. There is no watermark: a duplicate counts however long
+    ago its first copy came.
     """
 
     def step(rows: DataFrame, number: int) -> None:
-        batch = f"{name}:{number}"
+        context = rows.sparkSession.sparkContext
+        stream_id = context.getLocalProperty("sql.streaming.queryId")
+        batch = f"{name}:{stream_id}:{number}"
         jobs.ingest_raw(store, wrap(rows, batch), batch)
         jobs.normalize_new(store, registry, run=f"normalize-{batch}")
         jobs.score_new(store, rules, run=f"score-{batch}")

@@ -71,7 +71,7 @@ def main() -> None:
     connection = connect(sf_dir)
     oracles = entries.oracle_sql()
     for name, function in entries.queries().items():
-        if wanted and name not in wanted:
+        if name not in oracles or wanted and name not in wanted:
             continue
         started = time.time()
         try:

@@ -194,7 +194,7 @@ def _visits(pivots: list, radii: list, square: float, width: int, nearest: bool)
 def _search(visits: DataFrame, members: DataFrame, pivots: dict, square, width, k):
     """``query_id, query_key, vec_id, score``: the k best of each visit."""
 
-    def run(key, asked: pd.DataFrame, inside: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, asked: pd.DataFrame, inside: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "query_key": [], "vec_id": [], "score": []}
         if len(asked) and len(inside):
             points, queries = _exact(

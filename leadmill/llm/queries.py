@@ -6,20 +6,79 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadmill.llm import mtree
+from leadmill.llm import decontaminate, mtree, simhash
 from leadmill.llm.shared import table
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document lie in passages of the benchmark."""
+    found = decontaminate.find_passages(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return decontaminate.contamination(found)
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and the group of near duplicates of every document."""
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every 20th vector with all others."""
     return mtree.top_products(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
+    "op6_simhash": op6_simhash,
     "op10_mtree_topk": op10_mtree_topk,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_decontamination": r"""
+        WITH said AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), asked AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), windows AS (
+            SELECT DISTINCT item_id, size, words FROM (
+                SELECT item_id, least(len(w), 10) AS size,
+                       array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS words
+                FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+                      FROM asked WHERE len(w) > 0)
+            )
+        ), sizes AS (SELECT DISTINCT size FROM windows
+        ), places AS (
+            SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS words
+            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                  FROM said, sizes WHERE len(w) >= size)
+        ), hits AS (
+            SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, words)
+        ), marked AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit FROM (
+                SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits
+            ) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(*) AS n_items,
+                   string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words,
+               coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM said LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
     "op10_mtree_topk": """
         WITH good AS (
             SELECT DISTINCT vec_id,

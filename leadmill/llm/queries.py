@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadmill.llm import decontaminate, mtree, simhash
+from leadmill.llm import decontaminate, mtree, simhash, token_files
 from leadmill.llm.shared import table
 
 
@@ -18,6 +19,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(found)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids in bit-packed files."""
+    file = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.tokenized(table(spark, sf_dir, "documents"), file)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and the group of near duplicates of every document."""
     return simhash.near_groups(table(spark, sf_dir, "documents"))
@@ -30,6 +37,7 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
     "op10_mtree_topk": op10_mtree_topk,
 }

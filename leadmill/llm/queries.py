@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadmill.llm import decontaminate, mtree, simhash, token_files
+from leadmill.llm import decontaminate, mixing, mtree, simhash, token_files
 from leadmill.llm.shared import table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words a balanced mix of all sources takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document lie in passages of the benchmark."""
     found = decontaminate.find_passages(
@@ -36,6 +41,7 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,

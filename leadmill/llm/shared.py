@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_name(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc_of_id(id_column: str) -> Column:
     """crc32 of the id written as text; null for a null id."""
     return F.crc32(F.col(id_column).cast("string").cast("binary"))

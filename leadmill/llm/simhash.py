@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadmill.llm.components import components
-from leadmill.llm.shared import LOWER_ASCII, stored
+from leadmill.llm.shared import LOWER_ASCII, fresh_name, stored
 
 SHINGLE = 4
 RADIUS = 4
@@ -302,9 +302,7 @@ def keep_one(
     )
     mine = docs.join(heads, docs[id_column] == heads["_head"], "left_semi")
     first = Window.partitionBy(id_column).orderBy(text_column)
-    place = "_place"
-    while place in docs.columns:
-        place = f"_{place}"
+    place = fresh_name(docs, "place")
     single = (
         mine.withColumn(place, F.row_number().over(first))
         .where(F.col(place) == 1)

@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadmill.llm import decontaminate, mixing, mtree, simhash, token_files
+from leadmill.llm import (
+    decontaminate,
+    langid,
+    mixing,
+    mtree,
+    simhash,
+    token_files,
+)
 from leadmill.llm.shared import table
 
 
@@ -35,6 +42,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return langid.predict_held_out(table(spark, sf_dir, "documents"))
+
+
 def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every 20th vector with all others."""
     return mtree.top_products(table(spark, sf_dir, "embeddings"))
@@ -45,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
+    "op9_language_id": op9_language_id,
     "op10_mtree_topk": op10_mtree_topk,
 }
 

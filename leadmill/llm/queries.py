@@ -14,10 +14,18 @@ from leadmill.llm import (
     mtree,
     simhash,
     token_files,
+    toxicity,
 )
 from leadmill.llm.shared import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned outside of the held-out fold."""
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words a balanced mix of all sources takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -53,6 +61,7 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op5_token_files": op5_token_files,

@@ -53,3 +53,20 @@ def stored(frame: DataFrame) -> DataFrame:
     path = f"{scratch(frame.sparkSession)}/rows"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def frequent(counts: DataFrame, column: str, limit: int) -> DataFrame:
+    """The rows with the largest counts, at most ``limit`` of them.
+
+    Rows are ranked in bands of about equal counts, a thousand bands at most, so nothing
+    is sorted and rows of equal count stay or go together.
+    """
+    band = F.floor(F.log2(F.col(column)) * 16)
+    sizes = counts.groupBy(band.alias("band")).count().collect()
+    least, held = None, 0
+    for row in sorted(sizes, key=lambda row: -row["band"]):
+        held += row["count"]
+        if held > limit:
+            break
+        least = row["band"]
+    return counts.where(band >= least if least is not None else F.lit(False))

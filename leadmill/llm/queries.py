@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leadmill.llm import (
     decontaminate,
+    hmm,
     langid,
     mixing,
     mtree,
@@ -50,6 +51,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every document under a hidden Markov model."""
+    return hmm.score_held_out(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return langid.predict_held_out(table(spark, sf_dir, "documents"))
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
+    "op7_hmm_scores": op7_hmm_scores,
     "op9_language_id": op9_language_id,
     "op10_mtree_topk": op10_mtree_topk,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from leadmill.llm import (
     decontaminate,
     hmm,
+    html_text,
     langid,
     mixing,
     mtree,
@@ -40,6 +41,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(found)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids in bit-packed files."""
     file = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
+    "op4_html_text": op4_html_text,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
     "op7_hmm_scores": op7_hmm_scores,

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +74,29 @@ def frequent(counts: DataFrame, column: str, limit: int) -> DataFrame:
             break
         least = row["band"]
     return counts.where(band >= least if least is not None else F.lit(False))
+
+
+def word_runs(texts: pa.Array, most: int = 500_000) -> Iterator[tuple]:
+    """Texts cut at ASCII white space, a run of texts with about ``most`` words at a time.
+
+    Yields ``words, places, counts``: the different words of the run as a list, for each
+    word of the texts its place in that list, and how many words each text has. The work
+    on every word is done by Arrow; only different words become Python strings. Null
+    texts have no words.
+    """
+    whole = pc.fill_null(texts, "")
+    # A word takes two bytes at least; texts are put together by what they may hold.
+    bounds = np.cumsum(pc.binary_length(whole).to_numpy(zero_copy_only=False) // 6 + 1)
+    start = 0
+    while start < len(whole):
+        base = bounds[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(bounds, base + most, "right")))
+        lists = pc.ascii_split_whitespace(whole.slice(start, stop - start))
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+        kept = np.concatenate([[0], np.cumsum(real)])
+        coded = (flat if real.all() else flat.filter(pa.array(real))).dictionary_encode()
+        counts = np.diff(kept[offsets - offsets[0]])
+        yield coded.dictionary.to_pylist(), coded.indices.to_numpy(), counts
+        start = stop

@@ -13,6 +13,7 @@ at a whole byte and any range of ids is read by unpacking only the blocks it tou
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -27,17 +28,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer, pre_tokenizers
 
-from leadmill.llm.shared import scratch, stored
+from leadmill.llm.shared import scratch, stored, word_runs
 
 MAGIC = b"LMTOKB01"
 BLOCK_IDS = 32_768
 END_ID = 2
-#: Entries of a task's word cache; it is emptied when full.
-CACHE_WORDS = 300_000
+#: Entries of a worker's word cache; it is emptied when full.
+CACHE_WORDS = 500_000
 _HEADER = struct.Struct("<8sII")
 _FOOTER = struct.Struct("<QQQQ8s")
-_CHUNK = re.compile(r"[ \n]+")
+# How word tokenizers with end marks cut texts, and chunks that are surely
+# one run of letters and one of signs under that rule.
+_WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=-@\[-`{}~]*)")
+_ENCODERS: dict = {}
 
 
 def bits_of(vocabulary: int) -> int:
@@ -156,33 +162,179 @@ class Reader:
         return self.ids(int(self.starts[at]), int(self.starts[at + 1]))
 
 
+class TextEncoder:
+    """Encodes whole texts, for any tokenizer."""
+
+    def __init__(self, tokenizer, end_id: int | None):
+        self.tokenizer = tokenizer
+        self.end = [] if end_id is None else [end_id]
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        whole = [text or "" for text in texts.to_pylist()]
+        for found in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False):
+            yield np.array(found.ids + self.end, np.uint32)
+
+
 class WordEncoder:
-    """Encodes texts chunk by chunk with a bounded cache.
+    """Encodes texts by their words, each only once as long as it is remembered.
 
-    The tokenizer must drop white space and never join text across it, so a text's ids
-    are those of its chunks between blanks and line ends, one after the other.
+    For tokenizers that ``splits_at_blanks`` accepts: a text's ids are those of its
+    chunks between white space. A chunk of letters with signs after it is two
+    words; new words are encoded together and told apart by the ids that end a word.
+    Other chunks are encoded one by one.
     """
 
-    def __init__(self, tokenizer, end_id: int | None, cache_words: int = CACHE_WORDS):
-        self.tokenizer, self.limit = tokenizer, cache_words
+    def __init__(self, tokenizer, end_id: int | None, most: int = CACHE_WORDS):
+        self.tokenizer, self.most = tokenizer, most
         self.end = [] if end_id is None else [end_id]
-        self.cache: dict[str, tuple[int, ...]] = {"": ()}
-
-    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        for text in texts:
-            chunks = _CHUNK.split(text) if text else []
-            fresh = [c for c in dict.fromkeys(chunks) if c not in self.cache]
-            if len(self.cache) + len(fresh) > self.limit:
-                self.cache = {"": ()}
-                fresh = [c for c in dict.fromkeys(chunks) if c]
-            encoded = self.tokenizer.encode_batch(fresh, add_special_tokens=False)
-            self.cache.update(
-                (c, tuple(e.ids)) for c, e in zip(fresh, encoded, strict=True)
-            )
-            flat = chain(
-                chain.from_iterable(map(self.cache.__getitem__, chunks)), self.end
-            )
-            yield np.fromiter(flat, np.uint32)
+        # The same tokenizer for words that are cut out and lower-cased already.
+        self.plain = Tokenizer.from_str(tokenizer.to_str())
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        suffix = tokenizer.model.end_of_word_suffix
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[n for piece, n in vocabulary.items() if piece.endswith(suffix)]] = True
+        self._start()
+
+    def _start(self) -> None:
+        #: The ids of all known words in a row, and where each word's begin and how many.
+        self.pool = np.empty(0, np.uint32)
+        self.begins = self.sizes = np.zeros(1, np.int64)
+        self.words: dict[str, int] = {"": 0}
+        #: The one or two words of each known chunk, and how often it was used.
+        self.chunks: dict[str, int] = {}
+        self.pairs = np.empty((0, 2), np.int64)
+        self.uses = np.empty(0, np.int64)
+
+    def _gather(self, words: np.ndarray) -> np.ndarray:
+        """The ids of words, one after the other."""
+        sizes = self.sizes[words]
+        shifts = np.repeat(self.begins[words] - (np.cumsum(sizes) - sizes), sizes)
+        return self.pool[shifts + np.arange(len(shifts))]
+
+    def _forget(self) -> None:
+        """Keeps the chunks that were used most, at most half of what is allowed."""
+        places = np.argsort(-self.uses, kind="stable")[: self.most // 2]
+        places = np.sort(places[self.uses[places] > 1])
+        chosen = np.zeros(len(self.uses), dtype=bool)
+        chosen[places] = True
+        names = [c for c, keep in zip(self.chunks, chosen.tolist(), strict=True) if keep]
+        used, pairs = np.unique(self.pairs[places], return_inverse=True)
+        if not len(used) or used[0]:  # the empty word stays the first
+            used, pairs = np.concatenate([[0], used]), pairs + 1
+        ids, sizes = self._gather(used), self.sizes[used]
+        new_place = dict(zip(used.tolist(), range(len(used)), strict=True))
+        words = {
+            word: new_place[at] for word, at in self.words.items() if at in new_place
+        }
+        uses = self.uses[places] // 2
+        self.pool, self.sizes, self.begins = ids, sizes, np.cumsum(sizes) - sizes
+        self.words, self.uses = words, uses
+        self.pairs = pairs.reshape(-1, 2)
+        self.chunks = {name: at for at, name in enumerate(names)}
+
+    def _add(self, ids: list[int], sizes: np.ndarray) -> int:
+        """Puts words into the pool; the place of the first."""
+        first = len(self.sizes)
+        ends = len(self.pool) + np.cumsum(sizes)
+        self.pool = np.concatenate([self.pool, np.array(ids, np.uint32)])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.begins = np.concatenate([self.begins, ends - sizes])
+        return first
+
+    def _learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 16384):
+            part = words[at : at + 16384]
+            text = " ".join(part).lower()
+            joined = self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            stops = np.flatnonzero(self.ends[joined]) + 1
+            if len(stops) != len(part):
+                raise ValueError("words cannot be told apart by their last ids")
+            first = self._add(joined, np.diff(stops, prepend=0))
+            self.words.update(zip(part, range(first, first + len(part)), strict=True))
+
+    def _learn(self, chunks: list[str]) -> None:
+        words, pairs, odd = self.words, {}, []
+        for chunk in chunks:
+            match = _SIMPLE.fullmatch(chunk)
+            if match:
+                pairs[chunk] = match.groups()
+            else:
+                odd.append(chunk)
+        self._learn_words(
+            list({word for pair in pairs.values() for word in pair if word not in words})
+        )
+        found = [
+            e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        ]
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        first = self._add(list(chain.from_iterable(found)), sizes)
+        places = np.zeros((len(chunks), 2), np.int64)
+        places[: len(pairs), 0] = [words[pair[0]] for pair in pairs.values()]
+        places[: len(pairs), 1] = [words[pair[1]] for pair in pairs.values()]
+        places[len(pairs) :, 0] = np.arange(first, first + len(odd))
+        held = len(self.chunks)
+        names = chain(pairs, odd)
+        self.chunks.update(zip(names, range(held, held + len(chunks)), strict=True))
+        self.pairs = np.concatenate([self.pairs, places])
+        self.uses = np.concatenate([self.uses, np.zeros(len(chunks), np.int64)])
+
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        """The place of each of these different chunks; unknown ones are learned."""
+        fresh = [chunk for chunk in chunks if chunk not in self.chunks]
+        if len(self.chunks) + len(fresh) > self.most:
+            self._forget()
+            fresh = [chunk for chunk in chunks if chunk not in self.chunks]
+        self._learn(fresh)
+        return np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        end = np.array(self.end, np.uint32)
+        for chunks, uses, counts in word_runs(texts):
+            places = self._places(chunks)
+            self.uses[places] += np.bincount(uses, minlength=len(places))
+            pairs = self.pairs[places][uses]
+            ids = self._gather(pairs.ravel())
+            stops = np.cumsum(np.concatenate([[0], self.sizes[pairs].sum(axis=1)]))
+            docs = np.cumsum(np.concatenate([[0], counts]))
+            for start, stop in zip(docs[:-1], docs[1:], strict=True):
+                yield np.concatenate([ids[stops[start] : stops[stop]], end])
+
+
+def splits_at_blanks(description: str) -> bool:
+    """Whether a tokenizer's words end with a mark, never reach across white space, and
+    are runs of letters or of other signs."""
+    parts = json.loads(description)
+    kinds = [step.get("type") for step in (parts.get("normalizer") or {}).get("normalizers", [])]
+    steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = steps[0]
+    return (
+        bool(parts["model"].get("end_of_word_suffix"))
+        and kinds == ["NFC", "Replace", "Lowercase"]
+        and split.get("pattern") == {"Regex": _WORD_RULE}
+        and split.get("behavior") == "Removed"
+        and split.get("invert") is True
+    )
+
+
+def encoder(description: str, end_id: int | None):
+    """What encodes texts fastest with a tokenizer given by its description.
+
+    A worker that runs several tasks goes on with the words it knows.
+    """
+    key = (zlib.crc32(description.encode()), len(description), end_id)
+    if key not in _ENCODERS:
+        tokenizer = Tokenizer.from_str(description)
+        kind = WordEncoder if splits_at_blanks(description) else TextEncoder
+        _ENCODERS.clear()
+        _ENCODERS[key] = kind(tokenizer, end_id)
+    return _ENCODERS[key]
 
 
 def write_files(
@@ -202,8 +354,6 @@ def write_files(
     The folder must be one that all executors share. A repeated task writes the same
     file under a name of its own and then moves it into place.
     """
-    from tokenizers import Tokenizer
-
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as source:
         description = source.read()
@@ -222,10 +372,10 @@ def write_files(
             if not batch.num_rows:
                 continue
             if writer is None:
-                encode = WordEncoder(Tokenizer.from_str(shared.value), end_id)
+                encode = encoder(shared.value, end_id)
                 stream = files.open_output_stream(f"{root}/.{path}.{attempt}")
                 writer = Writer(stream, bits, block_ids)
-            ids = encode(batch.column(1).to_pylist())
+            ids = encode(batch.column(1))
             for name, row in zip(batch.column(0).to_pylist(), ids, strict=True):
                 writer.add(name, row)
         if writer is not None:

@@ -1,14 +1,52 @@
-"""Filters, deduplicates, decontaminates, mixes and encodes the documents table."""
+"""Filters, deduplicates, decontaminates, mixes and encodes the documents table.
+
+Each stage takes all that its predecessor kept. All but the last return the columns of
+``documents``; the last one writes bit-packed token files and returns what they hold.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from leadmill.llm import decontaminate, mixing, simhash, token_files, toxicity
 from leadmill.llm.shared import stored, table
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity below one half."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return simhash.keep_one(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark; mostly contaminated ones go."""
+    return decontaminate.remove_passages(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document in the token files."""
+    return token_files.tokenized(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", clean),
+    ("simhash near-dedup", single),
+    ("benchmark decontamination", decontaminated),
+    ("mixing sources", mixed),
+    ("token files", encoded),
+]
 
 #: SQL cannot express these stages; tests compare them with plain versions.
 ORACLE_SQL = None

@@ -14,6 +14,7 @@ from leadmill.llm import (
     langid,
     mixing,
     mtree,
+    pii,
     simhash,
     token_files,
     toxicity,
@@ -62,6 +63,11 @@ def op7_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_held_out(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return langid.predict_held_out(table(spark, sf_dir, "documents"))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
     "op7_hmm_scores": op7_hmm_scores,
+    "op8_personal_data": op8_personal_data,
     "op9_language_id": op9_language_id,
     "op10_mtree_topk": op10_mtree_topk,
 }

@@ -31,6 +31,7 @@ GRAMS = 200_000
 SAMPLE = 20_000
 LEXICON = 300
 LEAST_DOCS = 5
+BEGINNINGS = (4, 5, 6)
 _FLUSH = 200_000
 _CACHE = 300_000
 # The letters that signs are used for, with most likely ones first.
@@ -60,6 +61,7 @@ _TOKEN = re.compile(rf"[^\W_{_SIGNS}]+(?:[{_SIGNS}]+[^\W_{_SIGNS}]+)*|[{_SIGNS}]
 _APART = re.compile(
     rf"(?<![^\W_])(?:(?:[^\W_]|[{_SIGNS}])[ .*_~-]{{1,3}}){{2,}}(?:[^\W_]|[{_SIGNS}])(?![^\W_])"
 )
+_GAP_SIGNS = re.compile(r"[.*_~-]")
 _GAPS = re.compile(r"[ .*_~-]+")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _REPEAT = re.compile(r"(.)\1")
@@ -154,25 +156,27 @@ class Restorer:
         self.cache: dict[str, str] = {}
 
     def word(self, token: str) -> str:
-        if token.isdigit():
-            return token
-        if token.isalpha() and not _REPEAT.search(token):
-            return token
         known = self.cache.get(token)
         if known is None:
+            plain = token.isdigit() or token.isalpha() and not _REPEAT.search(token)
+            known = token if plain else decode(token, self.model)
             if len(self.cache) >= _CACHE:
                 self.cache.clear()
-            known = self.cache[token] = decode(token, self.model)
+            self.cache[token] = known
         return known
 
     def words(self, text: str | None) -> list[str]:
         """The restored words, and those that were written letter by letter."""
         if not text:
             return []
-        low = text.lower()
-        words = [self.word(token) for token in _TOKEN.findall(low)]
-        for apart in _APART.findall(low):
-            words.append(self.word(_GAPS.sub("", apart)))
+        low, known, word = text.lower(), self.cache.get, self.word
+        words = [known(token) or word(token) for token in _TOKEN.findall(low)]
+        for run in _APART.findall(low):
+            # Other signs between the letters: then blanks are between words.
+            for apart in run.split(" ") if _GAP_SIGNS.search(run) else [run]:
+                joined = _GAPS.sub("", apart)
+                if len(joined) > 2:
+                    words.append(word(joined))
         return words
 
 
@@ -213,16 +217,40 @@ def character_model(
     return CharModel(dict(zip(rows["gram"], rows["n"].tolist(), strict=True)), order)
 
 
+def features_of(word: str) -> list[str]:
+    """A word and its beginnings, so that inflected forms count together."""
+    return [word, *(f"{word[:size]}*" for size in BEGINNINGS if len(word) >= size)]
+
+
+class Lexicon:
+    """Finds the features of a lexicon in words."""
+
+    def __init__(self, features):
+        self.features = frozenset(features)
+        self.heads = frozenset(feature[: BEGINNINGS[0]] for feature in self.features)
+
+    def count(self, words: list[str]) -> Counter:
+        heads, size = self.heads, BEGINNINGS[0]
+        likely = [word for word in words if word[:size] in heads]
+        return Counter(
+            feature
+            for word in likely
+            for feature in features_of(word)
+            if feature in self.features
+        )
+
+
 class Scorer:
-    """Logistic regression on how often lexicon words occur."""
+    """Logistic regression on how often the features of a lexicon occur."""
 
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
+        self.lexicon = Lexicon(weights)
 
     def score(self, words: list[str]) -> float:
-        found = Counter(word for word in words if word in self.weights)
+        found = self.lexicon.count(words)
         total = self.bias + sum(
-            self.weights[word] * math.log1p(count) for word, count in sorted(found.items())
+            self.weights[name] * math.log1p(count) for name, count in sorted(found.items())
         )
         return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, total))))
 
@@ -249,7 +277,8 @@ def fit(
 ) -> Scorer:
     """A scorer from ``text, toxic``; the caller bounds the rows.
 
-    The lexicon holds the words whose documents speak most clearly for toxic. Without
+    The lexicon holds the words and beginnings of words whose documents speak most
+    clearly for toxic. Without
     rows of both kinds every score is the share of toxic rows (one half without rows).
     """
     spark = labelled.sparkSession
@@ -260,8 +289,9 @@ def fit(
         found: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found[toxic].update(set(restorer.words(text)))
-        words = list(found[0] | found[1])
+                words = set(restorer.words(text))
+                found[toxic].update({f for word in words for f in features_of(word)})
+        words = list(found[0].keys() | found[1].keys())
         yield pa.RecordBatch.from_pydict(
             {
                 "word": pa.array(words, pa.string()),
@@ -295,11 +325,11 @@ def fit(
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(CharModel(*shared.value))
-        places = {word: at for at, word in enumerate(words)}
+        places, chosen = {word: at for at, word in enumerate(words)}, Lexicon(words)
         for batch in batches:
             rows = []
             for text in batch.column(0).to_pylist():
-                found = Counter(w for w in restorer.words(text) if w in places)
+                found = chosen.count(restorer.words(text))
                 rows.append(
                     [
                         {"at": places[word], "n": count}

@@ -4,8 +4,8 @@ The fixed patterns find e-mail addresses, IP addresses, payment cards and phone
 They are the seeds of a bootstrap: the words around a seed are lexical patterns, and other
 spellings of an identifier (looser forms, which alone prove nothing) are candidates. The
 patterns and instances form a graph. In each round a pattern is as reliable as the share of
-its instances, seeds and candidates of any kind alike, that are known to be of a kind, and
-a candidate is believed if its patterns together are reliable enough. Believed candidates
+its instances that are known to be of a kind, where seeds and candidates of other kinds
+speak against it, and a candidate is believed if its patterns together are reliable enough. Believed candidates
 count for their patterns in the next round.
 
 Everything is a DataFrame or SQL function; no Python code runs on the rows.
@@ -24,6 +24,8 @@ SUPPORT = 3
 RELIABLE = 0.5
 BELIEVED = 0.8
 DOUBT = 2.0
+#: How much a candidate of the same kind, not yet believed, speaks against a pattern.
+OPEN = 0.25
 # The patterns. Their quantifiers never give back, and they start at the
 # start of a run of their characters or where the last match ended; both change no match.
 BASE = {
@@ -197,6 +199,13 @@ def _occurrences(found: DataFrame) -> DataFrame:
     )
 
 
+def _reliability() -> Column:
+    """Known instances of a kind against those of other kinds, and a part of the open ones."""
+    known, same = F.col("known"), F.col("same")
+    against = F.col("total") - same + OPEN * (same - known)
+    return known / (known + against + DOUBT)
+
+
 def _believed(
     occurrences: DataFrame, rounds: int, support: int, reliable: float, believed: float
 ) -> DataFrame:
@@ -221,13 +230,12 @@ def _believed(
             scored.groupBy("pattern", "kind")
             .agg(
                 F.sum("trust").alias("known"),
+                F.count("*").alias("same"),
                 F.sum(F.col("seed").cast("int")).alias("seeds"),
             )
             .where(F.col("seeds") >= support)
             .join(totals, "pattern")
-            .select(
-                "pattern", "kind", (F.col("known") / (F.col("total") + DOUBT)).alias("rule")
-            )
+            .select("pattern", "kind", _reliability().alias("rule"))
             .where(F.col("rule") >= reliable)
         )
         # Patterns that agree add up: what remains is the chance that all of them err.

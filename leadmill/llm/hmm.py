@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.llm.shared import crc_of_id, frequent, lower_ascii, stored, word_runs
+from leadmill.llm.shared import crc_of_id, frequent, stored, word_runs
 
 STATES = 8
 SYMBOLS = 16_384
@@ -63,16 +64,17 @@ class Codes:
         )
 
 
-def _sequences(texts: pa.Array, codes: Codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Symbols of a run of texts in a row, each text with its end; and the lengths."""
-    for words, places, counts in word_runs(texts):
-        symbols = codes.encode(words)
-        lengths = counts + 1
-        row = np.full(lengths.sum(), codes.own[END], dtype=np.int64)
-        inner = np.ones(len(row), dtype=bool)
-        inner[np.cumsum(lengths) - 1] = False
-        row[inner] = symbols[places]
-        yield row, lengths
+    @property
+    def kind(self) -> np.dtype:
+        """How the symbols of a text are stored."""
+        return np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+
+
+def _sequences(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of stored texts in a row, and how many each text has."""
+    lengths = pc.binary_length(column).to_numpy(zero_copy_only=False) // kind.itemsize
+    row = np.frombuffer(b"".join(column.to_pylist()), kind)
+    return row.astype(np.int64), lengths.astype(np.int64)
 
 
 class Model:
@@ -230,7 +232,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         held[END] += batch.num_rows
-        for words, places, _ in word_runs(batch.column(0)):
+        for words, places, _ in word_runs(pc.ascii_lower(batch.column(0))):
             counts = np.bincount(places, minlength=len(words)).tolist()
             for word, count in zip(words, counts, strict=True):
                 held[word] = held.get(word, 0) + count
@@ -262,7 +264,7 @@ def score_texts(
     spark = docs.sparkSession
     spread = docs.select(
         F.col(id_column).alias("id"),
-        lower_ascii(F.col(text_column)).alias("t"),
+        F.col(text_column).alias("t"),
         F.coalesce(training, F.lit(False)).alias("training"),
     )
     counts = stored(
@@ -301,123 +303,134 @@ def score_texts(
     # Within a class: each word's count plus one, and one for words never seen.
     class_base = class_tokens + class_words + 1
 
+    floor = np.log10(tokens + vocabulary + 1.0)
+    sent = spark.sparkContext.broadcast((own, listed, class_base))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_words, seen, bases = sent.value
+        table = Codes(own_words)
+        end_seen = seen.get(END, 0)
+        for batch in batches:
+            at = 0
+            for words, places, held in word_runs(pc.ascii_lower(batch.column("t"))):
+                codes_here = table.encode(words)
+                found = np.array([seen.get(w, 0) for w in words], np.int64)
+                lengths = held + 1
+                row = np.full(lengths.sum(), table.own[END], dtype=table.kind)
+                inner = np.ones(len(row), dtype=bool)
+                inner[np.cumsum(lengths) - 1] = False
+                row[inner] = codes_here[places]
+                # What a word adds to the base score, and to the model's within its class.
+                plus = np.log10(found + 1.0)
+                inside = np.where(
+                    codes_here < table.classes,
+                    plus - np.log10(bases[codes_here % table.classes]),
+                    0.0,
+                )
+                stops, starts = np.cumsum(held), np.cumsum(held) - held
+                sums = [
+                    np.concatenate([[0.0], np.cumsum(values[places])])
+                    for values in (found > 0, plus, inside)
+                ]
+                known, base, within = (x[stops] - x[starts] for x in sums)
+                ends = np.cumsum(lengths) * table.kind.itemsize
+                data = row.tobytes()
+                cuts = zip((ends - lengths * table.kind.itemsize).tolist(), ends.tolist(), strict=True)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "id": batch.column("id").slice(at, len(held)),
+                        "training": batch.column("training").slice(at, len(held)),
+                        "symbols": pa.array([data[x:y] for x, y in cuts], pa.binary()),
+                        "n_tokens": pa.array(lengths),
+                        "n_known": pa.array(known.astype(np.int64) + (end_seen > 0)),
+                        "base": pa.array(base + np.log10(end_seen + 1.0) - lengths * floor),
+                        "within": pa.array(within),
+                        "rare": _rare(words, places, held, found),
+                    }
+                )
+                at += len(held)
+
+    kind = spread.schema["id"].dataType.simpleString()
+    texts = stored(
+        spread.mapInArrow(
+            encode,
+            f"id {kind}, training boolean, symbols binary, n_tokens long, n_known long, "
+            "base double, within double, rare map<string,int>",
+        ).withColumn("row", F.monotonically_increasing_id())
+    )
+
     model = Model.first(numbers, states)
     shares = (numbers + SMOOTH) / (numbers + SMOOTH).sum()
     names = ", ".join(f"c{k} double" for k in range(states))
+    size, stored_as = codes.size, codes.kind.str
     for _ in range(rounds if tokens else 0):
-        sent = spark.sparkContext.broadcast((model.parts, own))
+        now = spark.sparkContext.broadcast(model.parts)
 
-        def expect(batches, sent=sent):
-            parts, words = sent.value
-            current, table = Model(*parts), Codes(words)
-            total = Expected.zero(table.size, states)
+        def expect(batches, now=now):
+            current, total = Model(*now.value), Expected.zero(size, states)
             for batch in batches:
-                for row, lengths in _sequences(batch.column(0), table):
+                if batch.num_rows:
+                    row, lengths = _sequences(batch.column(0), np.dtype(stored_as))
                     total.add(current.expect(row, lengths))
             yield total.table()
 
         summed = (
-            spread.where("training")
-            .select("t")
+            texts.where("training")
+            .select("symbols")
             .mapInArrow(expect, f"key long, {names}")
             .groupBy("key")
             .agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(states)])
         )
-        model = Expected.of_table(summed.toPandas(), codes.size, states).model(shares)
+        model = Expected.of_table(summed.toPandas(), size, states).model(shares)
 
-    floor = np.log10(tokens + vocabulary + 1.0)
-    sent = spark.sparkContext.broadcast((model.parts, own, listed, class_base))
+    last = spark.sparkContext.broadcast(model.parts)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, words, seen, bases = sent.value
-        current, table = Model(*parts), Codes(words)
-        start = 0
+        current = Model(*last.value)
         for batch in batches:
-            out: dict[str, list] = {"tokens": [], "known": [], "base": [], "model": []}
-            rare: list[dict[str, int]] = []
-            for words_here, places, counts_here in word_runs(batch.column("t")):
-                symbols_here = table.encode(words_here)
-                found = np.array([seen.get(w, 0) for w in words_here], np.int64)
-                lengths = counts_here + 1
-                row = np.full(lengths.sum(), table.own[END], dtype=np.int64)
-                inner = np.ones(len(row), dtype=bool)
-                inner[np.cumsum(lengths) - 1] = False
-                row[inner] = symbols_here[places]
-                # What a word adds: its part of the base score and of its class.
-                sure = found > 0
-                is_class = symbols_here < table.classes
-                plus = np.log10(found + 1.0)
-                inside = np.where(
-                    is_class, plus - np.log10(bases[symbols_here % table.classes]), 0.0
-                )
-                stops = np.cumsum(counts_here)
-                begins = stops - counts_here
-
-                def per_text(values, begins=begins, stops=stops):
-                    sums = np.concatenate([[0.0], np.cumsum(values)])
-                    return sums[stops] - sums[begins]
-
-                end_seen = seen.get(END, 0)
-                out["tokens"].append(lengths)
-                out["known"].append(per_text(sure[places]) + (end_seen > 0))
-                out["base"].append(
-                    per_text(plus[places]) + np.log10(end_seen + 1.0) - lengths * floor
-                )
-                out["model"].append(
-                    current.log10(row, lengths) + per_text(inside[places])
-                )
-                # Words whose count is not at hand: to be joined by word.
-                open_places = np.flatnonzero(~sure[places])
-                texts = np.repeat(np.arange(len(counts_here)), counts_here)[open_places]
-                pairs, many = np.unique(
-                    texts * len(words_here) + places[open_places], return_counts=True
+            if batch.num_rows:
+                row, lengths = _sequences(batch.column(1), np.dtype(stored_as))
+                found = current.log10(row, lengths)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(found)], names=["row", "model"]
                 )
-                each: list[dict[str, int]] = [{} for _ in counts_here]
-                width = max(1, len(words_here))
-                for pair, count in zip(pairs.tolist(), many.tolist(), strict=True):
-                    each[pair // width][words_here[pair % width]] = count
-                rare += each
-            columns = {name: np.concatenate(v or [[]]) for name, v in out.items()}
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": batch.column("id"),
-                    "n_tokens": pa.array(columns["tokens"].astype(np.int64)),
-                    "n_known": pa.array(columns["known"].astype(np.int64)),
-                    "base": pa.array(columns["base"]),
-                    "model": pa.array(columns["model"]),
-                    "rare": pa.array(
-                        [list(r.items()) for r in rare], pa.map_(pa.string(), pa.int32())
-                    ),
-                }
-            )
-            start += batch.num_rows
 
-    kind = spread.schema["id"].dataType.simpleString()
-    schema = (
-        f"id {kind}, n_tokens long, n_known long, base double, model double, "
-        "rare map<string,int>"
-    )
-    first = stored(
-        spread.select("id", "t")
-        .mapInArrow(score, schema)
-        .withColumn("row", F.monotonically_increasing_id())
-    )
+    scored = texts.select("row", "symbols").mapInArrow(score, "row long, model double")
     # A word's own count replaces the zero that stood for it in both scores.
-    opened = first.select("row", F.explode("rare").alias("word", "times"))
-    joined = opened.join(counts, "word").select(
-        "row", "times", (F.col("times") * F.log10(F.col("n") + 1.0)).alias("more")
-    )
-    late = joined.groupBy("row").agg(
-        F.sum("times").alias("times"), F.sum("more").alias("more")
+    opened = texts.select("row", F.explode("rare").alias("word", "times"))
+    late = (
+        opened.join(counts, "word")
+        .select("row", "times", (F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"))
+        .groupBy("row")
+        .agg(F.sum("times").alias("times"), F.sum("more").alias("more"))
     )
     more = F.coalesce("more", F.lit(0.0))
-    return first.join(late, "row", "left").select(
-        F.col("id").alias(id_column),
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("times", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("model") + more).alias("score"),
+    return (
+        texts.drop("symbols", "rare")
+        .join(scored, "row")
+        .join(late, "row", "left")
+        .select(
+            F.col("id").alias(id_column),
+            "n_tokens",
+            (F.col("n_known") + F.coalesce("times", F.lit(0))).alias("n_known"),
+            F.lit(tokens).cast("long").alias("train_tokens"),
+            (F.col("base") + more).alias("base_score"),
+            (F.col("model") + F.col("within") + more).alias("score"),
+        )
+    )
+
+
+def _rare(words: list[str], places, held, found) -> pa.Array:
+    """For each text the words whose count is not at hand, with how often they occur."""
+    open_places = np.flatnonzero(found[places] == 0) if len(places) else places
+    texts = np.repeat(np.arange(len(held)), held)[open_places]
+    width = max(1, len(words))
+    pairs, many = np.unique(texts * width + places[open_places], return_counts=True)
+    each = np.bincount(pairs // width, minlength=len(held))
+    offsets = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
+    names = pa.array(words, pa.string()).take(pa.array(pairs % width))
+    return pa.MapArray.from_arrays(
+        pa.array(offsets), names, pa.array(many.astype(np.int32))
     )
 
 

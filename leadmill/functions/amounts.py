@@ -59,10 +59,15 @@ def amount_key(amount: Column) -> Column:
     return F.bround(amount, 2).cast("string")
 
 
-def show_money(amount: Column, decimals: int) -> Column:
-    """``$1,234`` or ``$1,234.56``; a missing or zero amount shows as a dash."""
+def format_money(amount: Column, decimals: int) -> Column:
+    """``$1,234`` or ``$1,234.56``; null stays null."""
     digits = F.format_number(F.abs(F.round(amount, decimals)), decimals)
     sign = F.when(amount < 0, "-$").otherwise("$")
+    return F.concat(sign, digits)
+
+
+def show_money(amount: Column, decimals: int) -> Column:
+    """An amount as shown for one lead: a missing or zero one is a dash."""
     return F.when(
-        F.coalesce(amount, F.lit(0)) != 0, F.concat(sign, digits)
+        F.coalesce(amount, F.lit(0)) != 0, format_money(amount, decimals)
     ).otherwise(NO_VALUE)

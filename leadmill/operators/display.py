@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.functions.amounts import NO_VALUE, show_money
+from leadmill.functions.amounts import NO_VALUE, format_money, show_money
 from leadmill.functions.text import null_if_empty
 
 # Dashboard page size and the name shown for a nameless owner.
@@ -58,7 +58,7 @@ def display_stats(stats: DataFrame) -> DataFrame:
     return stats.select(
         "total_leads",
         "high",
-        show_money(F.col("total_claim_amount"), 0).alias("amount"),
+        format_money(F.col("total_claim_amount"), 0).alias("amount"),
         "pending_export",
     )
 

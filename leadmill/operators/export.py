@@ -99,11 +99,16 @@ def number_by_score(leads: DataFrame, digits: int | None = None) -> DataFrame:
     )
 
 
-def assign_batches(leads: DataFrame, size: int = EXPORT_BATCH) -> DataFrame:
-    """Add ``position`` and ``export_batch`` (from 0) to the pending leads."""
+def assign_batches(
+    leads: DataFrame, size: int = EXPORT_BATCH, digits: int | None = None
+) -> DataFrame:
+    """Add ``position`` and ``export_batch`` (from 0) to the pending leads.
+
+    ``digits`` as in ``number_by_score``.
+    """
     if size < 1:
         raise ValueError("size must be at least 1")
-    numbered = number_by_score(pending(leads))
+    numbered = number_by_score(pending(leads), digits)
     batch = F.expr(f"(position - 1) div {int(size)}")
     return numbered.withColumn("export_batch", batch)
 
@@ -130,12 +135,13 @@ def payload_batches(batched: DataFrame) -> DataFrame:
 def write_payload(batched: DataFrame, path: str) -> None:
     """Write payload rows as JSON lines, ordered by batch within each file.
 
+    Every line has all columns, null or not.
     Leads are gathered by ranges of batches, not one folder per batch: with ten
     leads a batch, that would be millions of tiny files.
     """
     payload_rows(batched).repartitionByRange("export_batch").sortWithinPartitions(
         "export_batch", "position"
-    ).write.mode("errorifexists").json(path)
+    ).write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
 
 
 def successes(results: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadmill.functions.address import address_pieces, merge_address
@@ -30,14 +30,10 @@ NORMALIZED_COLUMNS = (
 )
 ORDER = ("ingested_at", "origin", "ingest_seq")
 
-# Rows of one duplicate group beyond the HOT_GROUPS largest hold at most
-# 1/HOT_GROUPS of the input, so those few are matched by broadcast and the rest
-# by shuffle.
-HOT_GROUPS = 4096
-
-# Rows up to which hashes are broadcast: 65 characters each, some 60 MB at most.
-# Hashes that are stored are unique, so those found among them are no more.
-FEW_ROWS = 500_000
+# A duplicate group with more rows than this is matched by broadcast, as all of its
+# rows in one task would be too many. There is at most one such group for so many rows
+# of input, and each takes some 150 bytes.
+HOT_ROWS = 1_000_000
 
 
 def not_yet_normalized(raw: DataFrame, normalized: DataFrame) -> DataFrame:
@@ -51,6 +47,29 @@ def not_yet_normalized(raw: DataFrame, normalized: DataFrame) -> DataFrame:
     return raw.join(pending, "id", "left_semi")
 
 
+def work_order(raw: DataFrame, slice_rows: int = 100_000) -> DataFrame:
+    """Add ``position``: from 1, in the order in which a run takes the rows.
+
+    Rows are sliced by time, origin and ranges of their number; slice counts give each
+    slice its start, so only one small row a slice is ordered as a whole.
+    """
+    cut = raw.withColumn("slice", F.expr(f"ingest_seq div {int(slice_rows)}"))
+    keys = ["ingested_at", "origin", "slice"]
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        cut.groupBy(*keys)
+        .agg(F.count("*").alias("rows_in"))
+        .withColumn("start", F.coalesce(F.sum("rows_in").over(before), F.lit(0)))
+        .drop("rows_in")
+    )
+    inside = Window.partitionBy(*keys).orderBy("ingest_seq", "source", "id")
+    return (
+        cut.join(starts, keys)
+        .withColumn("position", F.col("start") + F.row_number().over(inside))
+        .drop("slice", "start")
+    )
+
+
 def build_normalized(
     raw: DataFrame,
     registry: Registry,
@@ -141,17 +160,15 @@ def _with_known(groups: DataFrame, existing: DataFrame | None) -> DataFrame:
     return joined.withColumn("known", known).drop("seen_before")
 
 
-def first_of_each(
-    rows: DataFrame, existing: DataFrame | None = None, few: bool = False
-) -> DataFrame:
+def first_of_each(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The first row of each duplicate group; rows without a hash all stay.
 
     ``min_by`` combines before the shuffle, so a hash shared by a large part of
     the input arrives as one row per task. With ``existing`` given, hashes it
-    already holds are dropped too, in one of two ways. Usually the join reuses the
-    aggregate's partitioning and shuffles a single column of ``existing``. With
-    ``few`` set, for at most ``FEW_ROWS`` rows, their hashes are broadcast and
-    ``existing``, however large, is only scanned; the rows are computed twice.
+    already holds are dropped too: of its one column only the hashes that occur in
+    ``rows`` are kept, and what they match is left out. Spark picks both joins by
+    size. With few new rows their hashes are sent to the scan of ``existing``; else
+    both joins share the aggregate's partitioning.
     """
     firsts = rows.groupBy(_group_key().alias("group_key")).agg(
         F.min_by(F.struct(*rows.columns), F.struct(*ORDER, "raw_record_id")).alias(
@@ -159,23 +176,18 @@ def first_of_each(
         )
     )
     if existing is not None:
-        known = _hashes(existing)
-        if few:
-            probes = rows.select(_group_key().alias("group_key"))
-            known = F.broadcast(known.join(F.broadcast(probes), "group_key", "left_semi"))
+        probes = rows.select(_group_key().alias("group_key"))
+        known = _hashes(existing).join(probes, "group_key", "left_semi")
         firsts = firsts.join(known, "group_key", "left_anti")
     return firsts.select("first.*")
 
 
 def normalize(
-    raw: DataFrame,
-    registry: Registry,
-    existing: DataFrame | None = None,
-    few: bool = False,
+    raw: DataFrame, registry: Registry, existing: DataFrame | None = None
 ) -> DataFrame:
-    """New normalized rows for pending raw rows; ``few`` as in ``first_of_each``."""
+    """New normalized rows for pending raw rows."""
     rows = build_normalized(raw, registry)
-    return first_of_each(rows, existing, few).select(*NORMALIZED_COLUMNS)
+    return first_of_each(rows, existing).select(*NORMALIZED_COLUMNS)
 
 
 def tag_duplicates(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -196,12 +208,8 @@ def tag_duplicates(rows: DataFrame, existing: DataFrame | None = None) -> DataFr
         F.struct(F.col("first.raw_record_id").alias("winner"), "known").alias("verdict"),
         "copies",
     )
-    hot = (
-        contested.orderBy(F.desc("copies"), "group_key")
-        .limit(HOT_GROUPS)
-        .select(
-            F.col("group_key").alias("dedup_hash"), F.col("verdict").alias("hot_verdict")
-        )
+    hot = contested.where(F.col("copies") > HOT_ROWS).select(
+        F.col("group_key").alias("dedup_hash"), F.col("verdict").alias("hot_verdict")
     )
     # Rows settled by the broadcast, like rows without a hash, get a key of their
     # own, which spreads them evenly and matches nothing.

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
-from uuid import uuid4
+from uuid import UUID, uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from leadmill.plans.session import shared_folder, tune
 from leadmill.sources import mappings
 from leadmill.sources.csv import read_csv_source
 from leadmill.sources.raw import batch_id, json_cells, wrap_raw
-from leadmill.sources.warehouse import NORMALIZED, RAW, SCORED, Warehouse
+from leadmill.sources.warehouse import LEADS, NORMALIZED, RAW, SCORED, Warehouse
 from leadmill.streaming.incremental import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,7 +206,14 @@ def s7_p6_crm_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = export.payload_rows(batched).schema
     rows = spark.read.schema(schema).json(f"{store.root}/payload")
     breakdown = F.get_json_object("Score Breakdown", "$.total").cast("int")
-    return rows.withColumn("breakdown_total", breakdown).drop("Score Breakdown")
+    lines = spark.read.text(f"{store.root}/payload")
+    keys = F.array_join(F.json_object_keys("value"), ",").alias("keys")
+    lead = F.get_json_object("value", "$.lead_id").alias("lead_id")
+    return (
+        rows.withColumn("breakdown_total", breakdown)
+        .drop("Score Breakdown")
+        .join(lines.select(lead, keys), "lead_id")
+    )
 
 
 # Projections and extraction.
@@ -271,6 +279,15 @@ def p7_f14_display_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return display.display_details(lead_rows(spark, sf_dir))
 
 
+@query
+def p7_display_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head line, of all leads and of none."""
+    rows = lead_rows(spark, sf_dir)
+    shown = display.display_stats(leads.stats(rows))
+    none = display.display_stats(leads.stats(rows.where(F.col("score") < 0)))
+    return shown.unionByName(none)
+
+
 @query
 def p8_page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First page of the leads of each state."""
@@ -316,9 +333,13 @@ def w6_exported_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def w7_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lead_rows(spark, sf_dir)
-    wanted = rows.agg(F.min("id")).first()[0]
-    found = leads.lead_detail(rows, wanted)
+    """One lead of the stored layer, by the id that follows from its raw row's key."""
+    store = store_in(spark)
+    store.write(lead_rows(spark, sf_dir), SCORED, "all")
+    wanted = "|".join(["src_s", "src_s:19990101T000000Z:00000000", "", "0"])
+    for step in ("", "normalized|", "lead|"):
+        wanted = str(UUID(hashlib.md5(f"{step}{wanted}".encode()).hexdigest()))
+    found = leads.lead_detail(store.read(LEADS, ["all"]), wanted)
     return found.select("*", *with_points(found)).drop("score_breakdown")
 
 
@@ -407,6 +428,44 @@ def j7_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@query
+def j7_removed_and_loaded_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each layer and pending leads after a batch was exported, removed, loaded
+    again and taken through all stages once more."""
+    store = store_in(spark)
+    jobs.ingest_raw(store, claims.order_claims(spark, sf_dir), "orders")
+    jobs.ingest_raw(store, claims.supplier_claims(spark, sf_dir), "suppliers")
+    counts = []
+
+    def note(step: str) -> None:
+        layers = [(name, store.read(name)) for name in (RAW, NORMALIZED, SCORED)]
+        layers.append(("pending", leads.pending(jobs.current_leads(store))))
+        counts.extend(
+            rows.agg(F.count("*").alias("records")).select(
+                F.lit(step).alias("step"), F.lit(name).alias("layer"), "records"
+            )
+            for name, rows in layers
+        )
+
+    jobs.normalize_new(store, REGISTRY)
+    jobs.score_new(store)
+    pushed = jobs.current_leads(store).select(
+        F.col("id").alias("lead_id"), F.col("id").alias("external_id"), F.lit(True).alias("ok")
+    )
+    jobs.record_results(store, pushed)
+    note("exported")
+    jobs.remove_raw(store, F.col("source") == "src_s")
+    note("removed")
+    jobs.ingest_raw(store, claims.supplier_claims(spark, sf_dir), "suppliers")
+    jobs.normalize_new(store, REGISTRY)
+    jobs.score_new(store)
+    note("again")
+    result = counts[0]
+    for part in counts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 # Aggregations.
 
 
@@ -417,9 +476,14 @@ def a1_a4_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def a2_count_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No lead of the short layout without keywords is high: its count is zero."""
-    rows = lead_rows(spark, sf_dir).where(F.col("source") == "src_s")
-    return scoring.count_by_priority(rows)
+    """All leads, by default rules and by rules under which none is high."""
+    found = records(spark, sf_dir)
+    strict = {**rules.DEFAULT_RULES, "priority_thresholds": {"high": 1000, "medium": 25}}
+    parts = [
+        scoring.count_by_priority(scoring.score(found, chosen)).withColumn("rules", F.lit(name))
+        for name, chosen in (("default", rules.DEFAULT_RULES), ("strict", strict))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -490,9 +554,9 @@ def o3_page_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def o4_work_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first two hundred raw rows in the order a run takes them."""
-    raw = raw_rows(spark, sf_dir)
-    return raw.orderBy(*normalize.ORDER, "source").limit(200).select("id", "ingested_at")
+    """The place of every raw row in the order a run takes them."""
+    ordered = normalize.work_order(raw_rows(spark, sf_dir))
+    return ordered.select("id", "ingested_at", "position")
 
 
 # Field rules.
@@ -722,22 +786,24 @@ def k3_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders arriving as a stream, run twice; the second run finds nothing new."""
+    """Orders, then suppliers, as streams, run twice; the second runs find nothing new."""
     store = store_in(spark)
 
-    def wrap(orders: DataFrame, batch: str) -> DataFrame:
-        return claims.order_claims(spark, sf_dir, orders)
+    def orders(rows: DataFrame, batch: str) -> DataFrame:
+        return claims.order_claims(spark, sf_dir, rows)
+
+    def suppliers(rows: DataFrame, batch: str) -> DataFrame:
+        return claims.supplier_claims(spark, sf_dir, rows)
 
-    schema = claims.table(spark, sf_dir, "orders").schema
     for _ in range(2):
-        stream = (
-            spark.readStream.schema(schema)
-            .option("pathGlobFilter", "orders.parquet")
-            .parquet(sf_dir)
-        )
-        run_available(
-            store, stream, wrap, "orders", f"{store.root}/checkpoint", REGISTRY
-        )
+        for name, wrap in (("orders", orders), ("supplier", suppliers)):
+            stream = (
+                spark.readStream.schema(claims.table(spark, sf_dir, name).schema)
+                .option("pathGlobFilter", f"{name}.parquet")
+                .parquet(sf_dir)
+            )
+            checkpoint = f"{store.root}/checkpoint-{name}"
+            run_available(store, stream, wrap, name, checkpoint, REGISTRY)
     return leads.summaries(jobs.current_leads(store))
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.plans.session import spread
 from leadmill.sources.mappings import LISTING, KeyMapping, Registry
 from leadmill.sources.raw import batch_id, wrap_raw
 
@@ -72,7 +71,7 @@ def order_listings(
 ) -> DataFrame:
     """One listing per order, plus a second one for every 23rd order key."""
     if orders is None:
-        orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+        orders = table(spark, sf_dir, "orders")
     joined = orders.join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -193,9 +192,13 @@ def order_claims(
     return raw.withColumn("raw_data", cells)
 
 
-def supplier_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_claims(
+    spark: SparkSession, sf_dir: str, suppliers: DataFrame | None = None
+) -> DataFrame:
     """Raw rows of suppliers in the short layout."""
-    suppliers = table(spark, sf_dir, "supplier").join(
+    if suppliers is None:
+        suppliers = table(spark, sf_dir, "supplier")
+    suppliers = suppliers.join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     listings = suppliers.select(

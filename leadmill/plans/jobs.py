@@ -34,6 +34,7 @@ from leadmill.sources.warehouse import (
     RAW,
     RESULTS,
     SCORED,
+    State,
     Warehouse,
 )
 
@@ -73,20 +74,29 @@ def _now(at: datetime | None) -> Column:
     return F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
 
 
-def _at_most(stored: DataFrame, limit: int) -> bool:
-    """Compare a count taken from file footers."""
-    return stored.agg(F.count("*")).first()[0] <= limit
-
-
 def ingest_raw(store: Warehouse, raw: DataFrame, batch: str) -> IngestResult:
     """Append one batch of wrapped rows, whole or not at all.
 
-    A batch that is in the store already is left alone, so a replay is harmless.
+    A batch whose rows are in the store is left alone, so a replay is harmless. One that
+    was removed as a whole may come again: its rows go into a new folder and are new to
+    all later stages.
     """
-    if batch not in store.state().runs:
-        store.write(raw, RAW, batch)
-        store.commit(batch, add={RAW: [batch]})
-    return IngestResult(batch, store.count(RAW, batch))
+    state = store.state()
+    if state.holds(batch):
+        return IngestResult(batch, _batch_rows(store, state, batch))
+    folder = batch if batch not in state.runs else _run_name(f"again-{batch}")
+    store.write(raw, RAW, folder)
+    moved = {} if folder == batch else {batch: folder}
+    store.commit(batch, add={RAW: [folder]}, moved=moved)
+    return IngestResult(batch, store.count(RAW, folder))
+
+
+def _batch_rows(store: Warehouse, state: State, batch: str) -> int:
+    if batch in state.live.get(RAW, []):
+        return store.count(RAW, batch)
+    # What a removal left of several batches may share a folder.
+    rows = store.read(RAW, [state.moved[batch]])
+    return rows.where(F.col("file_batch_id") == batch).agg(F.count("*")).first()[0]
 
 
 def ingest_csv(
@@ -129,8 +139,7 @@ def normalize_new(
         seen = store.read(RAW, fresh).unionByName(store.read(LEFTOVER, left))
         existing = store.read(NORMALIZED) if state.live.get(NORMALIZED) else None
 
-        few = _at_most(seen, normalize.FEW_ROWS)
-        kept = normalize.normalize(seen, registry, existing, few)
+        kept = normalize.normalize(seen, registry, existing)
         store.write(kept.withColumn("created_at", _now(at)), NORMALIZED, run)
         written = store.read(NORMALIZED, [run])
         leftover = normalize.not_yet_normalized(seen, written)
@@ -233,45 +242,64 @@ def export_result(pushed: DataFrame, results: DataFrame) -> ExportResult:
 
 
 def remove_raw(store: Warehouse, condition: Column) -> None:
-    """Remove raw rows meeting ``condition`` with all their descendants.
+    """Remove raw rows meeting ``condition`` with all their descendants and results.
 
-    Later runs may then keep rows that were duplicates of the removed ones.
+    Folders without such rows stay, those of such rows only are retired, and just the
+    others are written anew. Later runs may then keep rows that were duplicates of the
+    removed ones, and a batch that went as a whole can be ingested again. Retired folders
+    are deleted by ``Warehouse.vacuum``.
     """
     state = store.state()
     run = _run_name("remove")
-    unscored = f"{run}-unscored"
-
-    def waiting(layer: str) -> list[str]:
-        return [name for name in state.live.get(layer, []) if name not in state.covered]
-
-    def done(layer: str) -> list[str]:
-        return [name for name in state.live.get(layer, []) if name in state.covered]
-
+    doomed = F.coalesce(condition, F.lit(False))
     raw, records, scored = integrity.cascade(
-        store.read(RAW), store.read(NORMALIZED, done(NORMALIZED)), store.read(LEADS), condition
-    )
-    _, unscored_records, _ = integrity.cascade(
-        store.read(RAW), store.read(NORMALIZED, waiting(NORMALIZED)), store.read(LEADS), condition
-    )
-    # Raw rows no run has looked at join the leftover, which the next one reads.
-    unseen = store.read(LEFTOVER).unionByName(store.read(RAW, waiting(RAW)))
-    leftover = unseen.where(~F.coalesce(condition, F.lit(False)))
-
-    store.write(raw.hint("rebalance", "source"), RAW, run)
-    store.write(leftover.hint("rebalance", "source"), LEFTOVER, run)
-    store.write(records, NORMALIZED, run)
-    store.write(unscored_records, NORMALIZED, unscored)
-    store.write(scored, SCORED, run)
-    layers = (RAW, LEFTOVER, NORMALIZED, SCORED)
-    store.commit(
-        run,
-        add={
-            RAW: [run],
-            LEFTOVER: [run],
-            NORMALIZED: [run, unscored],
-            SCORED: [run],
-        },
-        retire={layer: state.live.get(layer, []) for layer in layers},
-        covers=[run],
-        removed=True,
+        store.read(RAW), store.read(NORMALIZED), store.read(LEADS), condition, remove=False
     )
+    add: dict[str, list[str]] = {}
+    retire: dict[str, list[str]] = {}
+    covers: list[str] = []
+    moved: dict[str, str] = {}
+    for layer, key, ids in (
+        (RAW, "id", raw),
+        (LEFTOVER, "id", raw),
+        (NORMALIZED, "id", records),
+        (SCORED, "id", scored),
+        (RESULTS, "lead_id", scored),
+    ):
+        stored = LEADS if layer == SCORED else layer
+        gone = ids.select(F.col("id").alias("gone"))
+
+        def hit(rows: DataFrame, how: str, key=key, gone=gone, layer=layer) -> DataFrame:
+            if layer in (RAW, LEFTOVER):  # the condition itself, without a join
+                return rows.where(doomed if how == "left_semi" else ~doomed)
+            return rows.join(gone, rows[key] == gone["gone"], how)
+
+        rows = store.read(stored, state.live.get(layer, []), folders=True)
+        hits = _by_folder(hit(rows, "left_semi"))
+        if not hits:
+            continue
+        totals = _by_folder(rows.where(F.col("run").isin(list(hits))))
+        partly = [name for name in hits if hits[name] < totals[name]]
+        retire[layer] = list(hits)
+        add[layer] = []
+        for done in (True, False):
+            names = [name for name in partly if (name in state.covered) == done]
+            if not names:
+                continue
+            folder = f"{run}-{layer}-{'done' if done else 'waiting'}"
+            left = hit(store.read(stored, names), "left_anti")
+            if layer in (RAW, LEFTOVER):
+                left = left.hint("rebalance", "source")
+            store.write(left, layer, folder)
+            add[layer].append(folder)
+            covers += [folder] * done
+            if layer == RAW:
+                held = {batch: name for batch, name in state.moved.items() if name in names}
+                moved.update({batch: folder for batch in [*names, *held]})
+    if retire:
+        store.commit(run, add=add, retire=retire, covers=covers, removed=True, moved=moved)
+
+
+def _by_folder(rows: DataFrame) -> dict[str, int]:
+    """Rows of each folder; one entry for each run that wrote the layer."""
+    return {row["run"]: row["count"] for row in rows.groupBy("run").count().collect()}

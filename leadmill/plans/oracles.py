@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from leadmill.functions.names import BUSINESS_WORDS
+from leadmill.operators.export import PAYLOAD_COLUMNS
+
 _NUMBER = r"\s*\$?\s*([0-9][0-9,]*(?:\.\d+)?)"
 _FREEFORM = r"^(.*?),\s*([^,]+),\s*([A-Za-z]{2})\s+(\d{5}(?:-\d{4})?)$"
-_MARKERS = (
-    "LLC|L.L.C.|INC|INC.|CORP|CORP.|CO.|LP|L.P.|LLP|L.L.P.|PARTNERS|FUND|ASSOCIATES|"
-    "ASSOC|COMPANY|HOLDINGS|GROUP|ENTERPRISES|SOLUTIONS|SERVICES"
-).split("|")
+_KEYS = ",".join(["export_batch", "position", "lead_id", *PAYLOAD_COLUMNS])
 _CUTOFF = "TIMESTAMP '1997-01-01 00:00:00'"
 
 
@@ -125,7 +125,7 @@ rows0 AS (
   SELECT *,
     CASE WHEN name IS NULL THEN 'unknown'
       WHEN starts_with(name, 'ESTATE OF ') THEN 'estate'
-      WHEN {" OR ".join(f"contains(' ' || name || ' ', ' {m} ')" for m in _MARKERS)}
+      WHEN {" OR ".join(f"contains(' ' || name || ' ', ' {m} ')" for m in BUSINESS_WORDS)}
         THEN 'business'
       WHEN contains(' ' || name || ' ', ' TRUST ') THEN 'estate'
       ELSE 'individual' END AS entity_type,
@@ -391,11 +391,11 @@ ORACLES: dict[str, str] = {
     ),
     "s7_p6_crm_payload": _over(
         "batched",
-        """SELECT export_batch, position, lead_id, name AS "Name",
+        f"""SELECT export_batch, position, lead_id, name AS "Name",
         entity_type AS "Entity Type", line1 AS "Address Line 1", city AS "City",
         state AS "State", zip AS "Zip", CAST(amount AS DOUBLE) AS "Claim Amount",
         source AS "Source", priority AS "Priority", score AS "Score",
-        score AS breakdown_total FROM batched""",
+        score AS breakdown_total, '{_KEYS}' AS keys FROM batched""",
     ),
     "p1_extract": _over(
         "rows",
@@ -444,6 +444,15 @@ ORACLES: dict[str, str] = {
         CASE WHEN exported THEN 'exported' ELSE 'pending export' END AS crm
         FROM leads""",
     ),
+    "p7_display_stats": _over(
+        "leads",
+        """SELECT count(*) AS total_leads, count(*) FILTER (priority = 'high') AS high,
+        CASE WHEN sum(amount) < 0 THEN '-$' ELSE '$' END
+          || format('{:,}', CAST(abs(round(coalesce(sum(amount), 0), 0)) AS BIGINT))
+          AS amount,
+        count(*) FILTER (NOT exported) AS pending_export FROM leads
+        UNION ALL SELECT 0, 0, '$0', 0""",
+    ),
     "p8_page_ranges": _over(
         "leads",
         """SELECT state, total, CASE WHEN total = 0 THEN 0 ELSE 26 END AS start,
@@ -462,7 +471,9 @@ ORACLES: dict[str, str] = {
         "leads", "SELECT count(*) FILTER (exported) AS exported FROM leads"
     ),
     "w7_lookup": _over(
-        "leads", f"{_DETAIL} WHERE lead_id = (SELECT min(lead_id) FROM leads)"
+        "leads",
+        f"{_DETAIL} WHERE source = 'src_s' AND name = (SELECT upper(s_name) || ' HOLDINGS'"
+        " FROM supplier WHERE s_suppkey = 0)",
     ),
     "w9_j4_of_batch": _over(
         "leads",
@@ -497,6 +508,21 @@ ORACLES: dict[str, str] = {
         FROM pending_rows WHERE NOT known AND nth = 1""",
     ),
     "j7_cascade": _over("leads", _cascade()),
+    "j7_removed_and_loaded_again": _over(
+        "leads",
+        """SELECT step, layer, CAST(CASE
+          WHEN layer = 'pending' AND step <> 'again' THEN 0
+          WHEN layer = 'pending' THEN gone_kept
+          WHEN layer = 'raw' THEN all_raw - CASE step WHEN 'removed' THEN gone_raw ELSE 0 END
+          ELSE all_kept - CASE step WHEN 'removed' THEN gone_kept ELSE 0 END
+          END AS BIGINT) AS records
+        FROM (SELECT count(*) AS all_raw, count(*) FILTER (source = 'src_s') AS gone_raw
+              FROM raw),
+          (SELECT count(*) AS all_kept, count(*) FILTER (source = 'src_s') AS gone_kept
+           FROM kept),
+          (VALUES ('exported'), ('removed'), ('again')) AS s(step),
+          (VALUES ('raw'), ('normalized'), ('scored'), ('pending')) AS l(layer)""",
+    ),
     "a1_a4_stats": _over(
         "leads",
         """SELECT count(*) AS total_leads, count(*) FILTER (priority = 'high') AS high,
@@ -508,10 +534,13 @@ ORACLES: dict[str, str] = {
     ),
     "a2_count_by_priority": _over(
         "leads",
-        """SELECT p.priority, count(l.lead_id) AS leads
-        FROM (VALUES ('high'), ('medium'), ('low')) AS p(priority)
-        LEFT JOIN (SELECT * FROM leads WHERE source = 'src_s') AS l
-          ON l.priority = p.priority GROUP BY p.priority""",
+        """SELECT p.rules, p.priority, count(l.lead_id) AS leads
+        FROM (SELECT * FROM (VALUES ('high'), ('medium'), ('low')) AS v(priority),
+              (VALUES ('default'), ('strict')) AS r(rules)) AS p
+        LEFT JOIN leads AS l ON p.priority = CASE
+          WHEN p.rules = 'strict' AND l.priority = 'high' THEN 'medium'
+          ELSE l.priority END
+        GROUP BY p.rules, p.priority""",
     ),
     "a5_filtered_count": _over(
         "leads",
@@ -566,8 +595,8 @@ ORACLES: dict[str, str] = {
     ),
     "o4_work_order": _over(
         "raw",
-        f"""SELECT id, {_STAMP.format("listed_at")} AS ingested_at
-        FROM raw ORDER BY listed_at, seq, source LIMIT 200""",
+        f"""SELECT id, {_STAMP.format("listed_at")} AS ingested_at,
+        row_number() OVER (ORDER BY listed_at, seq, source) AS position FROM raw""",
     ),
     "f1_f6_clean_fields": _over(
         "rows",
@@ -685,7 +714,7 @@ ORACLES: dict[str, str] = {
     ),
     "m1_stream": _over(
         "leads",
-        f"{_SUMMARY.replace('exported AS', 'false AS')} WHERE source <> 'src_s'",
+        _SUMMARY.replace("exported AS", "false AS"),
     ),
     "m1_two_runs": _over(
         "rows",

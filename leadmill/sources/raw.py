@@ -12,6 +12,8 @@ from leadmill.functions.identity import record_id
 from leadmill.sources.csv import BLOCK_COLUMN, FILE_COLUMN
 
 _POSITION = (FILE_COLUMN, BLOCK_COLUMN)
+# The cell that holds a record which could not be taken apart.
+MALFORMED = "__malformed"
 
 
 def batch_id(source: Column, at: Column, suffix: Column) -> Column:
@@ -27,8 +29,13 @@ def new_batch_id(source: str, at: datetime | None = None, suffix: str | None = N
 
 
 def json_cells(text: Column) -> Column:
-    """Cells of a JSON object; a nested value stays JSON text."""
-    return F.from_json(text, "map<string,string>")
+    """Cells of a JSON object; a nested value stays JSON text.
+
+    Text that is no JSON object is kept whole in the cell ``MALFORMED``.
+    """
+    cells = F.from_json(text, "map<string,string>")
+    whole = F.create_map(F.lit(MALFORMED), text)
+    return F.when(cells.isNull() & text.isNotNull(), whole).otherwise(cells)
 
 
 def wrap_raw(

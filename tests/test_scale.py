@@ -54,20 +54,19 @@ def _brute_force(rows, existing):
 
 
 @pytest.mark.parametrize("existing", [set(), {"hot", "h1"}, {"h3", "other"}])
-@pytest.mark.parametrize("hot_groups", [1, 4096])
-def test_duplicates_of_hot_groups(spark, monkeypatch, existing, hot_groups):
-    monkeypatch.setattr(normalize, "HOT_GROUPS", hot_groups)
+@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
+def test_duplicates_of_hot_groups(spark, monkeypatch, existing, hot_rows):
+    monkeypatch.setattr(normalize, "HOT_ROWS", hot_rows)
     rows = _hot_rows(spark)
     known = spark.createDataFrame([(h,) for h in existing] + [(None,)], "dedup_hash STRING")
     expected = _brute_force(rows, existing)
     tags = normalize.tag_duplicates(rows, known).collect()
     assert len(tags) == len(expected)
     assert {row.raw_record_id: row.outcome for row in tags} == expected
-    for few in (False, True):
-        kept = normalize.first_of_each(rows, known, few).collect()
-        assert {row.raw_record_id for row in kept} == {
-            key for key, outcome in expected.items() if outcome == "kept"}
-        assert len(kept) == len({row.raw_record_id for row in kept})
+    kept = normalize.first_of_each(rows, known).collect()
+    assert {row.raw_record_id for row in kept} == {
+        key for key, outcome in expected.items() if outcome == "kept"}
+    assert len(kept) == len({row.raw_record_id for row in kept})
 
 
 def test_first_of_each_combines_before_one_shuffle(spark):
@@ -81,9 +80,8 @@ def test_first_of_each_combines_before_one_shuffle(spark):
         plan = _plan(normalize.first_of_each(rows, existing))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # One for the rows, one for the stored hashes; the join adds none.
-    assert plan.count("Exchange hashpartitioning(group_key") == 1
-    assert plan.count("Exchange") == 2 and "LeftAnti" in plan
+    # One for the rows, one for their keys, one for the stored hashes; no join adds any.
+    assert plan.count("Exchange") == 3 and "LeftAnti" in plan and "LeftSemi" in plan
 
 
 def test_a_small_increment_only_scans_the_stored_hashes(spark, tmp_path):
@@ -91,7 +89,7 @@ def test_a_small_increment_only_scans_the_stored_hashes(spark, tmp_path):
     spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("dedup_hash"),
                              F.lit("x").alias("other")).write.parquet(path)
     stored = spark.read.parquet(path)
-    plan = _plan(normalize.first_of_each(_hot_rows(spark), stored, few=True))
+    plan = _plan(normalize.first_of_each(_hot_rows(spark), stored))
     assert "SortMergeJoin" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
     assert "ReadSchema: struct<dedup_hash:string>" in plan

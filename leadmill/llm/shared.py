@@ -18,6 +18,17 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_ASCII = {ord(letter): letter.lower() for letter in UPPER}
 
 
+#: Text a Python worker is given at a time; one longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
+
+
+def mapped(frame: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with batches of bounded size, however long the texts are."""
+    conf = frame.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return frame.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.llm.shared import crc_of_id, frequent, stored
+from leadmill.llm.shared import crc_of_id, frequent, mapped, stored, word_runs
 
 ORDER = 4
 GRAMS = 200_000
@@ -59,15 +59,16 @@ LOOKS = {
 _SIGNS = re.escape("".join(sign for sign in LOOKS if not sign.isdigit()))
 _TOKEN = re.compile(rf"[^\W_{_SIGNS}]+(?:[{_SIGNS}]+[^\W_{_SIGNS}]+)*|[{_SIGNS}]+[^\W_{_SIGNS}]+(?:[{_SIGNS}]+[^\W_{_SIGNS}]+)*")
 _APART = re.compile(
-    rf"(?<![^\W_])(?:(?:[^\W_]|[{_SIGNS}])[ .*_~-]{{1,3}}){{2,}}(?:[^\W_]|[{_SIGNS}])(?![^\W_])"
+    rf"(?<![^\W_])(?:(?:[^\W_]|[{_SIGNS}])[.*_~-]{{1,3}}){{2,}}(?:[^\W_]|[{_SIGNS}])(?![^\W_])"
 )
 _GAP_SIGNS = re.compile(r"[.*_~-]")
-_GAPS = re.compile(r"[ .*_~-]+")
+_EDGES = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _REPEAT = re.compile(r"(.)\1")
 #: Prices in natural logarithms: reading a sign as a letter, leaving out a repeat.
 READ, SECOND, REPEAT, LONG_REPEAT = 1.0, 1.5, 4.0, 0.5
 _START, _END = "^", "$"
+_NOTHING: tuple[Counter | None, str] = (None, "")
 
 
 class CharModel:
@@ -108,32 +109,37 @@ def grams_of(word: str, order: int = ORDER) -> list[str]:
     ]
 
 
-def _options(signs: str) -> list[list[tuple[str, float]]]:
-    """For each sign of a word the letters it may stand for and their prices."""
-    lattice = []
-    for at, sign in enumerate(signs):
-        looks = LOOKS.get(sign, "")
-        here = [(look, READ if n == 0 else SECOND) for n, look in enumerate(looks)]
-        if sign.isalpha() or not looks:
-            here.append((sign, 0.0))
-        if at and signs[at - 1] == sign:
-            long = signs[max(0, at - 2) : at] == sign * 2 or signs[at : at + 2] == sign * 2
-            here.append(("", LONG_REPEAT if long else REPEAT))
-        lattice.append(here)
-    return lattice
+def _options(signs: str, at: int) -> list[tuple[str, float]]:
+    """The letters that a sign of a word may stand for, and their prices."""
+    sign = signs[at]
+    looks = LOOKS.get(sign, "")
+    here = [(look, READ if n == 0 else SECOND) for n, look in enumerate(looks)]
+    if sign.isalpha() or not looks:
+        here.append((sign, 0.0))
+    if at and signs[at - 1] == sign:
+        long = signs[max(0, at - 2) : at] == sign * 2 or signs[at : at + 2] == sign * 2
+        here.append(("", LONG_REPEAT if long else REPEAT))
+    return here
 
 
 def decode(signs: str, model: CharModel) -> str:
     """The most likely word behind a spelling."""
     keep = model.order - 1
-    # Paths by their last letters, which is all that the model looks back to.
+    # Paths by their last letters, which is all that the model looks back to. While there
+    # is only one path, what it costs does not matter.
     paths: dict[str, tuple[float, str]] = {_START: (0.0, "")}
-    for here in _options(signs):
+    before = ""
+    for at, sign in enumerate(signs):
+        one = sign != before and sign not in LOOKS
+        before = sign
+        if one and len(paths) == 1:
+            ((context, (_, word)),) = paths.items()
+            paths = {(context + sign)[-keep:]: (0.0, word + sign)}
+            continue
         following: dict[str, tuple[float, str]] = {}
-        for context, (price, word) in paths.items():
-            for letter, extra in here:
-                total = price + extra
-                after = context
+        for letter, extra in [(sign, 0.0)] if one else _options(signs, at):
+            for context, (price, word) in paths.items():
+                total, after = price + extra, context
                 if letter:
                     total += model.cost(context, letter)
                     after = (context + letter)[-keep:]
@@ -141,6 +147,9 @@ def decode(signs: str, model: CharModel) -> str:
                 if best is None or total < best[0]:
                     following[after] = (total, word + letter)
         paths = following
+    if len(paths) == 1:
+        ((_, (_, word)),) = paths.items()
+        return word
     ends = (
         (price + model.cost(context, _END), word)
         for context, (price, word) in paths.items()
@@ -156,63 +165,110 @@ class Restorer:
         self.cache: dict[str, str] = {}
 
     def word(self, token: str) -> str:
+        if token.isdigit() or token.isalpha() and not _REPEAT.search(token):
+            return token
         known = self.cache.get(token)
         if known is None:
-            plain = token.isdigit() or token.isalpha() and not _REPEAT.search(token)
-            known = token if plain else decode(token, self.model)
             if len(self.cache) >= _CACHE:
                 self.cache.clear()
-            self.cache[token] = known
+            known = self.cache[token] = decode(token, self.model)
         return known
 
-    def words(self, text: str | None) -> list[str]:
-        """The restored words, and those that were written letter by letter."""
-        if not text:
-            return []
-        low, known, word = text.lower(), self.cache.get, self.word
-        words = [known(token) or word(token) for token in _TOKEN.findall(low)]
-        for run in _APART.findall(low):
-            # Other signs between the letters: then blanks are between words.
-            for apart in run.split(" ") if _GAP_SIGNS.search(run) else [run]:
-                joined = _GAPS.sub("", apart)
-                if len(joined) > 2:
-                    words.append(word(joined))
+    def chunk(self, chunk: str) -> list[str]:
+        """The words of what stands between white space."""
+        low = chunk.lower()
+        core = low.rstrip(".,;:")
+        if core.isalpha():
+            return [self.word(core)]
+        words = [self.word(token) for token in _TOKEN.findall(low)]
+        if len(low) > 4 and _GAP_SIGNS.search(low):
+            for apart in _APART.findall(low):
+                words.append(self.word(_GAP_SIGNS.sub("", apart)))
         return words
 
+    def spelt(self, letters: list[str]) -> str:
+        """The word of letters that were set apart by blanks."""
+        return self.word("".join(letters))
+
+    def words(self, text: str | None) -> list[str]:
+        """The restored words, then those that were written letter by letter."""
+        chunks = text.split() if text else []
+        found = [word for chunk in chunks for word in self.chunk(chunk)]
+        letters = [letter_of(chunk) for chunk in chunks]
+        for start, stop in _runs(np.array([bool(x) for x in letters], dtype=bool)):
+            found.append(self.spelt(letters[start:stop]))
+        return found
+
+
+def letter_of(chunk: str) -> str:
+    """The letter or sign that a chunk is, but for punctuation; else empty."""
+    if len(chunk) > 8 or chunk.isalpha():
+        return chunk.lower() if len(chunk) == 1 else ""
+    core = _EDGES.sub("", chunk.lower())
+    return core if len(core) == 1 else ""
+
+
+def _runs(single: np.ndarray, least: int = 3) -> list[tuple[int, int]]:
+    """Where at least ``least`` in a row are set."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
+    pairs = edges.reshape(-1, 2)
+    return [(a, b) for a, b in pairs.tolist() if b - a >= least]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word, n`` of plain words, added up as far as memory allows."""
+    held: Counter = Counter()
+    kind = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def flush() -> pa.RecordBatch:
+        counts = pa.array(held.values(), pa.int64())
+        rows = pa.RecordBatch.from_pydict({"word": list(held), "n": counts}, schema=kind)
+        held.clear()
+        return rows
+
+    for batch in batches:
+        for chunks, places, _ in word_runs(batch.column(0)):
+            counts = np.bincount(places, minlength=len(chunks)).tolist()
+            for chunk, count in zip(chunks, counts, strict=True):
+                for word in _PLAIN.findall(chunk.lower()):
+                    held[word] += count
+            if len(held) > _FLUSH:
+                yield flush()
+    yield flush()
+
 
 def character_model(
     docs: DataFrame, text_column: str = "text", grams: int = GRAMS, order: int = ORDER
 ) -> CharModel:
     """The character model of all texts; the ``grams`` most frequent n-grams are kept."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        kind = pa.schema([("gram", pa.string()), ("n", pa.int64())])
 
         def flush() -> pa.RecordBatch:
-            found: Counter = Counter()
-            for word, n in words.items():
-                for gram in grams_of(word, order):
-                    found[gram] += n
-            words.clear()
-            return pa.RecordBatch.from_pydict(
-                {"gram": list(found), "n": pa.array(found.values(), pa.int64())},
-                schema=pa.schema([("gram", pa.string()), ("n", pa.int64())]),
-            )
+            counts = pa.array(found.values(), pa.int64())
+            rows = pa.RecordBatch.from_pydict({"gram": list(found), "n": counts}, schema=kind)
+            found.clear()
+            return rows
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    words.update(_PLAIN.findall(text.lower()))
-                    if len(words) > _FLUSH:
-                        yield flush()
+            for word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for gram in grams_of(word, order):
+                    found[gram] += n
+            if len(found) > _FLUSH:
+                yield flush()
         yield flush()
 
-    counts = stored(
+    words = (
         docs.select(F.col(text_column).alias("t"))
-        .mapInArrow(count, "gram string, n long")
-        .groupBy("gram")
+        .transform(mapped, _count_words, "word string, n long")
+        .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
+    counts = stored(
+        words.transform(mapped, cut, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    )
     rows = frequent(counts, "n", grams).toPandas()
     return CharModel(dict(zip(rows["gram"], rows["n"].tolist(), strict=True)), order)
 
@@ -229,6 +285,10 @@ class Lexicon:
         self.features = frozenset(features)
         self.heads = frozenset(feature[: BEGINNINGS[0]] for feature in self.features)
 
+    def may_hold(self, words: list[str]) -> bool:
+        heads, size = self.heads, BEGINNINGS[0]
+        return any([word[:size] in heads for word in words])
+
     def count(self, words: list[str]) -> Counter:
         heads, size = self.heads, BEGINNINGS[0]
         likely = [word for word in words if word[:size] in heads]
@@ -240,15 +300,53 @@ class Lexicon:
         )
 
 
+class Measure:
+    """Counts the features of a lexicon in texts, looking at each chunk only once."""
+
+    def __init__(self, restorer: Restorer, features):
+        self.restorer, self.lexicon = restorer, Lexicon(features)
+        self.cache: dict[str, tuple[Counter | None, str]] = {}
+
+    def _chunk(self, chunk: str) -> tuple[Counter | None, str]:
+        known = self.cache.get(chunk)
+        if known is None:
+            words = self.restorer.chunk(chunk)
+            found = self.lexicon.count(words) if self.lexicon.may_hold(words) else None
+            if len(self.cache) >= _CACHE:
+                self.cache.clear()
+            letter = letter_of(chunk)
+            known = (found, letter) if found or letter else _NOTHING
+            self.cache[chunk] = known
+        return known
+
+    def __call__(self, texts: pa.Array) -> Iterator[Counter]:
+        for chunks, places, counts in word_runs(texts):
+            known = [self._chunk(chunk) for chunk in chunks]
+            telling = np.array([bool(found) for found, _ in known], dtype=bool)
+            single = np.array([bool(letter) for _, letter in known], dtype=bool)
+            stops = np.cumsum(counts)
+            each = [Counter() for _ in counts]
+            for at in np.flatnonzero(telling[places]) if len(places) else []:
+                text = int(np.searchsorted(stops, at, "right"))
+                each[text].update(known[places[at]][0])
+            # Letters set apart; a run ends with its text.
+            alone = np.flatnonzero(single[places]) if len(places) else np.empty(0, int)
+            for text in np.unique(np.searchsorted(stops, alone, "right")).tolist():
+                begin = int(stops[text] - counts[text])
+                own = places[begin : int(stops[text])]
+                for start, stop in _runs(single[own]):
+                    letters = [known[place][1] for place in own[start:stop]]
+                    each[text].update(self.lexicon.count([self.restorer.spelt(letters)]))
+            yield from each
+
+
 class Scorer:
     """Logistic regression on how often the features of a lexicon occur."""
 
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
-        self.lexicon = Lexicon(weights)
 
-    def score(self, words: list[str]) -> float:
-        found = self.lexicon.count(words)
+    def score(self, found: Counter) -> float:
         total = self.bias + sum(
             self.weights[name] * math.log1p(count) for name, count in sorted(found.items())
         )
@@ -312,7 +410,7 @@ def fit(
     words = [
         row["word"]
         for row in labelled.select("text", "toxic")
-        .mapInArrow(count, "word string, clean long, toxic long")
+        .transform(mapped, count, "word string, clean long, toxic long")
         .groupBy("word")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(F.col("toxic") >= least_docs)
@@ -324,26 +422,21 @@ def fit(
     ]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(CharModel(*shared.value))
-        places, chosen = {word: at for at, word in enumerate(words)}, Lexicon(words)
+        count_features = Measure(Restorer(CharModel(*shared.value)), words)
+        places = {word: at for at, word in enumerate(words)}
+        kind = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
         for batch in batches:
-            rows = []
-            for text in batch.column(0).to_pylist():
-                found = chosen.count(restorer.words(text))
-                rows.append(
-                    [
-                        {"at": places[word], "n": count}
-                        for word, count in sorted(found.items())
-                    ]
-                )
-            kind = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
+            rows = [
+                [{"at": places[name], "n": n} for name, n in sorted(found.items())]
+                for found in count_features(batch.column(0))
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(rows, kind)], names=["toxic", "found"]
             )
 
     rows = (
         labelled.select("text", "toxic")
-        .mapInArrow(measure, "toxic int, found array<struct<at:int,n:int>>")
+        .transform(mapped, measure, "toxic int, found array<struct<at:int,n:int>>")
         .collect()
     )
     features = np.zeros((len(rows), len(words) + 1))
@@ -398,6 +491,7 @@ def labelled_sample(
         .select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
         .orderBy(F.xxhash64("text", "toxic"))
         .limit(sample)
+        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     )
 
 
@@ -420,10 +514,10 @@ class Detector:
         @F.arrow_udf("double")
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             counts, order, weights, bias = shared.value
-            restorer, scorer = Restorer(CharModel(counts, order)), Scorer(weights, bias)
+            scorer = Scorer(weights, bias)
+            measure = Measure(Restorer(CharModel(counts, order)), weights)
             for texts in batches:
-                found = [scorer.score(restorer.words(t.as_py())) for t in texts]
-                yield pa.array(found, pa.float64())
+                yield pa.array([scorer.score(f) for f in measure(texts)], pa.float64())
 
         return score(F.col(text_column))
 

@@ -15,7 +15,7 @@ from leadmill.operators import display, export, integrity, leads, normalize, sco
 from leadmill.plans import claims, jobs
 from leadmill.plans.session import shared_folder, tune
 from leadmill.sources import mappings
-from leadmill.sources.csv import read_csv_source
+from leadmill.sources.csv import LINE_COLUMN, read_csv_source
 from leadmill.sources.raw import batch_id, json_cells, wrap_raw
 from leadmill.sources.warehouse import LEADS, NORMALIZED, RAW, SCORED, Warehouse
 from leadmill.streaming.incremental import run_available
@@ -122,6 +122,28 @@ def s1_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.na.fill("")
 
 
+@query
+def s1_csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with columns in another order, and with a cell too many in each row."""
+    path = f"{store_in(spark).root}/csv"
+    listings = claims.order_listings(spark, sf_dir)
+    own = F.col("source") == "src_a"
+    for name, rows, cells in (
+        ("one", listings.where(own), claims.LISTING_CELLS),
+        ("two", listings.where(~own), claims.LISTING_CELLS[::-1]),
+    ):
+        writer = rows.select(*cells).write.option("header", True).option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer.option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{name}")
+    suppliers = claims.table(spark, sf_dir, "supplier")
+    header = spark.range(1).select(F.lit("owner_name,property_id").alias("line"))
+    lines = suppliers.select(F.concat_ws(",", "s_name", "s_suppkey", F.lit("more")).alias("line"))
+    sorted_lines = header.withColumn("n", F.lit(0)).unionByName(lines.withColumn("n", F.lit(1)))
+    sorted_lines.coalesce(1).sortWithinPartitions("n").select("line").write.text(f"{path}/three")
+    rows = read_csv_source(spark, [f"{path}/{name}" for name in ("one", "two", "three")])
+    return rows.select(*claims.LISTING_CELLS, F.col(LINE_COLUMN).alias("line")).na.fill("")
+
+
 @query
 def s2_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_rows(spark, sf_dir)

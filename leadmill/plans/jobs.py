@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.rules import DEFAULT_RULES, PRIORITIES
 from leadmill.operators import export, integrity, leads, normalize, scoring
-from leadmill.sources.csv import read_csv_source
+from leadmill.sources.csv import read_csv_groups
 from leadmill.sources.mappings import (
     DEFAULT_REGISTRY,
     Registry,
@@ -110,8 +110,12 @@ def ingest_csv(
 ) -> IngestResult:
     at = at or datetime.now(timezone.utc)
     batch = batch or new_batch_id(source, at)
-    rows = read_csv_source(store.spark, path, encoding, multi_line)
-    raw = wrap_raw(rows, F.lit(source), F.lit(batch), _now(at))
+    # Each file is read by its own header.
+    groups = read_csv_groups(store.spark, path, encoding, multi_line)
+    parts = [wrap_raw(rows, F.lit(source), F.lit(batch), _now(at)) for rows in groups]
+    raw = parts[0] if parts else store.read(RAW, [])
+    for part in parts[1:]:
+        raw = raw.unionByName(part)
     return ingest_raw(store, raw, batch)
 
 

@@ -365,6 +365,19 @@ ORACLES: dict[str, str] = {
         + ", ".join(f"coalesce({name}, '') AS {name}" for name in _CELLS)
         + ", property_type AS property_type_description, reported_year FROM listings",
     ),
+    "s1_csv_by_header": _over(
+        "listings",
+        "SELECT "
+        + ", ".join(f"coalesce({name}, '') AS {name}" for name in _CELLS)
+        + ", property_type AS property_type_description, reported_year, '' AS line"
+        " FROM listings UNION ALL BY NAME SELECT "
+        + ", ".join(
+            f"'' AS {name}" for name in _CELLS if name not in ("property_id", "owner_name")
+        )
+        + """, '' AS property_type_description, '' AS reported_year,
+        s_name AS owner_name, CAST(s_suppkey AS VARCHAR) AS property_id,
+        s_name || ',' || CAST(s_suppkey AS VARCHAR) || ',more' AS line FROM supplier""",
+    ),
     "s2_raw_records": _over(
         "raw",
         f"""SELECT id, source, {_STAMP.format("listed_at")} AS ingested_at, file_batch_id,

@@ -2,40 +2,103 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Where a row came from, added next to the CSV columns.
 FILE_COLUMN = "__file"
 BLOCK_COLUMN = "__block"
+# The whole line of a row with more or fewer cells than its header, else null.
+LINE_COLUMN = "__line"
 
 
-def read_csv_source(
+def csv_options(encoding: str = "utf-8", multi_line: bool = True) -> dict[str, Any]:
+    """How listings are read, as files and as a stream."""
+    return {
+        "header": True,
+        "quote": '"',
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "enforceSchema": False,
+        "multiLine": multi_line,
+        "encoding": encoding,
+    }
+
+
+def _headers(
+    spark: SparkSession, path: str | list[str], encoding: str
+) -> dict[str, list[str]]:
+    """Files by the text of their first line.
+
+    Reads the first split of each file; only one line a file reaches the driver.
+    """
+    lines = (
+        spark.read.schema("line STRING")
+        .options(sep="\x01", quote="", encoding=encoding)
+        .csv(path)
+        .select(
+            "line",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+        )
+        .where(F.col("block") == 0)
+    )
+    found: dict[str, list[str]] = defaultdict(list)
+    for row in lines.groupBy("file").agg(F.min_by("line", "at").alias("line")).collect():
+        found[row["line"].strip("﻿\r")].append(row["file"])
+    return found
+
+
+def read_csv_groups(
     spark: SparkSession,
     path: str | list[str],
     encoding: str = "utf-8",
     multi_line: bool = True,
-) -> DataFrame:
-    """Header CSV with all columns as strings and the position of each split.
+) -> list[DataFrame]:
+    """Header CSV, one frame for each different header: all columns as strings, the
+    position of each split, and the line of rows that do not fit their header.
 
     ``multi_line`` allows line breaks inside quoted cells, at the price of one
     task per file; switch it off for large files known to have none, and Spark
     splits them.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("multiLine", multi_line)
-        .option("encoding", encoding)
-    )
-    rows = reader.csv(path)
-    return rows.select(
-        "*",
-        F.col("_metadata.file_path").alias(FILE_COLUMN),
-        F.col("_metadata.file_block_start").alias(BLOCK_COLUMN),
-    )
+    groups = []
+    options = csv_options(encoding, multi_line)
+    for files in _headers(spark, path, encoding).values():
+        first = spark.read.options(**options).option("inferSchema", False).csv(files[0])
+        names = [*first.columns, LINE_COLUMN]
+        schema = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in names)
+        rows = (
+            spark.read.options(**{**options, "enforceSchema": True})
+            .option("columnNameOfCorruptRecord", LINE_COLUMN)
+            .schema(schema)
+            .csv(files)
+        )
+        groups.append(
+            rows.select(
+                "*",
+                F.col("_metadata.file_path").alias(FILE_COLUMN),
+                F.col("_metadata.file_block_start").alias(BLOCK_COLUMN),
+            )
+        )
+    return groups
+
+
+def read_csv_source(
+    spark: SparkSession,
+    path: str | list[str],
+    encoding: str = "utf-8",
+    multi_line: bool = True,
+) -> DataFrame:
+    """``read_csv_groups`` as one frame; columns that a file lacks are null."""
+    groups = read_csv_groups(spark, path, encoding, multi_line)
+    whole = groups[0]
+    for group in groups[1:]:
+        whole = whole.unionByName(group, allowMissingColumns=True)
+    return whole

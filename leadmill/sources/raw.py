@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadmill.functions.identity import record_id
-from leadmill.sources.csv import BLOCK_COLUMN, FILE_COLUMN
+from leadmill.sources.csv import BLOCK_COLUMN, FILE_COLUMN, LINE_COLUMN
 
-_POSITION = (FILE_COLUMN, BLOCK_COLUMN)
+_POSITION = (FILE_COLUMN, BLOCK_COLUMN, LINE_COLUMN)
 # The cell that holds a record which could not be taken apart.
 MALFORMED = "__malformed"
 
@@ -62,6 +62,12 @@ def wrap_raw(
             quoted = "`" + name.replace("`", "``") + "`"
             pairs += [F.lit(name), F.coalesce(F.col(quoted).cast("string"), F.lit(""))]
         raw_data = F.create_map(*pairs)
+        if LINE_COLUMN in rows.columns:
+            # A row that does not fit its header keeps its line, so no cell is lost.
+            line = F.create_map(F.lit(LINE_COLUMN), F.col(LINE_COLUMN))
+            raw_data = F.when(
+                F.col(LINE_COLUMN).isNotNull(), F.map_concat(raw_data, line)
+            ).otherwise(raw_data)
 
     if seq is None:
         block = F.lpad(F.col(BLOCK_COLUMN).cast("string"), 20, "0")

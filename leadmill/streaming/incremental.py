@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.rules import DEFAULT_RULES
 from leadmill.plans import jobs
-from leadmill.sources.csv import BLOCK_COLUMN, FILE_COLUMN
+from leadmill.sources.csv import BLOCK_COLUMN, FILE_COLUMN, csv_options
 from leadmill.sources.mappings import DEFAULT_REGISTRY, Registry
 from leadmill.sources.raw import wrap_raw
 from leadmill.sources.warehouse import Warehouse
@@ -22,19 +22,16 @@ def csv_stream(
     columns: list[str],
     encoding: str = "utf-8",
     files_per_step: int = 1000,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """New CSV files of a folder; ``columns`` names the header's columns."""
+    """New CSV files of a folder; ``columns`` names the header's columns.
+
+    A file with another header fails the stream rather than mixing up its cells.
+    """
     schema = ", ".join("`" + name.replace("`", "``") + "` STRING" for name in columns)
     reader = (
         spark.readStream.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("multiLine", True)
-        .option("encoding", encoding)
+        .options(**csv_options(encoding, multi_line))
         .option("maxFilesPerTrigger", files_per_step)
     )
     return reader.csv(folder).select(

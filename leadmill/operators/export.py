@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadmill.operators.leads import pending, ranked
 
+_RESULTS = pa.schema(
+    [("lead_id", pa.string()), ("external_id", pa.string()), ("ok", pa.bool_())]
+)
+
 # Fixed value: records per pushed batch.
 EXPORT_BATCH = 10
 
@@ -144,6 +152,37 @@ def write_payload(batched: DataFrame, path: str) -> None:
     ).write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
 
 
+def push(
+    batched: DataFrame, client: Callable[[int, list[dict[str, Any]]], list[str | None]]
+) -> DataFrame:
+    """Send every batch through a caller's client: ``lead_id, external_id, ok``.
+
+    ``client`` runs on the executors. It is given a batch number and the batch's payload
+    records in order, and returns an external id for each, None for one that failed. If
+    it raises, the whole batch counts as failed, and others go on. A task that is run
+    again pushes its batches again, so clients should use ``lead_id`` as a key. Store the
+    result with ``jobs.record_results``, which runs this once.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            out: dict[str, list] = {"lead_id": [], "external_id": [], "ok": []}
+            for row in part.to_pylist():
+                records = row["records"]
+                try:
+                    found = client(row["export_batch"], records)
+                except Exception:  # whatever a client raises, only its batch fails
+                    found = [None] * len(records)
+                out["lead_id"] += [record["lead_id"] for record in records]
+                out["external_id"] += found
+                out["ok"] += [name is not None for name in found]
+            yield pa.RecordBatch.from_pydict(out, schema=_RESULTS)
+
+    return payload_batches(batched).mapInArrow(
+        send, "lead_id STRING, external_id STRING, ok BOOLEAN"
+    )
+
+
 def successes(results: DataFrame) -> DataFrame:
     """The first success of each lead that has one."""
     done = results.where("ok").groupBy(F.col("lead_id").alias("id"))

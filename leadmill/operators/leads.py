@@ -114,6 +114,25 @@ def list_leads(
     return ranked(rows).offset(page.offset).limit(page.limit)
 
 
+def list_after(
+    leads: DataFrame,
+    score: int,
+    lead_id: str,
+    where: LeadFilter = LeadFilter(),
+    limit: int = Page().limit,
+) -> DataFrame:
+    """The page that follows the lead with this score and id.
+
+    For deep pages: the rows before it are filtered out, not gathered and dropped, so
+    every page costs the same.
+    """
+    rows = summaries(where.apply(leads))
+    later = (F.col("score") < score) | (
+        (F.col("score") == score) & (F.col("id") > lead_id)
+    )
+    return ranked(rows.where(later)).limit(Page(limit=limit).limit)
+
+
 def filtered_count(leads: DataFrame, where: LeadFilter = LeadFilter()) -> DataFrame:
     return where.apply(leads).agg(F.count("*").alias("total"))
 

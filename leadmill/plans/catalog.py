@@ -566,6 +566,12 @@ def o1_o2_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leads.list_leads(lead_rows(spark, sf_dir), page=page)
 
 
+@query
+def o2_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page that starts after a place in the order instead of a number of rows."""
+    return leads.list_after(lead_rows(spark, sf_dir), 30, "8", limit=50)
+
+
 @query
 def o3_page_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = leads.LeadFilter(priority="medium")

@@ -598,6 +598,11 @@ ORACLES: dict[str, str] = {
     "o1_o2_page": _over(
         "leads", f"{_SUMMARY} ORDER BY score DESC, lead_id LIMIT 50 OFFSET 100"
     ),
+    "o2_page_after": _over(
+        "leads",
+        f"""{_SUMMARY} WHERE score < 30 OR score = 30 AND lead_id > '8'
+        ORDER BY score DESC, lead_id LIMIT 50""",
+    ),
     "o3_page_with_total": _over(
         "leads",
         """SELECT string_agg(lead_id, ',' ORDER BY score DESC, lead_id) AS ids,

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadmill.llm.shared import LOWER_ASCII
+from leadmill.llm.shared import LOWER_ASCII, mapped
 
 WINDOW = 10
 #: Words of one automaton; longer items are cut into overlapping pieces.
@@ -199,7 +199,7 @@ def _blocks(
     cut = (
         benchmark.where(F.col(id_column).isNotNull())
         .select(F.col(id_column).cast("string").alias("item"), F.col(text_column))
-        .mapInArrow(pieces, "item string, words array<string>, whole boolean, n long")
+        .transform(mapped, pieces, "item string, words array<string>, whole boolean, n long")
     )
     total = cut.agg(F.sum("n")).first()[0] or 0
     count = -(-2 * total // block_words) if total > block_words else min(1, total)
@@ -271,7 +271,7 @@ def find_passages(
                     names=["doc", "n_words", "starts", "ends", "items"],
                 )
 
-        return narrow.mapInArrow(run, f"doc {kind}, {_PASS}")
+        return narrow.transform(mapped, run, f"doc {kind}, {_PASS}")
 
     blocks = _blocks(benchmark, item_column, item_text_column, block_words, window)
     passes = [scan(block) for block in blocks] or [scan([])]
@@ -391,7 +391,7 @@ def _cut(docs, text_column, block, window, longest, coverage) -> DataFrame:
             whole = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
             yield whole.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(mapped, run, docs.schema)
 
 
 def _without(text: str, spans: list[tuple[int, int]]) -> str:

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.llm.shared import crc_of_id, frequent, stored, word_runs
+from leadmill.llm.shared import crc_of_id, frequent, mapped, stored, word_runs
 
 STATES = 8
 SYMBOLS = 16_384
@@ -270,7 +270,7 @@ def score_texts(
     counts = stored(
         spread.where("training")
         .select("t")
-        .mapInArrow(_count_words, "word string, n long")
+        .transform(mapped, _count_words, "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
@@ -352,7 +352,8 @@ def score_texts(
 
     kind = spread.schema["id"].dataType.simpleString()
     texts = stored(
-        spread.mapInArrow(
+        spread.transform(
+            mapped,
             encode,
             f"id {kind}, training boolean, symbols binary, n_tokens long, n_known long, "
             "base double, within double, rare map<string,int>",
@@ -377,7 +378,7 @@ def score_texts(
         summed = (
             texts.where("training")
             .select("symbols")
-            .mapInArrow(expect, f"key long, {names}")
+            .transform(mapped, expect, f"key long, {names}")
             .groupBy("key")
             .agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(states)])
         )
@@ -395,7 +396,7 @@ def score_texts(
                     [batch.column(0), pa.array(found)], names=["row", "model"]
                 )
 
-    scored = texts.select("row", "symbols").mapInArrow(score, "row long, model double")
+    scored = texts.select("row", "symbols").transform(mapped, score, "row long, model double")
     # A word's own count replaces the zero that stood for it in both scores.
     opened = texts.select("row", F.explode("rare").alias("word", "times"))
     late = (

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadmill.llm.shared import mapped
+
 WIDTH = 3
 SURGE = 86
 LINKED = 0.5
@@ -257,6 +259,6 @@ def extract(
             F.col(url_column).alias("url"),
             F.col(html_column).alias("html"),
         )
-        .mapInArrow(run, f"id {kinds[0]}, url {kinds[1]}, text string, n_chars long")
+        .transform(mapped, run, f"id {kinds[0]}, url {kinds[1]}, text string, n_chars long")
         .withColumnsRenamed({"id": id_column, "url": url_column})
     )

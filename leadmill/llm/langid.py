@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.llm.shared import crc_of_id, stored
+from leadmill.llm.shared import crc_of_id, mapped, stored
 
 SIZES = (1, 2, 3)
 SLOTS = 1 << 21
@@ -180,7 +180,7 @@ def train(
     counts = stored(
         docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
         .select(F.col(lang_column).alias("lang"), F.col(text_column).alias("t"))
-        .mapInArrow(_count_ngrams, "lang string, gram string, n long")
+        .transform(mapped, _count_ngrams, "lang string, gram string, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -229,7 +229,7 @@ def train(
             yield pa.RecordBatch.from_pydict({"slot": places.ravel(), "mask": masks})
 
     filled = (
-        typical.mapInArrow(place, "slot long, mask long")
+        typical.transform(mapped, place, "slot long, mask long")
         .groupBy("slot")
         .agg(F.bit_or("mask").alias("mask"))
     ).toPandas()
@@ -270,7 +270,7 @@ def identify(
     kind = docs.schema[id_column].dataType.simpleString()
     return (
         docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"))
-        .mapInArrow(run, f"id {kind}, lang_pred string, score double")
+        .transform(mapped, run, f"id {kind}, lang_pred string, score double")
         .withColumnRenamed("id", id_column)
     )
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadmill.llm.shared import stored
+from leadmill.llm.shared import mapped, stored
 
 SUBTREE_ROWS = 8192
 MAX_SUBTREES = 4096
@@ -299,7 +299,8 @@ def top_products(
             )
 
     placed = stored(
-        candidates.mapInArrow(
+        candidates.transform(
+            mapped,
             assign, "pivot long, vec_id long, v array<long>, reach double"
         )
     )
@@ -322,7 +323,7 @@ def top_products(
     schema = (
         "subtree long, query_id long, query_key long, v array<long>, least long"
     )
-    first = asked.mapInArrow(_visits(listed, radii, square, width, True), schema)
+    first = asked.transform(mapped, _visits(listed, radii, square, width, True), schema)
     found = stored(_search(first, members, by_name, square, width, k))
     bounds = found.groupBy("query_id", "query_key").agg(
         F.when(F.count("*") >= k, F.min("score")).alias("least")
@@ -330,7 +331,7 @@ def top_products(
     rest = queries.join(bounds, ["query_id", "query_key"], "left").select(
         "query_id", "query_key", "v", "least"
     )
-    others = rest.mapInArrow(_visits(listed, radii, square, width, False), schema)
+    others = rest.transform(mapped, _visits(listed, radii, square, width, False), schema)
     every_one = found.unionByName(_search(others, members, by_name, square, width, k))
     best = Window.partitionBy("query_id", "query_key").orderBy(
         F.desc("score"), "vec_id"

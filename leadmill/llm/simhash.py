@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadmill.llm.components import components
-from leadmill.llm.shared import LOWER_ASCII, fresh_name, stored
+from leadmill.llm.shared import LOWER_ASCII, fresh_name, mapped, stored
 
 SHINGLE = 4
 RADIUS = 4
@@ -80,7 +80,7 @@ def fingerprints(
     kind = docs.schema[id_column].dataType.simpleString()
     return (
         docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("t"))
-        .mapInArrow(run, f"id {kind}, print long")
+        .transform(mapped, run, f"id {kind}, print long")
         .withColumnRenamed("id", id_column)
     )
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer, pre_tokenizers
 
-from leadmill.llm.shared import scratch, stored, word_runs
+from leadmill.llm.shared import mapped, scratch, stored, word_runs
 
 MAGIC = b"LMTOKB01"
 BLOCK_IDS = 32_768
@@ -398,7 +398,7 @@ def write_files(
         )
         .repartitionByRange(count, *order)
         .sortWithinPartitions(*order)
-        .mapInArrow(run, "part long, path string, n_docs long, n_ids long")
+        .transform(mapped, run, "part long, path string, n_docs long, n_ids long")
     )
 
 
@@ -426,7 +426,7 @@ def read_documents(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         files.repartition(partitions)
-        .mapInArrow(run, "name long, start long, n_tokens long, ids_crc32 long")
+        .transform(mapped, run, "name long, start long, n_tokens long, ids_crc32 long")
         .withColumnRenamed("name", id_column)
     )
 

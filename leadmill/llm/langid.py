@@ -63,8 +63,8 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     grams[gram] += count
             yield pa.RecordBatch.from_pydict(
                 {
-                    "lang": [lang] * len(grams),
-                    "gram": list(grams),
+                    "lang": pa.array([lang] * len(grams), pa.string()),
+                    "gram": pa.array(list(grams), pa.string()),
                     "n": pa.array(grams.values(), pa.int64()),
                 }
             )

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from leadmill.llm import langid
 
@@ -71,6 +72,26 @@ def test_cache_may_forget(monkeypatch):
     assert [lang for lang, _ in filters.decide(texts)] == fresh
 
 
+def test_counts_survive_flushes_and_texts_without_letters(monkeypatch):
+    batch = pa.RecordBatch.from_pydict(
+        {"lang": ["a", "b", "c", "a"], "text": ["xy zz", "xy", "12", "xy zz"]}
+    )
+
+    def counted():
+        total = {}
+        for part in langid._count_ngrams(iter([batch, batch])):
+            assert part.schema.types == [pa.string(), pa.string(), pa.int64()]
+            for row in part.to_pylist():
+                key = row["lang"], row["gram"]
+                total[key] = total.get(key, 0) + row["n"]
+        return total
+
+    whole = counted()
+    assert whole["a", "<xy"] == 4 and whole["b", "y>"] == 2
+    monkeypatch.setattr(langid, "_FLUSH", 0)
+    assert counted() == whole
+
+
 def test_nothing_learned(documents):
     rows = langid.predict_held_out(documents(["some words"], langs=[None])).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)]

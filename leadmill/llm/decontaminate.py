@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadmill.llm.shared import LOWER_ASCII, mapped
+from leadmill.llm.shared import LOWER_ASCII, fresh_name, mapped, stored
 
 WINDOW = 10
 #: Words of one automaton; longer items are cut into overlapping pieces.
@@ -243,45 +244,62 @@ def find_passages(
     input are not looked at.
     """
     narrow = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("t"))
-    kind = narrow.schema["doc"].dataType.simpleString()
+    blocks = _shared(benchmark, item_column, item_text_column, block_words, window)
+    return _found(narrow, blocks, window).withColumnRenamed("doc", id_column)
 
-    def scan(block) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(block)
 
+def _shared(benchmark: DataFrame, *bounds) -> list[Broadcast]:
+    """The blocks of the benchmark, broadcast."""
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(block) for block in _blocks(benchmark, *bounds)]
+
+
+def _found(rows: DataFrame, blocks: list[Broadcast], window: int) -> DataFrame:
+    """The columns of ``rows`` but for the text ``t``, and what ``find_passages`` gives.
+
+    With several blocks those columns are the key by which their results are merged.
+    """
+    keys = [name for name in rows.columns if name != "t"]
+    kinds = [f"{name} {rows.schema[name].dataType.simpleString()}" for name in keys]
+
+    def scan(shared: Broadcast | None, hits_only: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = Automaton(shared.value, window)
+            automaton = Automaton(shared.value if shared else [], window)
             for batch in batches:
                 out: list[list] = [[], [], [], []]
-                for text in batch.column("t").to_pylist():
+                kept = []
+                for row, text in enumerate(batch.column("t").to_pylist()):
                     words = words_of(text)
                     spans, found = automaton.matches(words)
+                    if hits_only and not spans:
+                        continue
+                    kept.append(row)
                     out[0].append(len(words))
                     out[1].append([span[0] for span in spans])
                     out[2].append([span[1] for span in spans])
                     out[3].append(sorted(found))
                 whole = pa.list_(pa.int32())
+                places = pa.array(kept, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc"),
+                        *(batch.column(name).take(places) for name in keys),
                         pa.array(out[0], pa.int64()),
                         pa.array(out[1], whole),
                         pa.array(out[2], whole),
                         pa.array(out[3], pa.list_(pa.string())),
                     ],
-                    names=["doc", "n_words", "starts", "ends", "items"],
+                    names=[*keys, "n_words", "starts", "ends", "items"],
                 )
 
-        return narrow.transform(mapped, run, f"doc {kind}, {_PASS}")
+        return rows.transform(mapped, run, ", ".join([*kinds, _PASS]))
 
-    blocks = _blocks(benchmark, item_column, item_text_column, block_words, window)
-    passes = [scan(block) for block in blocks] or [scan([])]
-    result = passes[0]
-    if len(passes) > 1:
-        # Several passes name the same document: its spans and items are put together.
-        for other in passes[1:]:
-            result = result.unionByName(other)
+    result = scan(blocks[0] if blocks else None, False)
+    if len(blocks) > 1:
+        # Several passes name the same row: its spans and items are put together.
+        for block in blocks[1:]:
+            result = result.unionByName(scan(block, True))
         result = (
-            result.groupBy("doc", "n_words")
+            result.groupBy(*keys, "n_words")
             .agg(
                 F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"),
                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(
@@ -290,14 +308,14 @@ def find_passages(
             )
             .withColumn("spans", _merged(F.array_sort("spans")))
             .select(
-                "doc",
+                *keys,
                 "n_words",
                 F.col("spans.starts").alias("starts"),
                 F.col("spans.ends").alias("ends"),
                 "items",
             )
         )
-    return result.withColumnRenamed("doc", id_column)
+    return result
 
 
 def _merged(spans):
@@ -354,44 +372,88 @@ def remove_passages(
     A span is cut out of the text together with what lies between its words. A document
     goes as a whole if one span holds more than ``longest`` words or all spans more than
     the share ``coverage`` of its words. Texts without a match, null and empty ones
-    stay as they are. A column ``n_chars`` is counted anew where the text changed.
+    stay as they are. A column ``n_chars`` is counted anew where the text changed. The
+    result does not depend on the number of blocks.
     """
-    result = docs
-    for block in _blocks(benchmark, item_column, item_text_column, block_words, window):
-        result = _cut(result, text_column, block, window, longest, coverage)
-    return result
+    blocks = _shared(benchmark, item_column, item_text_column, block_words, window)
+    if not blocks:
+        return docs
+    names = docs.columns
+    if len(blocks) == 1:
+        shared = blocks[0]
+
+        def spans_of(batch: pa.RecordBatch, automaton: Automaton):
+            for text in batch.column(text_column).to_pylist():
+                words = words_of(text)
+                yield len(words), automaton.matches(words)[0]
 
+        return docs.transform(
+            mapped,
+            _cutter(
+                names, text_column, longest, coverage,
+                lambda: Automaton(shared.value, window), spans_of,
+            ),
+            docs.schema,
+        )
+    # All blocks look at the same text; what they find is merged before it is judged.
+    key, found_in = fresh_name(docs, "row"), fresh_name(docs, "found")
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()))
+    narrow = keyed.select(F.col(key).alias("doc"), F.col(text_column).alias("t"))
+    found = (
+        _found(narrow, blocks, window)
+        .where(F.size("starts") > 0)
+        .select(
+            F.col("doc").alias(key),
+            F.struct("n_words", "starts", "ends").alias(found_in),
+        )
+    )
+
+    def spans_known(batch: pa.RecordBatch, _):
+        for known in batch.column(found_in).to_pylist():
+            if known is None:
+                yield 0, []
+            else:
+                yield known["n_words"], list(zip(known["starts"], known["ends"], strict=True))
+
+    return (
+        keyed.join(found, key, "left")
+        .select(*names, found_in)
+        .transform(
+            mapped,
+            _cutter(names, text_column, longest, coverage, lambda: None, spans_known),
+            docs.schema,
+        )
+    )
 
-def _cut(docs, text_column, block, window, longest, coverage) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+def _cutter(names, text_column, longest, coverage, make, spans_of):
+    """What judges and cuts batches by the word counts and spans of their rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(shared.value, window)
+        made = make()
         for batch in batches:
-            at = batch.schema.get_field_index(text_column)
-            columns = list(batch.columns)
+            columns = [batch.column(name) for name in names]
+            at = names.index(text_column)
             texts, keep = columns[at].to_pylist(), []
-            counted = batch.schema.get_field_index("n_chars")
+            counted = names.index("n_chars") if "n_chars" in names else -1
             counts = columns[counted].to_pylist() if counted >= 0 else []
-            for row, text in enumerate(texts):
-                words = words_of(text)
-                spans, _ = automaton.matches(words)
+            for row, (n_words, spans) in enumerate(spans_of(batch, made)):
                 sizes = [end - start for start, end in spans]
                 keep.append(
                     not sizes
-                    or (max(sizes) <= longest and sum(sizes) <= coverage * len(words))
+                    or (max(sizes) <= longest and sum(sizes) <= coverage * n_words)
                 )
                 if sizes and keep[-1]:
-                    texts[row] = _without(text, spans)
+                    texts[row] = _without(texts[row], spans)
                     if counts:
                         counts[row] = len(texts[row])
-            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            columns[at] = pa.array(texts, columns[at].type)
             if counts:
-                columns[counted] = pa.array(counts, batch.schema.field(counted).type)
-            whole = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+                columns[counted] = pa.array(counts, columns[counted].type)
+            whole = pa.RecordBatch.from_arrays(columns, names=names)
             yield whole.filter(pa.array(keep, pa.bool_()))
 
-    return docs.transform(mapped, run, docs.schema)
+    return run
 
 
 def _without(text: str, spans: list[tuple[int, int]]) -> str:

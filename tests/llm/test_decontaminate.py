@@ -79,3 +79,30 @@ def test_long_spans_remove_the_document(spark, documents):
     items = _items(spark, [(1, passage, "")])
     assert d.remove_passages(docs, items, longest=59).count() == 0
     assert d.remove_passages(docs, items, longest=60).count() == 1
+
+
+def test_blocks_do_not_change_what_is_removed(spark, documents):
+    def run(letter, size):
+        return [letter + chr(97 + n // 26) + chr(97 + n % 26) for n in range(size)]
+
+    one, two, long = run("p", 24), run("q", 24), run("r", 150)
+    over = one[9:] + run("s", 10)
+    items = [(1, " ".join(one), ""), (2, " ".join(two), ""), (3, " ".join(long), ""), (4, " ".join(over), "")]
+    free = "z " * 40
+    texts = [
+        " ".join([*one, *free.split()[:30], *two]),  # each below half, together above
+        " ".join([free, *one, *over[15:], free]),  # matches that overlap
+        " ".join([free * 9, *long]),  # an item longer than a block
+        free, None, "",
+    ]
+    docs, benchmark = documents(texts, [1, 1, None, None, 5, 6]), _items(spark, items)
+
+    def kept(block_words, longest):
+        rows = d.remove_passages(docs, benchmark, longest=longest, block_words=block_words)
+        assert rows.columns == docs.columns
+        return sorted((tuple(r) for r in rows.collect()), key=repr)
+
+    for longest in (120, 200):
+        whole = kept(200_000, longest)
+        assert kept(60, longest) == whole
+    assert len(whole) == 5 and not any(" pa" in (r[1] or "") or " s" in (r[1] or "") for r in whole)

@@ -239,13 +239,14 @@ def find_passages(
     ``ends``, end exclusive) and the sorted ``items``.
 
     Null and empty texts have no words. Null benchmark texts and items without id or
-    words have no windows. Repeated rows each give a row when the benchmark fits one
-    block; rows with equal ids and texts are one row otherwise. Other columns of the
-    input are not looked at.
+    words have no windows. Every row gives a row, also repeated ones and those without an
+    id. Other columns of the input are not looked at.
     """
     narrow = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("t"))
     blocks = _shared(benchmark, item_column, item_text_column, block_words, window)
-    return _found(narrow, blocks, window).withColumnRenamed("doc", id_column)
+    if len(blocks) > 1:
+        narrow = stored(narrow.withColumn("row", F.monotonically_increasing_id()))
+    return _found(narrow, blocks, window).drop("row").withColumnRenamed("doc", id_column)
 
 
 def _shared(benchmark: DataFrame, *bounds) -> list[Broadcast]:
@@ -257,7 +258,8 @@ def _shared(benchmark: DataFrame, *bounds) -> list[Broadcast]:
 def _found(rows: DataFrame, blocks: list[Broadcast], window: int) -> DataFrame:
     """The columns of ``rows`` but for the text ``t``, and what ``find_passages`` gives.
 
-    With several blocks those columns are the key by which their results are merged.
+    With several blocks those columns are the key by which their results are merged; no two
+    rows may agree in all of them.
     """
     keys = [name for name in rows.columns if name != "t"]
     kinds = [f"{name} {rows.schema[name].dataType.simpleString()}" for name in keys]

@@ -106,3 +106,16 @@ def test_blocks_do_not_change_what_is_removed(spark, documents):
         whole = kept(200_000, longest)
         assert kept(60, longest) == whole
     assert len(whole) == 5 and not any(" pa" in (r[1] or "") or " s" in (r[1] or "") for r in whole)
+
+
+def test_every_row_returns_from_several_blocks(spark, documents):
+    items = [(n, " ".join(chr(97 + n) + chr(97 + k) for k in range(20)), "") for n in range(5)]
+    texts = [text for _, text, _ in items] + ["z " * 20, items[0][1], None, None]
+    docs = documents(texts, [None, None, None, 7, 7, 7, None, None, None])
+
+    def rows(block_words):
+        found = d.find_passages(docs, _items(spark, items), block_words=block_words)
+        assert found.columns == ["doc_id", "n_words", "starts", "ends", "items"]
+        return sorted((tuple(r) for r in found.collect()), key=repr)
+
+    assert len(rows(200_000)) == len(texts) and rows(30) == rows(200_000)

@@ -51,6 +51,21 @@ OTHER_WORDS = frozenset(
     "complementary alertdialog dialog hidden".split()
 )
 OUTSIDE_WORDS = frozenset(["header", "side", "alert", "top"])
+# What other articles are said to be, on them or around them.
+KIND_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted "
+    "related recommended recommendations trending popular comment comments respond reply "
+    "replies disqus".split()
+)
+# Names that only tell which parts a page has, as has-sidebar or comments-open.
+_MODIFIERS = frozenset(["has", "no", "with", "without"])
+_STATES = frozenset(["open", "closed", "enabled", "disabled"])
+# Ids of sections and headings inside the article are anchors, but for these.
+_PARTS = frozenset("comment comments respond replies disqus newsletter sidebar".split())
+_ANCHORED = frozenset("section h1 h2 h3 h4 h5 h6".split())
+#: How surely an element holds something else: by a word for a place on the page, by a
+#: word for another kind of article, or by its element or being hidden.
+PLACE, KIND, SURE = 1, 2, 3
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)"
@@ -78,8 +93,10 @@ _SIBLINGS = {
 @dataclass
 class Line:
     own: bool  # in the article's element
-    other: bool  # in an element that holds something else
+    other: int  # in an element that holds something else: 0, PLACE, KIND or SURE
     heading: bool
+    frame: int = 0  # the article's element, if words on or around it speak against it
+    form: int = 0  # the outermost form around it, unless an article's element is inside
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -87,49 +104,71 @@ class Line:
         return " ".join("".join(self.parts).split())
 
 
-def _role(tag: str, rest: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element is the article's own, and whether it holds something else."""
+def _said(name: str, value: str, tag: str, inside: bool) -> int:
+    """What class, id or role say about an element: 0, PLACE or KIND."""
+    most = 0
+    for part in value.split():
+        words = [word.lower() for word in _WORD.findall(part)]
+        if not words:
+            continue
+        if len(words) > 1 and (words[0] in _MODIFIERS or words[-1] in _STATES):
+            continue
+        if inside and name == "id" and tag in _ANCHORED and not _PARTS.issuperset(words):
+            continue
+        if not KIND_WORDS.isdisjoint(words):
+            most = KIND
+        elif not OTHER_WORDS.isdisjoint(words) or (
+            not inside and not OUTSIDE_WORDS.isdisjoint(words)
+        ):
+            most = max(most, PLACE)
+    return most
+
+
+def _role(tag: str, rest: str, inside: bool) -> tuple[bool, int]:
+    """Whether an element is the article's own, and how it holds something else."""
     own = tag in ("article", "main")
-    other = tag in OTHER_TAGS or (tag == "header" and not inside)
+    sure = (tag in OTHER_TAGS and tag != "form") or (tag == "header" and not inside)
+    other = 0
     if rest.strip(" /"):
         for name, value in _ATTRIBUTE.findall(rest):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id", "role"):
-                words = {word.lower() for word in _WORD.findall(value)}
-                other |= bool(words & OTHER_WORDS)
-                other |= not inside and bool(words & OUTSIDE_WORDS)
+                other = max(other, _said(name, value, tag, inside))
                 own |= name == "role" and value.lower() in ("main", "article")
+                # What is hidden by name is so, whatever it holds.
+                sure |= name == "class" and "hidden" in value.lower().split()
             elif name == "itemprop":
                 own |= value == "articleBody"
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                other = True
+                sure = True
             elif name == "style":
                 flat = value.replace(" ", "").lower()
-                other |= "display:none" in flat or "visibility:hidden" in flat
+                sure |= "display:none" in flat or "visibility:hidden" in flat
     if tag in ("html", "body"):
-        other = False  # classes of the whole page say nothing about a part
-    return own, other
+        return own, 0  # classes of the whole page say nothing about a part
+    return own, SURE if sure else other
 
 
 def lines_of(page: str) -> list[Line]:
     """The lines of a page in order."""
-    lines = [Line(False, False, False)]
-    stack: list[tuple[str, bool, bool]] = []
-    at = 0
+    lines = [Line(False, 0, False)]
+    stack: list[tuple[str, tuple[bool, int, int, int]]] = []
+    at = frames = forms = 0
+    levels = {0: 0}
 
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    def state() -> tuple[bool, int, int, int]:
+        return stack[-1][1] if stack else (False, 0, 0, 0)
 
     def line() -> None:
-        own, other = state()
-        heading = any(_HEADING.match(tag) for tag, _, _ in stack[-3:])
-        lines.append(Line(own, other, heading))
+        own, other, frame, form = state()
+        heading = any(_HEADING.match(tag) for tag, _ in stack[-3:])
+        lines.append(Line(own, other, heading, frame, form))
 
     def add(text: str) -> None:
         if text:
             plain = html.unescape(text)
             lines[-1].parts.append(plain)
-            if any(tag == "a" for tag, _, _ in stack):
+            if any(tag == "a" for tag, _ in stack):
                 lines[-1].linked += len(plain.strip())
 
     def close(names: set[str], until: frozenset[str] = frozenset()) -> bool:
@@ -184,15 +223,78 @@ def lines_of(page: str) -> list[Line]:
             if tag in BLOCKS:
                 line()
             continue
-        own, other = state()
+        before = state()
+        own, other, frame, form = before
         mine, foreign = _role(tag, match["rest"], own)
-        changed = (own or mine, other or foreign) != (own, other)
-        stack.append((tag, own or mine, other or foreign))
-        if tag in BLOCKS or changed:
+        other = max(other, foreign)
+        if mine and PLACE <= other <= KIND:
+            # Words on an article or around it do not decide alone: see _settle.
+            frames += 1
+            frame, levels[frames], other = frames, max(other, levels[frame]), 0
+        if mine and not own:
+            form = 0
+        if tag == "form" and not form:
+            forms += 1
+            form = forms
+        stack.append((tag, (own or mine, other, frame, form)))
+        if tag in BLOCKS or state() != before:
             line()
+    _settle(lines, levels)
     return lines
 
 
+def _settle(lines: list[Line], levels: dict[int, int]) -> None:
+    """Decides on forms, and on articles with words on or around them that speak against.
+
+    A form around more running text than the rest of the page is that of the whole page and
+    says nothing, nor does one around an article. An article under a word for a place is other
+    unless it is longer than each article without; one under a word for another kind of
+    article also if there is any without. On pages without such articles both have to be
+    longer than the running text around them.
+    """
+    plain: list[tuple[Line, int, int]] = []
+    for each in lines:
+        if each.other < PLACE:
+            size = len(each.text())
+            if size:
+                plain.append((each, size, 0 if each.linked > LINKED * size else size))
+    inside: dict[int, int] = {}
+    running: set[int] = set()
+    for each, _, size in plain:
+        inside[each.form] = inside.get(each.form, 0) + size
+        if size >= SURGE:
+            running.add(each.form)
+    total = sum(inside.values())
+    clear = {
+        form
+        for form in inside
+        if form and form in running and 2 * inside[form] > total
+    }
+    for each in lines:
+        if each.form and each.form not in clear:
+            each.other = SURE
+    if len(levels) == 1:
+        return
+    sizes: dict[int, int] = {}
+    open_size = 0
+    for each, size, run in plain:
+        if each.other < PLACE:
+            if each.own:
+                sizes[each.frame] = sizes.get(each.frame, 0) + size
+            else:
+                open_size += run
+    free = sizes.get(0, 0)
+    bar = free or open_size
+    dropped = {
+        frame: level
+        for frame, level in levels.items()
+        if level and (sizes.get(frame, 0) <= bar or (level == KIND and free))
+    }
+    for each in lines:
+        if each.frame in dropped:
+            each.other = max(each.other, dropped[each.frame])
+
+
 def main_text(page: str | None, width: int = WIDTH, surge: int = SURGE) -> str:
     """The blocks of the main text, joined by blank lines; empty if there are none."""
     if not page:

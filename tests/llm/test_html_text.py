@@ -80,3 +80,31 @@ def test_rows(spark):
     assert extract(pages).columns == ["page_id", "url", "text", "n_chars"]
     assert extract(pages).where("page_id IS NULL").first().text == ""
     assert extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='layout has-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<div class='no-sidebar with-nav'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<div class='layout sidebar-right'><main><p>{LONG}</p></main></div>", LONG),
+        (f"<article class='post comments-open'><p>{LONG}</p></article>", LONG),
+        (f"<article class='post social'><p>{LONG}</p></article><p>{'x ' * 9}</p>", LONG),
+        (f"<main><h1>T</h1><article class='social'><p>{LONG}</p></article></main>", f"T\n\n{LONG}"),
+        (f"<form id='f'><article><p>{LONG}</p><form>Mail</form></article></form>", LONG),
+        (f"<body><form><div><p>{LONG}</p><p>{MORE}</p></div></form></body>", f"{LONG}\n\n{MORE}"),
+        (
+            f"<article><section id='related-work'><p>{LONG}</p></section><section id='search'>"
+            "<p>s</p></section><section id='notice-period'><p>n</p></section></article>",
+            f"{LONG}\n\ns\n\nn",
+        ),
+        # Still something else:
+        (f"<article><p>{MORE}</p><div class='sidebar'><article>{LONG}</article></div></article>", MORE),
+        (f"<main><p>x</p><div id='comments'><article>{MORE}</article></div></main>", "x"),
+        (f"<article><p>{LONG}</p><section id='comments'><p>{MORE}</p></section></article>", LONG),
+        (f"<article>x</article><aside><article>{MORE}</article></aside>", "x"),
+        (f"<div hidden><article>{MORE}</article></div>", ""),
+    ],
+)
+def test_words_around_the_article(page, text):
+    assert main_text(page) == text

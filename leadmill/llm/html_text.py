@@ -6,9 +6,11 @@ lies inside the article's own element, or inside an element that holds something
 Lengths of text are then summed over sliding windows of lines, where lines that hold
 something else count nothing. Where the sum surges above a bar the main text begins, where
 it dives to zero it ends, and all lines between are kept. On pages with an ``article`` or
-``main`` element only its lines have a length and the bar is zero; on others the
-bar is ``SURGE`` characters, lines made of links count nothing, and headings right before
-a surge belong to it.
+``main`` element only its lines have a length and the bar is zero, so the element alone
+bounds the text; on others the bar is ``SURGE`` characters, lines made of links count
+nothing, and the lines found only say where the main text is: the containers (``div`` and
+the like) that they are in are kept but for what holds something else, and so are headings
+right before. If no sum is above the bar, the container with most running text is taken.
 """
 
 from __future__ import annotations
@@ -66,6 +68,8 @@ _ANCHORED = frozenset("section h1 h2 h3 h4 h5 h6".split())
 #: How surely an element holds something else: by a word for a place on the page, by a
 #: word for another kind of article, or by its element or being hidden.
 PLACE, KIND, SURE = 1, 2, 3
+# Elements that hold the lines of one part of a page.
+CONTAINERS = frozenset("article center div fieldset main section td th".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)"
@@ -90,6 +94,15 @@ _SIBLINGS = {
 }
 
 
+class Place:
+    """A container on a page; that of the page itself is None."""
+
+    __slots__ = ("above",)
+
+    def __init__(self, above: Place | None):
+        self.above = above
+
+
 @dataclass
 class Line:
     own: bool  # in the article's element
@@ -97,6 +110,7 @@ class Line:
     heading: bool
     frame: int = 0  # the article's element, if words on or around it speak against it
     form: int = 0  # the outermost form around it, unless an article's element is inside
+    place: Place | None = None
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -152,17 +166,17 @@ def _role(tag: str, rest: str, inside: bool) -> tuple[bool, int]:
 def lines_of(page: str) -> list[Line]:
     """The lines of a page in order."""
     lines = [Line(False, 0, False)]
-    stack: list[tuple[str, tuple[bool, int, int, int]]] = []
+    stack: list[tuple[str, tuple[bool, int, int, int, Place | None]]] = []
     at = frames = forms = 0
     levels = {0: 0}
 
-    def state() -> tuple[bool, int, int, int]:
-        return stack[-1][1] if stack else (False, 0, 0, 0)
+    def state() -> tuple[bool, int, int, int, Place | None]:
+        return stack[-1][1] if stack else (False, 0, 0, 0, None)
 
     def line() -> None:
-        own, other, frame, form = state()
+        own, other, frame, form, place = state()
         heading = any(_HEADING.match(tag) for tag, _ in stack[-3:])
-        lines.append(Line(own, other, heading, frame, form))
+        lines.append(Line(own, other, heading, frame, form, place))
 
     def add(text: str) -> None:
         if text:
@@ -224,7 +238,7 @@ def lines_of(page: str) -> list[Line]:
                 line()
             continue
         before = state()
-        own, other, frame, form = before
+        own, other, frame, form, place = before
         mine, foreign = _role(tag, match["rest"], own)
         other = max(other, foreign)
         if mine and PLACE <= other <= KIND:
@@ -236,7 +250,9 @@ def lines_of(page: str) -> list[Line]:
         if tag == "form" and not form:
             forms += 1
             form = forms
-        stack.append((tag, (own or mine, other, frame, form)))
+        if tag in CONTAINERS:
+            place = Place(place)
+        stack.append((tag, (own or mine, other, frame, form, place)))
         if tag in BLOCKS or state() != before:
             line()
     _settle(lines, levels)
@@ -311,22 +327,86 @@ def main_text(page: str | None, width: int = WIDTH, surge: int = SURGE) -> str:
 
     sizes = [length(line, text) for line, text in held]
     bar = 0 if framed else surge
-    blocks: list[str] = []
+    kept: set[int] = set()
     at = 0
     while at < len(sizes):
         if not sizes[at] or sum(sizes[at : at + width]) <= bar:
             at += 1
             continue
-        start = at
-        if not framed:
-            while start and held[start - 1][0].heading and sizes[start - 1]:
-                start -= 1
         end = at
         while end < len(sizes) and sum(sizes[end : end + width]):
             end += 1
-        blocks += [held[n][1] for n in range(start, end) if sizes[n]]
+        kept.update(n for n in range(at, end) if sizes[n])
         at = end + 1
-    return "\n\n".join(blocks)
+    if not framed:
+        kept = _extended(held, sizes, kept, surge)
+    return "\n\n".join(held[n][1] for n in sorted(kept))
+
+
+def _extended(
+    held: list[tuple[Line, str]], sizes: list[int], found: set[int], surge: int
+) -> set[int]:
+    """The lines found, those of their containers, and headings right before them.
+
+    Without any, those of the container with most running text; a single word is none.
+    Containers inside are taken too if they are not mostly links. Of lines outside all
+    containers, links at the edges stay out.
+    """
+    members: dict[Place | None, list[int]] = {}
+    for n, (line, _) in enumerate(held):
+        if not line.other:
+            members.setdefault(line.place, []).append(n)
+    if found:
+        # Short lines that are just next to the main text say nothing on where it is.
+        chosen = {held[n][0].place for n in found if 2 * sizes[n] > surge}
+        chosen = chosen or {held[n][0].place for n in found}
+    else:
+
+        def running(place: Place | None) -> int:
+            return sum(
+                sizes[n]
+                for n in members[place]
+                if not held[n][0].heading and " " in held[n][1]
+            )
+
+        best = max(members, key=running, default=None)
+        if best not in members or not running(best):
+            return set()
+        chosen = {best}
+    # A container of one line is a paragraph; what it is in is meant.
+    chosen = {
+        place.above
+        if place and len(members[place]) == 1 and place.above
+        else place
+        for place in chosen
+    }
+    known: dict[Place | None, bool] = {None: None in chosen}
+
+    def taken(place: Place | None) -> bool:
+        path = []
+        while place not in known:
+            path.append(place)
+            place = place.above
+        for inner in reversed(path):
+            own = members.get(inner, [])
+            links = sum(not sizes[n] for n in own)
+            above = inner.above is not None and known[inner.above]
+            known[inner] = inner in chosen or (above and 2 * links <= len(own))
+        return known[path[0]] if path else known[place]
+
+    kept = set(found)
+    for place, own in members.items():
+        if taken(place):
+            text = [n for n in own if sizes[n]]
+            if place is not None:
+                kept.update(own)
+            elif text:
+                kept.update(n for n in own if text[0] <= n <= text[-1])
+    for n in sorted(kept, reverse=True):
+        while n and held[n - 1][0].heading and sizes[n - 1]:
+            n -= 1
+            kept.add(n)
+    return kept
 
 
 def extract(

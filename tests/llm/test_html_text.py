@@ -108,3 +108,30 @@ def test_rows(spark):
 )
 def test_words_around_the_article(page, text):
     assert main_text(page) == text
+
+
+LINE = "A short closing line."
+LINKED = "<p>See <a href='/x'>all that we have said before</a>.</p>"
+
+
+@pytest.mark.parametrize(
+    "page, blocks",
+    [
+        (f"<ul><li><a href='/'>Home</a></ul><div><p>{LINE}</p></div>", [LINE]),
+        (f"<body><h1>T</h1><p>{LINE}</p><footer>{LONG}</footer></body>", ["T", LINE]),
+        (f"<div><p>One two.</p><p>Three.</p><p>Four.</p><p>Five.</p><p>{LONG}</p></div>",
+         ["One two.", "Three.", "Four.", "Five.", LONG]),
+        (f"<p>One two.</p><p>Three.</p><p>Four.</p><p>Five.</p><p>{LONG}</p>",
+         ["One two.", "Three.", "Four.", "Five.", LONG]),
+        (f"<div><p>{LONG}</p><div class='ad'><p>a</p><p>b</p><p>c</p><p>d</p></div><p>{LINE}</p></div>",
+         [LONG, LINE]),
+        (f"<p>{LONG}</p><div class='newsletter'><p>a</p><p>b</p><p>c</p></div><p>{LINE}</p>",
+         [LONG, LINE]),
+        (f"<div><p>{LONG}</p>{LINKED}<p>{LINE}</p></div>",
+         [LONG, "See all that we have said before.", LINE]),
+        (f"<div><p>{LONG}</p></div><div><a href='/'>Home</a> <a href='/b'>News</a></div>", [LONG]),
+        (f"<div><div><p>{LINE}</p></div><div><p>{LONG}</p></div></div>", [LINE, LONG]),
+    ],
+)
+def test_nothing_of_the_container_is_lost(page, blocks):
+    assert main_text(page).split("\n\n") == blocks

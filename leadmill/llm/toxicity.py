@@ -5,7 +5,9 @@ letters, or letters set apart. Each sign of a disguised word opens a lattice of
 may stand for (itself, what it looks like, nothing if it repeats the sign before), each
 at a price. Viterbi decoding finds the cheapest path under the lattice's prices and a
 character language model. A word of plain letters without repeats has a single path and
-is its own decoding.
+is its own decoding. In a run of letters set apart by blanks the lattice may also end a
+word and start the next one after each letter. Neighbouring pieces of two or more letters
+are read as one word if that makes a word of the lexicon and is the cheaper reading.
 
 The restored words are scored by logistic regression on a lexicon. The character model is
 counted over all texts; lexicon and weights are fitted on a bounded sample of labelled
@@ -33,6 +35,7 @@ LEXICON = 300
 LEAST_DOCS = 5
 BEGINNINGS = (4, 5, 6)
 _FLUSH = 200_000
+_STOPS = frozenset(".!?;:")
 _CACHE = 300_000
 # The letters that signs are used for, with most likely ones first.
 LOOKS = {
@@ -67,8 +70,10 @@ _PLAIN = re.compile(r"[^\W\d_]+")
 _REPEAT = re.compile(r"(.)\1")
 #: Prices in natural logarithms: reading a sign as a letter, leaving out a repeat.
 READ, SECOND, REPEAT, LONG_REPEAT = 1.0, 1.5, 4.0, 0.5
+#: The price of a blank inside a word.
+SPLIT = 1.0
 _START, _END = "^", "$"
-_NOTHING: tuple[Counter | None, str] = (None, "")
+_NOTHING: tuple[Counter | None, str, str] = (None, "", "")
 
 
 class CharModel:
@@ -157,12 +162,53 @@ def decode(signs: str, model: CharModel) -> str:
     return min(ends)[1]
 
 
+def decode_run(signs: str, model: CharModel) -> list[str]:
+    """The most likely words behind signs that were all set apart."""
+    keep = model.order - 1
+    # Paths by their last letters, with price and letters as a chain from the last one.
+    paths: dict[str, tuple[float, tuple | None]] = {_START: (0.0, None)}
+    for at in range(len(signs)):
+        breaks = [
+            (price + model.cost(context, _END), chain)
+            for context, (price, chain) in paths.items()
+            if context != _START
+        ]
+        if breaks:
+            price, chain = min(breaks, key=lambda path: path[0])
+            if _START not in paths or price < paths[_START][0]:
+                paths[_START] = (price, (chain, " "))
+        following: dict[str, tuple[float, tuple | None]] = {}
+        for letter, extra in _options(signs, at):
+            for context, (price, chain) in paths.items():
+                total, after, longer = price + extra, context, chain
+                if letter:
+                    total += model.cost(context, letter)
+                    after, longer = (context + letter)[-keep:], (chain, letter)
+                best = following.get(after)
+                if best is None or total < best[0]:
+                    following[after] = (total, longer)
+        paths = following
+    _, chain = min(
+        (
+            (price + (model.cost(context, _END) if context != _START else 0.0), chain)
+            for context, (price, chain) in paths.items()
+        ),
+        key=lambda path: path[0],
+    )
+    letters = []
+    while chain:
+        chain, letter = chain
+        letters.append(letter)
+    return "".join(reversed(letters)).split()
+
+
 class Restorer:
     """Texts to restored words, with a bounded cache of decodings."""
 
     def __init__(self, model: CharModel):
         self.model = model
         self.cache: dict[str, str] = {}
+        self.runs: dict[str, list[str]] = {}
 
     def word(self, token: str) -> str:
         if token.isdigit() or token.isalpha() and not _REPEAT.search(token):
@@ -186,9 +232,24 @@ class Restorer:
                 words.append(self.word(_GAP_SIGNS.sub("", apart)))
         return words
 
-    def spelt(self, letters: list[str]) -> str:
-        """The word of letters that were set apart by blanks."""
-        return self.word("".join(letters))
+    def spelt(self, letters: list[str]) -> list[str]:
+        """The words of letters that were set apart by blanks."""
+        signs = "".join(letters)
+        if signs.isdigit():
+            return [signs]
+        known = self.runs.get(signs)
+        if known is None:
+            if len(self.runs) >= _CACHE:
+                self.runs.clear()
+            known = self.runs[signs] = decode_run(signs, self.model)
+        return known
+
+    def price(self, word: str) -> float:
+        """What a word costs under the character model."""
+        return sum(
+            self.model.cost((_START + word)[: at + 1], letter)
+            for at, letter in enumerate(word + _END)
+        )
 
     def words(self, text: str | None) -> list[str]:
         """The restored words, then those that were written letter by letter."""
@@ -196,7 +257,7 @@ class Restorer:
         found = [word for chunk in chunks for word in self.chunk(chunk)]
         letters = [letter_of(chunk) for chunk in chunks]
         for start, stop in _runs(np.array([bool(x) for x in letters], dtype=bool)):
-            found.append(self.spelt(letters[start:stop]))
+            found.extend(self.spelt(letters[start:stop]))
         return found
 
 
@@ -284,6 +345,12 @@ class Lexicon:
     def __init__(self, features):
         self.features = frozenset(features)
         self.heads = frozenset(feature[: BEGINNINGS[0]] for feature in self.features)
+        #: What a word of the lexicon may begin with, but for the whole of it.
+        self.starts = frozenset(
+            feature[:size]
+            for feature in self.features
+            for size in range(1, len(feature.rstrip("*")))
+        )
 
     def may_hold(self, words: list[str]) -> bool:
         heads, size = self.heads, BEGINNINGS[0]
@@ -305,9 +372,11 @@ class Measure:
 
     def __init__(self, restorer: Restorer, features):
         self.restorer, self.lexicon = restorer, Lexicon(features)
-        self.cache: dict[str, tuple[Counter | None, str]] = {}
+        self.cache: dict[str, tuple[Counter | None, str, str]] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
 
-    def _chunk(self, chunk: str) -> tuple[Counter | None, str]:
+    def _chunk(self, chunk: str) -> tuple[Counter | None, str, str]:
+        """Features, the letter that it is, and its word if more may belong to it."""
         known = self.cache.get(chunk)
         if known is None:
             words = self.restorer.chunk(chunk)
@@ -315,15 +384,17 @@ class Measure:
             if len(self.cache) >= _CACHE:
                 self.cache.clear()
             letter = letter_of(chunk)
-            known = (found, letter) if found or letter else _NOTHING
+            piece = words[0] if len(words) == 1 and words[0] in self.lexicon.starts else ""
+            known = (found, letter, piece) if found or letter or piece else _NOTHING
             self.cache[chunk] = known
         return known
 
     def __call__(self, texts: pa.Array) -> Iterator[Counter]:
         for chunks, places, counts in word_runs(texts):
             known = [self._chunk(chunk) for chunk in chunks]
-            telling = np.array([bool(found) for found, _ in known], dtype=bool)
-            single = np.array([bool(letter) for _, letter in known], dtype=bool)
+            telling = np.array([bool(found) for found, _, _ in known], dtype=bool)
+            single = np.array([bool(letter) for _, letter, _ in known], dtype=bool)
+            begins = np.array([bool(piece) for _, _, piece in known], dtype=bool)
             stops = np.cumsum(counts)
             each = [Counter() for _ in counts]
             for at in np.flatnonzero(telling[places]) if len(places) else []:
@@ -336,9 +407,60 @@ class Measure:
                 own = places[begin : int(stops[text])]
                 for start, stop in _runs(single[own]):
                     letters = [known[place][1] for place in own[start:stop]]
-                    each[text].update(self.lexicon.count([self.restorer.spelt(letters)]))
+                    each[text].update(self.lexicon.count(self.restorer.spelt(letters)))
+            for at in self._split_words(chunks, places, begins, single):
+                text = int(np.searchsorted(stops, at, "right"))
+                own = (chunks[places[n]] for n in range(at, int(stops[text])))
+                each[text].update(self._joined(own))
             yield from each
 
+    def _split_words(self, chunks, places, begins, single) -> list[int]:
+        """Where a word of the lexicon may have been cut into pieces."""
+        if len(places) < 2:
+            return []
+        at = np.flatnonzero(begins[places[:-1]] & ~(single[places[:-1]] & single[places[1:]]))
+        pairs = places[at].astype(np.int64) * len(chunks) + places[at + 1]
+        different, which = np.unique(pairs, return_inverse=True)
+        fits = np.zeros(len(different), dtype=bool)
+        for n, pair in enumerate(different.tolist()):
+            both = (chunks[pair // len(chunks)], chunks[pair % len(chunks)])
+            known = self.pairs.get(both)
+            if known is None:
+                first = self.cache.get(both[0]) or self._chunk(both[0])
+                words = self.restorer.chunk(both[1])
+                word = first[2] + words[0] if len(words) == 1 else ""
+                known = word in self.lexicon.starts or bool(
+                    word and self.lexicon.count([word])
+                )
+                if len(self.pairs) >= _CACHE:
+                    self.pairs.clear()
+                self.pairs[both] = known
+            fits[n] = known
+        return at[fits[which]].tolist()
+
+    def _joined(self, chunks: Iterator[str]) -> Counter:
+        """The features of the word that the first chunks make, if it is the cheaper reading."""
+        word, apart, pieces = "", 0.0, []
+        best: tuple[float, Counter] = (0.0, Counter())
+        for chunk in chunks:
+            words = self.restorer.chunk(chunk)
+            if len(words) != 1:
+                break
+            pieces += words
+            word += words[0]
+            apart += self.restorer.price(words[0])
+            if len(pieces) > 1 and (found := self.lexicon.count([word])):
+                gain = apart - self.restorer.price(word) - SPLIT * (len(pieces) - 1)
+                if gain <= best[0]:
+                    break
+                # What the pieces tell by themselves is counted already.
+                best = (gain, found - self.lexicon.count(pieces))
+            elif len(pieces) > 1 and word not in self.lexicon.starts:
+                break
+            if chunk[-1:] in _STOPS:
+                break
+        return best[1]
+
 
 class Scorer:
     """Logistic regression on how often the features of a lexicon occur."""

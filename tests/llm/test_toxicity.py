@@ -122,3 +122,22 @@ def test_clean_documents_stay(spark, documents):
     kept = t.keep_clean(docs, _labels(spark, [(i, x, 0, "q") for i, x in enumerate(labels)]))
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, x in enumerate(labels) if not x}
+
+
+@pytest.mark.parametrize(
+    "written",
+    ["a b l o r f", "y o u b l o r f", "a b l 0 r f y", "you a s n a r k l e", "b l o r f s n a r k l e"],
+)
+def test_words_in_runs_of_letters(written):
+    model = _model([*PLAIN, "a", "a", "y", "you", "you"] * 20 + BAD * 10)
+    restorer, bad = t.Restorer(model), [b for b in BAD if b[1:3] in written.replace(" ", "").replace("0", "o")]
+    assert bad and all(b in restorer.words(written) for b in bad)
+    (found,) = t.Measure(restorer, BAD)(pa.array([written]))
+    assert found == {b: 1 for b in bad}
+
+
+def test_words_in_pieces(model):
+    texts = ["you bl orf there", "you sn ark le there", "gru mpel", "bl. orf", "the bl", "bl cat orf"]
+    found = list(t.Measure(t.Restorer(model), [*BAD, "snar*"])(pa.array(texts)))
+    assert found[:3] == [{"blorf": 1}, {"snarkle": 1, "snar*": 1}, {"grumpel": 1}]
+    assert not any(found[3:])

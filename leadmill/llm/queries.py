@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leadmill.llm import (
     decontaminate,
+    hard_negatives,
     hmm,
     html_text,
     langid,
     mixing,
     mtree,
     pii,
+    quality_rules,
     simhash,
+    spelling,
     token_files,
     toxicity,
 )
@@ -78,6 +81,23 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_products(table(spark, sf_dir, "embeddings"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned outside of the held-out fold."""
+    return quality_rules.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives just below the positives of every 100th vector."""
+    return hard_negatives.mine_labelled(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with the spelling each is a variant of."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -89,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_language_id": op9_language_id,
     "op10_mtree_topk": op10_mtree_topk,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,10 +1,12 @@
 """Spelling variants: words one edit apart, found by a search in a distributed trie.
 
-The vocabulary becomes an edge table: a node is the hash of a prefix at which words part or
-end, an edge the letters up to the next node. A frontier of states (word, position, node,
-edits) is joined with the edges level by level: each edge is read against the word with
-what is left of its one edit. States that reach the end of their word at the end of
-another one, with one edit spent, are neighbours.
+Each word enters the trie twice, forwards and backwards. An edit leaves the first half of
+one of the two as it is, so a search starts behind that half, where few words are left.
+The trie is an edge table: a node is the hash of a prefix at which words part or end, an
+edge the letters up to the next node. A frontier of states (text, position, node, edits) is
+joined with the edges level by level: each edge is read against the text with what is left
+of its one edit. States that reach the end of their text at the end of another one, with
+the edit spent, are neighbours.
 """
 
 from __future__ import annotations
@@ -13,18 +15,20 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadmill.llm.shared import LOWER_ASCII, mapped, stored
 
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _FLUSH = 500_000
-#: Hash of the empty prefix, and the factor of the rolling hash.
-ROOT, _FACTOR, _MASK = 0, 0x9E3779B97F4A7C15, (1 << 64) - 1
+#: Marks of texts that are words, and words read backwards.
+FORTH, BACK = ">", "<"
+_FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 #: Tables of up to so many bytes are sent to all tasks.
 BROADCAST_BYTES = 16 << 20
 
@@ -95,43 +99,42 @@ def _signed(code: int) -> int:
     return code - (1 << 64) if code >> 63 else code
 
 
-def prefixes(word: str) -> Iterator[tuple[int, int, str | None]]:
-    """Depth, hash and next letter of every prefix, the whole word included.
+def prefixes(text: str) -> Iterator[tuple[int, int, str | None, bool, bool]]:
+    """The prefixes of a marked text in which a search may be, the whole one included.
+
+    Each as depth, hash, next letter, whether some search may start there, and whether the
+    one of this text does. It starts behind the half of its letters (forwards rounded down,
+    backwards up); texts with one letter less start at the same depth or one before.
 
     Two prefixes may share a hash. Their node then has the edges of both, so no word is
     lost; what is found beyond is taken out by the last check.
     """
-    code = ROOT
-    for depth, letter in enumerate(word):
-        yield depth, _signed(code), letter
+    back = text[0] == BACK
+    starts = [1 + (letters + back) // 2 for letters in (len(text) - 2, len(text) - 1)]
+    code = 0
+    for depth, letter in enumerate(text):
+        if depth >= starts[0]:
+            yield depth, _signed(code), letter, depth in starts, depth == starts[1]
         code = ((code ^ ord(letter)) * _FACTOR + depth + 1) & _MASK
-    yield len(word), _signed(code), None
-
+    yield len(text), _signed(code), None, len(text) in starts, len(text) == starts[1]
 
-def _prefix_rows(words: DataFrame) -> DataFrame:
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["word", "depth", "node", "letter"]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.string()]
 
-        def flush(rows: list) -> pa.RecordBatch:
-            columns = zip(*rows, strict=True)
-            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=names)
+_PREFIX_SCHEMA = "id long, depth int, node long, letter string, opens boolean, own boolean"
 
-        rows, held = [], 0
-        for batch in batches:
-            for word in batch.column(0).to_pylist():
-                for prefix in prefixes(word):
-                    rows.append((word, *prefix))
-                    held += len(word)
-                    if held > _FLUSH * 8:
-                        yield flush(rows)
-                        rows, held = [], 0
-        if rows:
-            yield flush(rows)
 
-    schema = "word string, depth int, node long, letter string"
-    return words.select("word").transform(mapped, cut, schema)
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["id", "depth", "node", "letter", "opens", "own"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.bool_(), pa.bool_()]
+    rows = (
+        (name, *prefix)
+        for batch in batches
+        for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        for prefix in prefixes(text)
+    )
+    while held := list(islice(rows, 200_000)):
+        columns = zip(*held, strict=True)
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 class Small:
@@ -171,112 +174,132 @@ class Small:
         )
 
 
-def trie(words: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Edges ``node, first, label, child, ends`` and ends ``node, near`` of the words.
+def trie(texts: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, ...]:
+    """Edges ``node, label, child, ends, nexts``, ends ``node, near`` and starts ``id, pos,
+    node`` of ``id, text``.
 
-    A chain of letters without a branch or the end of a word is one edge, so the levels are
+    ``nexts`` holds the letters that follow the child. A chain of letters without a branch or the end of a text is one edge, so the levels are
     those of branches, and a very long word takes no more than a short one.
     """
-    rows = stored(_prefix_rows(words))
+    rows = stored(texts.select("id", "text").transform(mapped, _cut, _PREFIX_SCHEMA))
     nodes = (
         rows.groupBy("node")
         .agg(
             F.min("letter").alias("one"),
             F.max("letter").alias("other"),
+            F.bool_or("opens").alias("opens"),
             F.bool_or(F.col("letter").isNull()).alias("ends"),
         )
-        .where((F.col("node") == ROOT) | F.col("ends") | (F.col("one") != F.col("other")))
+        .where(F.col("opens") | F.col("ends") | (F.col("one") != F.col("other")))
         .select("node", "ends")
     )
-    path = Small(nodes, limit).join(rows.select("word", "depth", "node"), ["node"])
-    # One word's own prefixes are ordered, never a node's words.
-    below = Window.partitionBy("word").orderBy("depth")
+    path = Small(nodes, limit).join(rows.select("id", "depth", "node"), ["node"])
+    # One text's own prefixes are ordered, never a node's texts.
+    below = Window.partitionBy("id").orderBy("depth")
     steps = path.select(
-        "word",
+        "id",
         "node",
         "depth",
         F.lead("node").over(below).alias("child"),
         F.lead("depth").over(below).alias("until"),
         F.lead("ends").over(below).alias("ends"),
     ).where(F.col("child").isNotNull())
-    label = F.substring("word", F.col("depth") + 1, F.col("until") - F.col("depth"))
+    label = F.substring("text", F.col("depth") + 1, F.col("until") - F.col("depth"))
     edges = (
-        steps.withColumn("label", label)
-        .groupBy("node", "child", "label")
+        steps.join(texts, "id")
+        .groupBy("node", "child", label.alias("label"))
         .agg(F.first("ends").alias("ends"))
-        .select("node", F.substring("label", 1, 1).alias("first"), "label", "child", "ends")
     )
-    ends = rows.where(F.col("letter").isNull()).select("node", F.col("word").alias("near"))
-    return edges, ends
+    edges = stored(edges)
+    # At most one letter for each of the alphabet.
+    nexts = edges.groupBy(F.col("node").alias("child")).agg(
+        F.concat_ws("", F.collect_set(F.substring("label", 1, 1))).alias("nexts")
+    )
+    edges = edges.join(nexts, "child", "left")
+    whole = rows.where(F.col("letter").isNull()).select("id", "node")
+    ends = whole.join(texts, "id").select("node", F.col("text").alias("near"))
+    starts = rows.where("own").select("id", F.col("depth").alias("pos"), "node")
+    return edges, ends, starts
 
 
-def _read(states: DataFrame) -> DataFrame:
-    """States after reading their edge's label, in all ways their edits allow."""
-    took = F.explode(
-        F.when(F.col("edits") == 1, F.array(F.lit(0))).otherwise(
-            F.array(F.lit(-1), F.lit(0), F.lit(1))
-        )
-    )
+def _read(steps: DataFrame) -> DataFrame:
+    """States after reading their edge's label, in all ways their edits allow.
+
+    A label may be read as it is, with one letter replaced or with one letter more.
+    """
+    free = F.col("edits") == 0
+    took = F.explode(F.when(free, F.array(F.lit(-1), F.lit(0))).otherwise(F.array(F.lit(0))))
     size = F.char_length("label") + F.col("took")
-    cut = states.withColumn("took", took).where(
-        F.col("pos") + size <= F.char_length("word")
+    piece = F.substring("text", F.col("pos") + 1, size)
+    spent = F.when(free, F.levenshtein(piece, F.col("label"), 1)).otherwise(
+        F.when(piece == F.col("label"), 0).otherwise(-1)
     )
-    piece = F.substring("word", F.col("pos") + 1, size)
-    spent = F.when(
-        F.col("edits") == 1, F.when(piece == F.col("label"), 0).otherwise(-1)
-    ).otherwise(F.levenshtein(piece, F.col("label"), 1))
     return (
-        cut.withColumn("spent", spent)
+        steps.withColumn("took", took)
+        .where(F.col("pos") + size <= F.char_length("text"))
+        .withColumn("spent", spent)
         .where(F.col("spent") >= 0)
         .select(
-            "word",
+            "text",
             (F.col("pos") + size).alias("pos"),
             F.col("child").alias("node"),
             (F.col("edits") + F.col("spent")).alias("edits"),
             "ends",
+            "nexts",
         )
+        # With the edit spent, the text must end here or go on with a letter that follows.
+        .where(
+            """edits = 0 OR if(pos = char_length(text), ends,
+               instr(nexts, substring(text, pos + 1, 1)) > 0)"""
+        )
+        .drop("nexts")
     )
 
 
 def near_words(words: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``word, near``: for each of the different words all words exactly one edit away."""
-    edges, ends = trie(words, limit)
+    both = F.explode(
+        F.array(F.concat(F.lit(FORTH), "word"), F.concat(F.lit(BACK), F.reverse("word")))
+    )
+    texts = stored(
+        words.select(both.alias("text")).withColumn("id", F.monotonically_increasing_id())
+    )
+    edges, ends, starts = trie(texts, limit)
     edges = Small(edges, limit)
-    frontier = words.select(
-        "word",
-        F.lit(0).alias("pos"),
-        F.lit(ROOT).cast("long").alias("node"),
-        F.lit(0).alias("edits"),
-        F.lit(False).alias("ends"),
+    frontier = starts.join(texts, "id").select(
+        "text", "pos", "node", F.lit(0).alias("edits")
     )
     found = []
     while True:
-        # With the edit spent only the edge with the next letter can be read.
-        free = frontier.where(F.col("edits") == 0)
-        bound = frontier.where("edits = 1 AND pos < char_length(word)").withColumn(
-            "first", F.expr("substring(word, pos + 1, 1)")
-        )
-        columns = ["word", "pos", "node", "edits", "label", "child", "ends"]
-        steps = (
-            edges.join(free.drop("ends"), ["node"])
-            .select(*columns)
-            .unionAll(edges.join(bound.drop("ends"), ["node", "first"]).select(*columns))
+        frontier = stored(
+            edges.join(frontier, ["node"])
+            # With the edit spent only the edge with the next letter can be read.
+            .where("edits = 0 OR left(label, 1) = substring(text, pos + 1, 1)")
+            .transform(_read)
         )
-        frontier = stored(_read(steps))
         if frontier.isEmpty():
             break
-        # A last letter that is left over is the edit.
-        left = F.char_length("word") - F.col("pos") + F.col("edits")
-        found.append(frontier.where(F.col("ends") & (left == 1)).select("word", "node"))
+        done = F.col("pos") == F.char_length("text")
+        found.append(
+            frontier.where(done & F.col("ends") & (F.col("edits") == 1)).select("text", "node")
+        )
+        frontier = frontier.where(~done | (F.col("edits") == 0)).drop("ends")
     if not found:
         return words.select("word", F.col("word").alias("near")).where(F.lit(False))
-    pairs = Small(ends, limit).join(reduce(DataFrame.unionAll, found), ["node"])
-    # One edit can be placed in several ways; equal hashes are taken out here.
-    return (
-        pairs.select("word", "near")
-        .distinct()
+
+    def plain(name: str) -> Column:
+        letters = F.expr(f"substring({name}, 2)")
+        return F.when(F.col(name).startswith(FORTH), letters).otherwise(F.reverse(letters))
+
+    pairs = (
+        Small(ends, limit)
+        .join(reduce(DataFrame.unionAll, found), ["node"])
+        .select(plain("text").alias("word"), plain("near").alias("near"))
+        # Texts with equal hashes are taken out here.
         .where(F.levenshtein("word", "near", 1) == 1)
     )
+    turned = pairs.select(F.col("near").alias("word"), F.col("word").alias("near"))
+    return pairs.unionAll(turned).distinct()
 
 
 def group_variants(

@@ -322,7 +322,8 @@ def _mine_wave(
     negatives: int,
 ) -> DataFrame:
     spark = rows.sparkSession
-    block = Block.of(anchors.toArrow().combine_chunks().to_batches()[0])
+    columns = [column.combine_chunks() for column in anchors.toArrow().columns]
+    block = Block.of(pa.RecordBatch.from_arrays(columns, names=["id", "label", "vec"]))
     shared = spark.sparkContext.broadcast(block)
     close = _keys(rows, lambda mine: best_positives(mine, shared.value, positives))
     first = sorted_pairs(close, tasks).mapPartitions(

@@ -180,4 +180,34 @@ ORACLES: dict[str, str] = {
         SELECT query_id, place::INTEGER AS rank, vec_id, score
         FROM ranked WHERE place <= 20
     """,
+    "op12_hard_negatives": """
+        WITH good AS (
+            SELECT vec_id, label, v FROM (
+                SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v,
+                       CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            )
+            QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS alike,
+                   list_inner_product(a.v, o.v)::BIGINT AS score
+            FROM good a JOIN good o ON a.vec_id <> o.vec_id
+            WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT * FROM scored WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), ranked AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+                   p.score AS positive_score, n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.vec_id
+                                      ORDER BY n.score DESC, n.vec_id) AS place
+            FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.alike
+            WHERE 80 * p.score <= 100 * n.score AND n.score <= p.score
+        )
+        SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id,
+               positive_score, negative_score
+        FROM ranked WHERE place <= 5
+    """,
 }

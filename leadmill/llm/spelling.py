@@ -144,8 +144,8 @@ class Small:
     other side are joined by sending just their rows, all others by a shuffle.
     """
 
-    #: A key is hot that holds more than this share of the other side.
-    HOT = 1 / 1000
+    #: A key is hot that holds more than this share of the other side, and more than a few.
+    HOT, FEW = 1 / 1000, 1000
 
     def __init__(self, table: DataFrame, limit: int = BROADCAST_BYTES):
         self.table = stored(table)
@@ -163,7 +163,7 @@ class Small:
         # one row, or one for each letter, for each of them.
         total = rows.count()
         counts = rows.groupBy(*keys).agg(F.count("*").alias("_held"))
-        hot = stored(counts.where(F.col("_held") > max(total * self.HOT, 1000)).drop("_held"))
+        hot = stored(counts.where(F.col("_held") > max(total * self.HOT, self.FEW)).drop("_held"))
         heavy = self.table.join(F.broadcast(hot), keys, "left_semi")
         return (
             rows.join(F.broadcast(hot), keys, "left_semi")

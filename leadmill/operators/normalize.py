@@ -164,11 +164,10 @@ def first_of_each(rows: DataFrame, existing: DataFrame | None = None) -> DataFra
     """The first row of each duplicate group; rows without a hash all stay.
 
     ``min_by`` combines before the shuffle, so a hash shared by a large part of
-    the input arrives as one row per task. With ``existing`` given, hashes it
-    already holds are dropped too: of its one column only the hashes that occur in
-    ``rows`` are kept, and what they match is left out. Spark picks both joins by
-    size. With few new rows their hashes are sent to the scan of ``existing``; else
-    both joins share the aggregate's partitioning.
+    the input arrives as one row per task. With ``existing`` given, groups whose hash it
+    already holds are left out by one anti join on its one column. Where ``existing`` is
+    bucketed by hash, as ``Warehouse.hashes`` gives it, it is not shuffled: the groups
+    are dealt into its buckets.
     """
     firsts = rows.groupBy(_group_key().alias("group_key")).agg(
         F.min_by(F.struct(*rows.columns), F.struct(*ORDER, "raw_record_id")).alias(
@@ -176,9 +175,7 @@ def first_of_each(rows: DataFrame, existing: DataFrame | None = None) -> DataFra
         )
     )
     if existing is not None:
-        probes = rows.select(_group_key().alias("group_key"))
-        known = _hashes(existing).join(probes, "group_key", "left_semi")
-        firsts = firsts.join(known, "group_key", "left_anti")
+        firsts = firsts.join(_hashes(existing), "group_key", "left_anti")
     return firsts.select("first.*")
 
 

@@ -88,7 +88,13 @@ def lead_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_in(spark: SparkSession) -> Warehouse:
-    return Warehouse(spark, f"{shared_folder(spark)}/leadmill-{uuid4().hex}")
+    """A store of its own for a query, removed when the session ends."""
+    root = f"{shared_folder(spark)}/leadmill-{uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return Warehouse(spark, root)
 
 
 def with_points(rows: DataFrame) -> list[Column]:

@@ -4,14 +4,18 @@ A stage knows which folders of the layer before it has covered, so a run reads
 new folders only and needs no join against all that was done before. Raw rows
 without a normalized child, duplicates and rows of unregistered sources, are kept
 in ``leftover`` for runs that may judge them differently.
+
+Several jobs may run at a time. One that loses against another is done again from what
+the log says then, as long as they touch the same rows; else both are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
-from typing import Any
+from decimal import Decimal
+from typing import Any, TypeVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
@@ -28,16 +32,27 @@ from leadmill.sources.mappings import (
 )
 from leadmill.sources.raw import new_batch_id, wrap_raw
 from leadmill.sources.warehouse import (
+    HASHES,
     LEADS,
     LEFTOVER,
     NORMALIZED,
     RAW,
     RESULTS,
     SCORED,
+    CommitConflict,
     State,
     Warehouse,
 )
 
+# How often a job is done again because another one was faster.
+TRIES = 10
+# Results of so many pushes are joined when leads are read; then they are folded in.
+FOLD_AFTER = 20
+# Folders of a layer after ``merge_folders``.
+MOST_FOLDERS = 16
+
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class IngestResult:
@@ -74,6 +89,16 @@ def _now(at: datetime | None) -> Column:
     return F.lit(at or datetime.now(timezone.utc)).cast("timestamp")
 
 
+def _until_committed(store: Warehouse, job: Callable[[State], T]) -> T:
+    """Do a job from the state of the log, again if another one changed it too much."""
+    for _ in range(TRIES - 1):
+        try:
+            return job(store.state())
+        except CommitConflict:
+            continue
+    return job(store.state())
+
+
 def ingest_raw(store: Warehouse, raw: DataFrame, batch: str) -> IngestResult:
     """Append one batch of wrapped rows, whole or not at all.
 
@@ -81,20 +106,24 @@ def ingest_raw(store: Warehouse, raw: DataFrame, batch: str) -> IngestResult:
     was removed as a whole may come again: its rows go into a new folder and are new to
     all later stages.
     """
-    state = store.state()
-    if state.holds(batch):
-        return IngestResult(batch, _batch_rows(store, state, batch))
-    folder = batch if batch not in state.runs else _run_name(f"again-{batch}")
-    store.write(raw, RAW, folder)
-    moved = {} if folder == batch else {batch: folder}
-    store.commit(batch, add={RAW: [folder]}, moved=moved)
-    return IngestResult(batch, store.count(RAW, folder))
+
+    def job(state: State) -> IngestResult:
+        if state.holds(batch):
+            return IngestResult(batch, _batch_rows(store, state, batch))
+        folder = batch if batch not in state.runs else _run_name(f"again-{batch}")
+        store.write(raw, RAW, folder)
+        moved = {} if folder == batch else {batch: folder}
+        count = store.count(RAW, folder)
+        store.commit(batch, add={RAW: [folder]}, moved=moved, state=state)
+        return IngestResult(batch, count)
+
+    return _until_committed(store, job)
 
 
 def _batch_rows(store: Warehouse, state: State, batch: str) -> int:
     if batch in state.live.get(RAW, []):
         return store.count(RAW, batch)
-    # What a removal left of several batches may share a folder.
+    # What a removal or a merge left of several batches may share a folder.
     rows = store.read(RAW, [state.moved[batch]])
     return rows.where(F.col("file_batch_id") == batch).agg(F.count("*")).first()[0]
 
@@ -132,35 +161,49 @@ def normalize_new(
     fare differently once mappings have changed or rows were removed, so they are
     computed again just then, or when ``recheck`` says so.
     """
-    state = store.state()
     run = run or _run_name("normalize")
-    if run not in state.runs:
+
+    def job(state: State) -> NormalizeResult:
+        if run in state.runs:
+            return NormalizeResult(**state.runs[run])
         used = fingerprint(registry)
-        if recheck is None:
-            recheck = state.removed or state.mappings != used
+        again = recheck
+        if again is None:
+            again = state.removed or state.mappings != used
         fresh = [name for name in state.live.get(RAW, []) if name not in state.covered]
-        left = state.live.get(LEFTOVER, []) if recheck else []
+        waiting = state.live.get(LEFTOVER, [])
+        left = waiting if again else []
         seen = store.read(RAW, fresh).unionByName(store.read(LEFTOVER, left))
-        existing = store.read(NORMALIZED) if state.live.get(NORMALIZED) else None
 
-        kept = normalize.normalize(seen, registry, existing)
+        kept = normalize.normalize(seen, registry, store.hashes(state))
         store.write(kept.withColumn("created_at", _now(at)), NORMALIZED, run)
         written = store.read(NORMALIZED, [run])
+        buckets = store.buckets(state)
+        hashed = store.write_hashes(written, buckets)
         leftover = normalize.not_yet_normalized(seen, written)
         store.write(leftover.hint("rebalance", "source"), LEFTOVER, run)
+
+        over = [name for name in waiting if name not in left] + [run]
+        rows = store.read(LEFTOVER, over)
+        unknown = unregistered(rows, registry).agg(F.count("*")).first()[0]
+        skipped = rows.agg(F.count("*")).first()[0]
+        processed = store.count(NORMALIZED, run)
+        result = NormalizeResult(processed, unknown, skipped - unknown, processed + skipped)
         store.commit(
             run,
-            add={NORMALIZED: [run], LEFTOVER: [run]},
+            add={NORMALIZED: [run], HASHES: [hashed], LEFTOVER: [run]},
             retire={LEFTOVER: left},
             covers=fresh,
             mappings=used,
+            counts=asdict(result),
+            buckets=buckets,
+            state=state,
+            reads={RAW: fresh, HASHES: state.live.get(HASHES, [])},
+            whole=[NORMALIZED],
         )
+        return result
 
-    processed = store.count(NORMALIZED, run)
-    leftover = store.read(LEFTOVER)
-    skipped = leftover.agg(F.count("*")).first()[0]
-    unknown = unregistered(leftover, registry).agg(F.count("*")).first()[0]
-    return NormalizeResult(processed, unknown, skipped - unknown, processed + skipped)
+    return _until_committed(store, job)
 
 
 def score_new(
@@ -170,14 +213,27 @@ def score_new(
     at: datetime | None = None,
 ) -> ScoreResult:
     """Score normalized rows that have no score yet."""
-    state = store.state()
     run = run or _run_name("score")
-    if run not in state.runs:
+
+    def job(state: State) -> ScoreResult:
+        if run in state.runs:
+            return _score_result(state.runs[run])
         fresh = [n for n in state.live.get(NORMALIZED, []) if n not in state.covered]
         scored = scoring.score_leads(store.read(NORMALIZED, fresh), rules, _now(at))
         store.write(scored, SCORED, run)
-        store.commit(run, add={SCORED: [run]}, covers=fresh)
-    return _score_result(store, run)
+        stats, counts = _lead_stats(store, run)
+        store.commit(
+            run,
+            add={SCORED: [run]},
+            covers=fresh,
+            counts=counts,
+            stats={run: stats},
+            state=state,
+            reads={NORMALIZED: fresh},
+        )
+        return _score_result(counts)
+
+    return _until_committed(store, job)
 
 
 def rescore_all(
@@ -186,27 +242,47 @@ def rescore_all(
     at: datetime | None = None,
 ) -> ScoreResult:
     """Replace all scores, and with them the record of what was exported."""
-    state = store.state()
     run = _run_name("score")
-    scored = scoring.score_leads(store.read(NORMALIZED), rules, _now(at))
-    store.write(scored, SCORED, run)
-    old = {layer: state.live.get(layer, []) for layer in (SCORED, RESULTS)}
-    store.commit(
-        run, add={SCORED: [run]}, retire=old, covers=state.live.get(NORMALIZED, [])
-    )
-    return _score_result(store, run)
 
+    def job(state: State) -> ScoreResult:
+        records = state.live.get(NORMALIZED, [])
+        scored = scoring.score_leads(store.read(NORMALIZED, records), rules, _now(at))
+        store.write(scored, SCORED, run)
+        stats, counts = _lead_stats(store, run)
+        store.commit(
+            run,
+            add={SCORED: [run]},
+            retire={layer: state.live.get(layer, []) for layer in (SCORED, RESULTS)},
+            covers=records,
+            counts=counts,
+            stats={run: stats},
+            state=state,
+            reads={NORMALIZED: records},
+            whole=[NORMALIZED, SCORED, RESULTS],
+        )
+        return _score_result(counts)
+
+    return _until_committed(store, job)
 
-def _score_result(store: Warehouse, run: str) -> ScoreResult:
-    row = scoring.score_summary(store.read(SCORED, [run])).first()
-    return ScoreResult(row.processed, {name: row[name] for name in PRIORITIES})
+
+def _lead_stats(store: Warehouse, folder: str) -> tuple[dict[str, Any], dict[str, int]]:
+    """The statistics of one folder of leads, as the log keeps them, and its counts."""
+    row = leads.stats(store.read(LEADS, [folder])).first()
+    stats = {**row.asDict(), "total_claim_amount": str(row["total_claim_amount"])}
+    return stats, {name: row[name] for name in ("total_leads", *PRIORITIES)}
+
+
+def _score_result(counts: Mapping[str, int]) -> ScoreResult:
+    return ScoreResult(counts["total_leads"], {name: counts[name] for name in PRIORITIES})
 
 
 def _with_results(store: Warehouse, layer: str) -> DataFrame:
-    rows = store.read(layer)
-    if not store.live(RESULTS):
+    state = store.state()
+    rows = store.read(layer, state=state)
+    waiting = state.live.get(RESULTS, [])
+    if not waiting:
         return rows
-    return export.apply_results(rows, store.read(RESULTS))
+    return export.apply_results(rows, store.read(RESULTS, waiting))
 
 
 def current_scored(store: Warehouse) -> DataFrame:
@@ -215,29 +291,94 @@ def current_scored(store: Warehouse) -> DataFrame:
 
 
 def current_leads(store: Warehouse) -> DataFrame:
-    """Leads as ``join_leads`` gives them, read without that join."""
+    """Leads as ``join_leads`` gives them, read without that join.
+
+    Results that are not folded in yet are joined to them.
+    """
     return _with_results(store, LEADS)
 
 
+def current_stats(store: Warehouse) -> DataFrame:
+    """``leads.stats`` of all leads, added up from the log.
+
+    Every run that writes leads notes the statistics of its folder, so no lead is read.
+    Only while results wait to be folded in, leads are counted themselves.
+    """
+    state = store.state()
+    folders = state.live.get(SCORED, [])
+    if state.live.get(RESULTS) or any(name not in state.stats for name in folders):
+        return leads.stats(current_leads(store))
+    empty = leads.stats(store.read(LEADS, []))
+    counted = [name for name in empty.columns if name != "total_claim_amount"]
+    parts = [state.stats[name] for name in folders]
+    total = {name: sum(part[name] for part in parts) for name in counted}
+    amount = sum((Decimal(part["total_claim_amount"]) for part in parts), Decimal(0))
+    row = tuple({**total, "total_claim_amount": amount}[name] for name in empty.columns)
+    return store.spark.createDataFrame([row], empty.schema)
+
+
 def export_batches(store: Warehouse, size: int = export.EXPORT_BATCH) -> DataFrame:
     """Pending leads with their batch, for an outside client to push."""
     return export.assign_batches(current_leads(store), size)
 
 
 def record_results(
-    store: Warehouse, results: DataFrame, run: str | None = None, at: datetime | None = None
+    store: Warehouse,
+    results: DataFrame,
+    run: str | None = None,
+    at: datetime | None = None,
+    fold_after: int = FOLD_AFTER,
 ) -> None:
     """Append the outcome of pushed leads: ``lead_id, external_id, ok``.
 
     Call it once per pushed batch or range of batches: each call is durable by
-    itself, and the scored layer is not rewritten.
+    itself. When ``fold_after`` calls wait, they are folded into the leads.
     """
     run = run or _run_name("results")
-    if run in store.state().runs:
-        return
     rows = results.select("lead_id", "external_id", "ok", _now(at).alias("exported_at"))
-    store.write(rows, RESULTS, run)
-    store.commit(run, add={RESULTS: [run]})
+
+    def job(state: State) -> State:
+        if run in state.runs:
+            return state
+        store.write(rows, RESULTS, run)
+        return store.commit(run, add={RESULTS: [run]}, state=state)
+
+    if len(_until_committed(store, job).live[RESULTS]) >= fold_after:
+        fold_results(store)
+
+
+def fold_results(store: Warehouse) -> int:
+    """Write the outcome of pushed leads into the leads; reading them needs no join then.
+
+    Only the folders that hold such leads are written anew. Returns how many results
+    were folded in.
+    """
+    run = _run_name("fold")
+
+    def job(state: State) -> int:
+        waiting = state.live.get(RESULTS, [])
+        if not waiting:
+            return 0
+        results = store.read(RESULTS, waiting)
+        done = export.successes(results)
+        live = state.live.get(SCORED, [])
+        touched = store.read(LEADS, live, folders=True).select("id", "run")
+        folders = sorted(_by_folder(touched.join(done, "id", "left_semi")))
+        stats: dict[str, Any] = {}
+        if folders:
+            store.write(export.apply_results(store.read(LEADS, folders), results), SCORED, run)
+            stats[run] = _lead_stats(store, run)[0]
+        store.commit(
+            run,
+            add={SCORED: [run]} if folders else {},
+            retire={SCORED: folders, RESULTS: waiting},
+            stats=stats,
+            state=state,
+            reads={SCORED: live},
+        )
+        return results.agg(F.count("*")).first()[0]
+
+    return _until_committed(store, job)
 
 
 def export_result(pushed: DataFrame, results: DataFrame) -> ExportResult:
@@ -253,20 +394,29 @@ def remove_raw(store: Warehouse, condition: Column) -> None:
     removed ones, and a batch that went as a whole can be ingested again. Retired folders
     are deleted by ``Warehouse.vacuum``.
     """
-    state = store.state()
     run = _run_name("remove")
+    _until_committed(store, lambda state: _remove(store, state, run, condition))
+
+
+def _remove(store: Warehouse, state: State, run: str, condition: Column) -> None:
     doomed = F.coalesce(condition, F.lit(False))
     raw, records, scored = integrity.cascade(
-        store.read(RAW), store.read(NORMALIZED), store.read(LEADS), condition, remove=False
+        store.read(RAW, state=state),
+        store.read(NORMALIZED, state=state),
+        store.read(LEADS, state=state),
+        condition,
+        remove=False,
     )
     add: dict[str, list[str]] = {}
     retire: dict[str, list[str]] = {}
     covers: list[str] = []
     moved: dict[str, str] = {}
+    stats: dict[str, Any] = {}
     for layer, key, ids in (
         (RAW, "id", raw),
         (LEFTOVER, "id", raw),
         (NORMALIZED, "id", records),
+        (HASHES, "id", records),
         (SCORED, "id", scored),
         (RESULTS, "lead_id", scored),
     ):
@@ -290,18 +440,112 @@ def remove_raw(store: Warehouse, condition: Column) -> None:
             names = [name for name in partly if (name in state.covered) == done]
             if not names:
                 continue
-            folder = f"{run}-{layer}-{'done' if done else 'waiting'}"
             left = hit(store.read(stored, names), "left_anti")
-            if layer in (RAW, LEFTOVER):
-                left = left.hint("rebalance", "source")
-            store.write(left, layer, folder)
+            folder = _rewrite(store, state, layer, left, f"{run}-{layer}-{done:d}")
             add[layer].append(folder)
             covers += [folder] * done
+            if layer == SCORED:
+                stats[folder] = _lead_stats(store, folder)[0]
             if layer == RAW:
-                held = {batch: name for batch, name in state.moved.items() if name in names}
-                moved.update({batch: folder for batch in [*names, *held]})
+                moved.update(_moved(state, names, folder))
     if retire:
-        store.commit(run, add=add, retire=retire, covers=covers, removed=True, moved=moved)
+        store.commit(
+            run,
+            add=add,
+            retire=retire,
+            covers=covers,
+            removed=True,
+            moved=moved,
+            stats=stats,
+            state=state,
+            whole=[RAW, LEFTOVER, NORMALIZED, SCORED, RESULTS],
+        )
+
+
+def _rewrite(
+    store: Warehouse, state: State, layer: str, rows: DataFrame, folder: str
+) -> str:
+    """Write rows of a layer into one new folder; returns its name."""
+    if layer == HASHES:
+        return store.write_hashes(rows, store.buckets(state))
+    if layer in (RAW, LEFTOVER):
+        rows = rows.hint("rebalance", "source")
+    store.write(rows, layer, folder)
+    return folder
+
+
+def _moved(state: State, names: list[str], folder: str) -> dict[str, str]:
+    """Where the batches in some folders are, once these are one folder."""
+    held = {batch: folder for batch, name in state.moved.items() if name in names}
+    return {**dict.fromkeys(names, folder), **held}
+
+
+def merge_folders(store: Warehouse, most: int = MOST_FOLDERS) -> dict[str, int]:
+    """Merge the smallest folders of each layer that has more than ``most`` of them.
+
+    Large folders stay as they are, so over many merges a row is written anew only a few
+    times. Returns how many folders went into each merge.
+    """
+    run = _run_name("merge")
+    merged: dict[str, int] = {}
+    for layer in (RAW, LEFTOVER, NORMALIZED, HASHES, SCORED):
+
+        def job(state: State, layer=layer) -> None:
+            live = state.live.get(layer, [])
+            if len(live) <= most:
+                return
+            stored = LEADS if layer == SCORED else layer
+            by_size = sorted(live, key=lambda name: store.size(stored, name), reverse=True)
+            add: list[str] = []
+            gone: list[str] = []
+            covers: list[str] = []
+            moved: dict[str, str] = {}
+            # A merge may write two folders, of rows processed further and rows waiting.
+            small = by_size[max(most - 2, 0) :]
+            for done in (True, False):
+                names = [name for name in small if (name in state.covered) == done]
+                if len(names) < 2:
+                    continue
+                rows = store.read(stored, names)
+                folder = _rewrite(store, state, layer, rows, f"{run}-{layer}-{done:d}")
+                add.append(folder)
+                gone += names
+                covers += [folder] * done
+                if layer == RAW:
+                    moved.update(_moved(state, names, folder))
+            stats = {f: _lead_stats(store, f)[0] for f in add} if layer == SCORED else {}
+            store.commit(
+                f"{run}-{layer}",
+                add={layer: add},
+                retire={layer: gone},
+                covers=covers,
+                moved=moved,
+                stats=stats,
+                state=state,
+            )
+            merged[layer] = len(gone)
+
+        _until_committed(store, job)
+    return merged
+
+
+def rebucket_hashes(store: Warehouse, buckets: int) -> None:
+    """Deal the stored hashes into another number of buckets, when these have grown."""
+    run = _run_name("rebucket")
+
+    def job(state: State) -> None:
+        old = state.live.get(HASHES, [])
+        folder = store.write_hashes(store.read(HASHES, old), buckets)
+        store.commit(
+            run,
+            add={HASHES: [folder]},
+            retire={HASHES: old},
+            buckets=buckets,
+            state=state,
+            whole=[HASHES],
+        )
+
+    _until_committed(store, job)
 
 
 def _by_folder(rows: DataFrame) -> dict[str, int]:

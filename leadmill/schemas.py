@@ -15,6 +15,9 @@ NORMALIZED = """
     created_at TIMESTAMP
 """
 
+# The hash of every normalized row that has one, with the row's id.
+HASHES = "dedup_hash STRING, id STRING"
+
 BREAKDOWN = """
     STRUCT<
         amount_tier: STRUCT<matched: STRING, points: INT>,

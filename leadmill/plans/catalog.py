@@ -150,6 +150,45 @@ def s1_csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*claims.LISTING_CELLS, F.col(LINE_COLUMN).alias("line")).na.fill("")
 
 
+@query
+def s1_multi_line_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and suppliers as CSV with line breaks, quotes and commas in cells, ingested
+    from splits of 128 kB, so that records begin in one split and end in another."""
+    store = store_in(spark)
+    orders = claims.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("P-"), F.col("o_orderkey").cast("string")).alias("property_id"),
+        F.concat(
+            F.lit('said "'), "o_orderpriority", F.lit('",\n\n"'), "o_orderstatus", F.lit("\n")
+        ).alias("note"),
+    )
+    suppliers = claims.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S-"), F.col("s_suppkey").cast("string")).alias("property_id"),
+        F.concat("s_name", F.lit("\n,\n"), F.repeat(F.lit("more\n"), 50)).alias("note"),
+    )
+    writer = orders.unionByName(suppliers).coalesce(2).write.option("header", True)
+    writer = writer.option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(f"{store.root}/csv")
+    sizes = {
+        "spark.sql.files.maxPartitionBytes": str(128 << 10),
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    before = {name: spark.conf.get(name) for name in sizes}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    try:
+        jobs.ingest_csv(store, f"{store.root}/csv", "s")
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
+    cells = F.col("raw_data")
+    return store.read(RAW).select(
+        cells["property_id"].alias("property_id"),
+        F.rtrim(cells["note"], F.lit("\n")).alias("note"),
+        F.length(cells["note"]).alias("n_chars"),
+        F.size(cells).alias("cells"),
+    )
+
+
 @query
 def s2_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_rows(spark, sf_dir)
@@ -625,6 +664,15 @@ def f7_split_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.select("id", "parts.*")
 
 
+@query
+def f7_freeform_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of all orders, put together in ten forms and taken apart again."""
+    orders = claims.table(spark, sf_dir, "orders")
+    forms = claims.freeform_addresses(spark, sf_dir, orders)
+    split = forms.withColumn("parts", address.split_address(F.col("written")))
+    return split.select("o_orderkey", "parts.*")
+
+
 @query
 def f8_merged_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalize.build_normalized(raw_rows(spark, sf_dir), REGISTRY)
@@ -757,6 +805,54 @@ def e4_applied_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return applied.select("id", "exported_to_crm", "exported_at", "crm_record_id")
 
 
+def pushed_store(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """All leads stored by two runs, pushed, the results recorded and folded in."""
+    store = store_in(spark)
+    raw = raw_rows(spark, sf_dir)
+    for name, rows in (
+        ("first", earlier(raw)),
+        ("second", raw.where(F.col("ingested_at") >= ntz(CUTOFF))),
+    ):
+        jobs.ingest_raw(store, rows, name)
+        jobs.normalize_new(store, REGISTRY)
+        jobs.score_new(store)
+    results = pushed_results(jobs.export_batches(store)).drop("exported_at")
+    # Each half of the batches is recorded by itself.
+    for half in (0, 1):
+        jobs.record_results(store, results.where(F.crc32("lead_id") % 2 == half))
+    jobs.fold_results(store)
+    return store
+
+
+@query
+def e4_folded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leads of a store whose export results are folded in."""
+    rows = jobs.current_leads(pushed_store(spark, sf_dir))
+    exported = F.col("exported_at").isNotNull().alias("has_time")
+    return rows.select("id", "exported_to_crm", exported, "crm_record_id")
+
+
+@query
+def a1_a4_stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of that store, added up from its log."""
+    return jobs.current_stats(pushed_store(spark, sf_dir))
+
+
+@query
+def j6_n1_stored_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bucketed hashes after two runs and a merge of their folders."""
+    store = store_in(spark)
+    raw = raw_rows(spark, sf_dir)
+    for name, rows in (
+        ("first", earlier(raw)),
+        ("second", raw.where(F.col("ingested_at") >= ntz(CUTOFF))),
+    ):
+        jobs.ingest_raw(store, rows, name)
+        jobs.normalize_new(store, REGISTRY)
+    jobs.merge_folders(store, most=1)
+    return store.hashes(store.state())
+
+
 @query
 def e5_next_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a second export selects: the leads of the failed batches."""

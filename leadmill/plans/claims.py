@@ -162,6 +162,43 @@ def order_listings(
     )
 
 
+def freeform_addresses(
+    spark: SparkSession, sf_dir: str, orders: DataFrame
+) -> DataFrame:
+    """``o_orderkey, written``: one address an order, in one of ten forms."""
+    joined = orders.join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    ).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    number = _text(F.col("o_custkey") % 97 + 1)
+    street = F.concat_ws(" ", number, F.initcap("c_mktsegment"), F.lit("St"))
+    # The names hold digits, which no city has.
+    city = F.initcap(F.translate("n_name", "0123456789_", "abcdefghij "))
+    state = F.when(F.col("n_regionkey") == 0, "TX").otherwise("NY")
+    zip_code = F.lpad(_text("o_custkey"), 5, "0")
+    unit = _text(F.col("o_orderkey") % 40)
+
+    def text(*parts: Column | str) -> Column:
+        return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
+
+    forms = [
+        text(street, ", ", city, ", ", state, " ", zip_code),
+        text(street, ", ", city, ", ", state),
+        text(street, " ", city, " ", state, " ", zip_code),
+        text(street, " Apt ", unit, "B, ", city, ", ", state, " ", zip_code),
+        text(street, ", Ste ", unit, ", ", city, " ", state, " ", zip_code),
+        text("PO Box ", unit, ", ", city, ", ", state, " ", zip_code),
+        text("P.O. Box ", unit, " ", city, " ", state, " ", zip_code),
+        text(street, " NW # ", unit, " ", city, " ", state, " ", zip_code, "-0001"),
+        text(street, ",  ", city),
+        text(" ", street),
+    ]
+    form = F.col("o_orderkey") % len(forms)
+    written = forms[0]
+    for number_of, made in enumerate(forms):
+        written = F.when(form == number_of, made).otherwise(written)
+    return joined.select("o_orderkey", written.alias("written"))
+
+
 def _wrap(listings: DataFrame, cells: list[str]) -> DataFrame:
     """Raw rows in yearly batches."""
     year_start = F.date_trunc("year", "listed_at")

@@ -378,6 +378,16 @@ ORACLES: dict[str, str] = {
         s_name AS owner_name, CAST(s_suppkey AS VARCHAR) AS property_id,
         s_name || ',' || CAST(s_suppkey AS VARCHAR) || ',more' AS line FROM supplier""",
     ),
+    "s1_multi_line_csv": """
+        SELECT property_id, rtrim(note, chr(10)) AS note,
+          CAST(length(note) AS INTEGER) AS n_chars, 2 AS cells FROM (
+          SELECT 'P-' || CAST(o_orderkey AS VARCHAR) AS property_id,
+            'said "' || o_orderpriority || '",' || chr(10) || chr(10) || '"'
+              || o_orderstatus || chr(10) AS note FROM orders
+          UNION ALL
+          SELECT 'S-' || CAST(s_suppkey AS VARCHAR),
+            s_name || chr(10) || ',' || chr(10) || repeat('more' || chr(10), 50)
+          FROM supplier)""",
     "s2_raw_records": _over(
         "raw",
         f"""SELECT id, source, {_STAMP.format("listed_at")} AS ingested_at, file_batch_id,
@@ -634,6 +644,30 @@ ORACLES: dict[str, str] = {
         {_address_part(2)} AS city, {_address_part(3)} AS state,
         {_address_part(4)} AS zip FROM field1""",
     ),
+    # The parts that the forms were made of; nothing is parsed here.
+    "f7_freeform_addresses": """
+        SELECT o_orderkey,
+          CASE WHEN form IN (5, 6) THEN CASE form WHEN 5 THEN 'PO Box ' ELSE 'P.O. Box ' END
+              || unit
+            WHEN form = 3 THEN street || ' Apt ' || unit || 'B'
+            WHEN form = 4 THEN street || ', Ste ' || unit
+            WHEN form = 7 THEN street || ' NW # ' || unit
+            ELSE street END AS address_line1,
+          CASE WHEN form <> 9 THEN town END AS city,
+          CASE WHEN form < 8 THEN st END AS state,
+          CASE WHEN form IN (1, 8, 9) THEN NULL WHEN form = 7 THEN zip || '-0001'
+            ELSE zip END AS zip
+        FROM (SELECT o_orderkey, o_orderkey % 10 AS form,
+            CAST(o_custkey % 97 + 1 AS VARCHAR) || ' ' || c_mktsegment[1:1]
+              || lower(c_mktsegment[2:]) || ' St' AS street,
+            array_to_string([upper(w[1:1]) || lower(w[2:])
+              FOR w IN string_split(translate(n_name, '0123456789_', 'abcdefghij '), ' ')], ' ')
+              AS town,
+            CASE n_regionkey WHEN 0 THEN 'TX' ELSE 'NY' END AS st,
+            lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS zip,
+            CAST(o_orderkey % 40 AS VARCHAR) AS unit
+          FROM orders JOIN customer ON o_custkey = c_custkey
+          JOIN nation ON c_nationkey = n_nationkey)""",
     "f8_merged_address": _over(
         "rows",
         "SELECT id AS raw_record_id, line1 AS address_line1, city, state, zip FROM field3",
@@ -707,6 +741,26 @@ ORACLES: dict[str, str] = {
         FROM (SELECT lead_id AS id, ((row_number() OVER (ORDER BY score DESC, lead_id)
           - 1) // 10) % 3 <> 1 AS ok FROM leads)""",
     ),
+    "e4_folded_results": _over(
+        "leads",
+        """SELECT id, ok AS exported_to_crm, ok AS has_time,
+        CASE WHEN ok THEN 'rec' || id END AS crm_record_id
+        FROM (SELECT lead_id AS id, ((row_number() OVER (ORDER BY score DESC, lead_id)
+          - 1) // 10) % 3 <> 1 AS ok FROM leads)""",
+    ),
+    "a1_a4_stored_stats": _over(
+        "leads",
+        """SELECT count(*) AS total_leads, count(*) FILTER (priority = 'high') AS high,
+        count(*) FILTER (priority = 'medium') AS medium,
+        count(*) FILTER (priority = 'low') AS low,
+        CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total_claim_amount,
+        count(*) FILTER (ok) AS exported, count(*) FILTER (NOT ok) AS pending_export
+        FROM (SELECT *, ((row_number() OVER (ORDER BY score DESC, lead_id)
+          - 1) // 10) % 3 <> 1 AS ok FROM leads)""",
+    ),
+    "j6_n1_stored_hashes": _over(
+        "kept", "SELECT dedup_hash FROM kept WHERE dedup_hash IS NOT NULL"
+    ),
     "e5_next_export": _over(
         "batched",
         """SELECT id, position, (position - 1) // 10 AS export_batch

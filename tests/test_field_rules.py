@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from leadmill.functions import address, amounts, identity, names, text
@@ -138,6 +139,44 @@ def test_address_split(apply):
     ]
 
 
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ("12 Elm St, Marlow, VT", ("12 Elm St", "Marlow", "VT", None)),
+        ("12 Elm St Marlow VT 05671", ("12 Elm St", "Marlow", "VT", "05671")),
+        ("12 Elm St, Marlow VT 05671", ("12 Elm St", "Marlow", "VT", "05671")),
+        ("12 N Elm St W New Marlow, VT, 05671", ("12 N Elm St W", "New Marlow", "VT", "05671")),
+        ("12 Elm St Apt 4B, Marlow, VT 05671", ("12 Elm St Apt 4B", "Marlow", "VT", "05671")),
+        ("12 Elm St, Apt. 4B, Marlow, VT", ("12 Elm St, Apt. 4B", "Marlow", "VT", None)),
+        ("12 Elm St, Apt 4B Marlow VT 05671", ("12 Elm St, Apt 4B", "Marlow", "VT", "05671")),
+        ("12 Elm St # 7 Marlow VT 05671-1234", ("12 Elm St # 7", "Marlow", "VT", "05671-1234")),
+        ("12 Elm St #7 Marlow vt 05671", ("12 Elm St #7", "Marlow", "vt", "05671")),
+        ("PO Box 33 Marlow VT 05671", ("PO Box 33", "Marlow", "VT", "05671")),
+        ("P.O. Box 33, Marlow, VT", ("P.O. Box 33", "Marlow", "VT", None)),
+        ("P O Box 33, New Marlow VT", ("P O Box 33", "New Marlow", "VT", None)),
+        ("12 St Louis Ave Saint Louis MO 63101", ("12 St Louis Ave", "Saint Louis", "MO", "63101")),
+        ("12 Elm St, Marlow", ("12 Elm St", "Marlow", None, None)),
+        ("12 Elm St, Marlow 05671", ("12 Elm St", "Marlow", None, "05671")),
+        ("12 Elm St, VT 05671", ("12 Elm St", None, "VT", "05671")),
+        ("Old Mill House, 12 Elm St, Marlow, VT 05671",
+         ("Old Mill House, 12 Elm St", "Marlow", "VT", "05671")),
+        # What stays whole.
+        ("12 Elm Ct", ("12 Elm Ct", None, None, None)),
+        ("12 Elm St", ("12 Elm St", None, None, None)),
+        ("PO Box 05671", ("PO Box 05671", None, None, None)),
+        ("12 Elm St Apt 05671", ("12 Elm St Apt 05671", None, None, None)),
+        ("Elm House, Marlow", ("Elm House, Marlow", None, None, None)),
+        ("1 A, B, MA 2101", ("1 A, B, MA 2101", None, None, None)),
+        (", , ,", (", , ,", None, None, None)),
+        ("VT 05671", ("VT 05671", None, None, None)),
+        ("x " * 5000 + "St, Marlow, VT", None),
+    ],
+)
+def test_addresses_of_other_forms(apply, given, want):
+    (got,) = apply(lambda c: address.split_address(c), [given])
+    assert tuple(got) == (want or (given.strip(), None, None, None))
+
+
 def test_address_merge_keeps_given_parts(spark):
     line = "5 Elm St, Salem, or 97301"
     given = [

@@ -15,14 +15,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +42,9 @@ _FOOTER = struct.Struct("<QQQQ8s")
 # How word tokenizers with end marks cut texts, and chunks that are surely
 # one run of letters and one of signs under that rule.
 _WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=-@\[-`{}~]*)")
+_SIMPLE = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<signs>[!-&(-/:;=-@\[-`{}~]*)\z"
+#: Words looked up at a time.
+RUN_WORDS = 2_000_000
 _ENCODERS: dict = {}
 
 
@@ -260,43 +262,50 @@ class WordEncoder:
             self.words.update(zip(part, range(first, first + len(part)), strict=True))
 
     def _learn(self, chunks: list[str]) -> None:
-        words, pairs, odd = self.words, {}, []
-        for chunk in chunks:
-            match = _SIMPLE.fullmatch(chunk)
-            if match:
-                pairs[chunk] = match.groups()
-            else:
-                odd.append(chunk)
-        self._learn_words(
-            list({word for pair in pairs.values() for word in pair if word not in words})
-        )
-        found = [
-            e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
-        ]
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        first = self._add(list(chain.from_iterable(found)), sizes)
+        cut = pc.extract_regex(pa.array(chunks, pa.string()), _SIMPLE)
+        simple = cut.is_valid().to_numpy(zero_copy_only=False)
+        found = cut.filter(pa.array(simple))
+        both = pa.concat_arrays([found.field(0), found.field(1)]).dictionary_encode()
+        different = both.dictionary.to_pylist()
+        self._learn_words([word for word in different if word not in self.words])
+        known = map(self.words.__getitem__, different)
+        words = np.fromiter(known, np.int64, len(different))[both.indices.to_numpy()]
+        odd = [chunks[at] for at in np.flatnonzero(~simple).tolist()]
+        encoded = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        sizes = np.array([len(part) for part in ids], np.int64)
+        first = self._add(list(chain.from_iterable(ids)), sizes)
         places = np.zeros((len(chunks), 2), np.int64)
-        places[: len(pairs), 0] = [words[pair[0]] for pair in pairs.values()]
-        places[: len(pairs), 1] = [words[pair[1]] for pair in pairs.values()]
-        places[len(pairs) :, 0] = np.arange(first, first + len(odd))
+        places[simple] = words.reshape(2, -1).T
+        places[~simple, 0] = np.arange(first, first + len(odd))
         held = len(self.chunks)
-        names = chain(pairs, odd)
-        self.chunks.update(zip(names, range(held, held + len(chunks)), strict=True))
+        self.chunks.update(zip(chunks, range(held, held + len(chunks)), strict=True))
         self.pairs = np.concatenate([self.pairs, places])
         self.uses = np.concatenate([self.uses, np.zeros(len(chunks), np.int64)])
 
     def _places(self, chunks: list[str]) -> np.ndarray:
         """The place of each of these different chunks; unknown ones are learned."""
-        fresh = [chunk for chunk in chunks if chunk not in self.chunks]
+        places = self._known(chunks)
+        fresh = np.flatnonzero(places < 0)
         if len(self.chunks) + len(fresh) > self.most:
             self._forget()
-            fresh = [chunk for chunk in chunks if chunk not in self.chunks]
-        self._learn(fresh)
-        return np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
+            places = self._known(chunks)
+            fresh = np.flatnonzero(places < 0)
+        if len(fresh):
+            learned = [chunks[at] for at in fresh.tolist()]
+            self._learn(learned)
+            places[fresh] = self._known(learned)
+        return places
+
+    def _known(self, chunks: list[str]) -> np.ndarray:
+        """The place of each chunk, -1 for unknown ones."""
+        found = map(self.chunks.get, chunks, repeat(-1))
+        return np.fromiter(found, np.int64, len(chunks))
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         end = np.array(self.end, np.uint32)
-        for chunks, uses, counts in word_runs(texts):
+        # One run a batch, so that each of its different chunks is looked up once.
+        for chunks, uses, counts in word_runs(texts, RUN_WORDS):
             places = self._places(chunks)
             self.uses[places] += np.bincount(uses, minlength=len(places))
             pairs = self.pairs[places][uses]

@@ -240,9 +240,12 @@ def mix(
     weights=WEIGHTS,
     most: int = MOST,
     slice_rows: int = SLICE_ROWS,
+    row_column: str | None = None,
 ) -> DataFrame:
     """``<id>, size, source_size, target, taken, copies``, one row a document.
 
+    ``row_column`` names a column of ``docs`` that is passed through as ``row``.
+
     ``taken``: words that the mix takes of the document, repeats counted. Null and empty
     texts have no words and are taken once, which takes none. The null source is a source
     like others. Rows with equal ids are rounded one by one; equal rows are
@@ -253,6 +256,7 @@ def mix(
             F.col(id_column).alias("id"),
             F.col(source_column).alias("source"),
             words_in(F.col(text_column)).alias("size"),
+            *([F.col(row_column).alias("row")] if row_column else []),
         )
         .withColumn("key", F.xxhash64("id", "source", "size"))
     )
@@ -275,6 +279,7 @@ def mix(
             "target",
             (F.col("size") * F.col("copies")).alias("taken"),
             "copies",
+            *(["row"] if row_column else []),
         )
     )
 
@@ -287,23 +292,16 @@ def mixed_documents(
 ) -> DataFrame:
     """The documents of the mix, as often as it takes them, with the same columns.
 
-    Documents without words stay. Rows that agree in id, source and words share their
-    copies: each is repeated as often as their average says, to the next whole number.
+    Documents without words stay. Every row is repeated by its own copies, whatever ids or
+    texts it shares with others; the words of the result are those that ``mix`` takes.
     """
-    copies = mix(docs, id_column, text_column, source_column)
-    wanted = copies.groupBy(
-        F.col(id_column).alias("_id"), F.col("size").alias("_size")
-    ).agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
-    same = docs[id_column].eqNullSafe(wanted["_id"]) & (
-        words_in(docs[text_column]) == wanted["_size"]
+    row, times = fresh_name(docs, "row"), fresh_name(docs, "times")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    copies = mix(rows, id_column, text_column, source_column, row_column=row).select(
+        F.col("row").alias(row), F.col("copies").alias(times)
     )
-    again = fresh_name(docs, "copy")
-    return (
-        docs.join(wanted, same)
-        .where(wanted["_copies"] > 0)
-        .select(
-            *[docs[name] for name in docs.columns],
-            F.explode(F.sequence(F.lit(1), wanted["_copies"])).alias(again),
-        )
-        .drop(again)
+    # One row each on both sides, under numbers of their own: no key is hot.
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col(times)))
+    return rows.join(copies, row).withColumn(times, repeated).select(
+        *[F.col(f"`{name}`") for name in docs.columns]
     )

@@ -96,3 +96,17 @@ def test_empty_and_wordless_tables(documents):
 def test_a_single_source_takes_everything_once(documents):
     rows = mixing.mix(documents(["a b", "c", "d e f"])).collect()
     assert all(r.taken == r["size"] for r in rows)
+
+
+def test_rows_that_share_ids_and_words_keep_their_own_copies(documents):
+    texts = ["a b c d"] * 220 + ["one two three", "one two three", None]
+    ids = [None] * 220 + [5, 5, 5]
+    docs = documents(texts, ids, sources=["x"] * 20 + ["y"] * 200 + ["z", "x", None])
+    taken = {}
+    for row in mixing.mix(docs, row_column="source").collect():
+        taken[row["row"]] = taken.get(row["row"], 0) + row.taken
+    found = {}
+    for row in mixing.mixed_documents(docs).collect():
+        found[row.source] = found.get(row.source, 0) + len((row.text or "").split())
+    assert taken["x"] > 100 and taken["y"] < 700
+    assert found == taken

@@ -36,7 +36,11 @@ UNDECIDED = "und"
 _FLUSH = 200_000
 _CACHE = 400_000
 _TEXTS = 256
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Signs such as ½ or ² are word characters, but no letters.
+_SIGNS = "".join(
+    sign for sign in map(chr, range(0x80, 0x110000)) if sign.isnumeric() and not sign.isalpha()
+)
+_LETTERS = re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 
 def words_of(text: str | None) -> list[str]:

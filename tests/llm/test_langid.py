@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from leadmill.llm import langid
 
@@ -101,3 +102,12 @@ def test_nothing_learned(documents):
 def test_one_language(documents):
     rows = langid.predict_held_out(documents(["ab ba"] * 40, langs=["xx"] * 40)).collect()
     assert {r.lang_pred for r in rows} == {"xx"}
+
+
+@pytest.mark.parametrize("text", ["½", "² ③ Ⅷ", "12 ¼ _", "— …"])
+def test_signs_that_are_no_letters(text):
+    assert langid.words_of(text) == [] or any(c.isalpha() for c in text)
+
+
+def test_letters_of_many_scripts_stay():
+    assert langid.words_of("Straße½ 東京二 один2два") == ["straße", "東京二", "один", "два"]

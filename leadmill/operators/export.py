@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadmill.operators.leads import pending, ranked
+from leadmill.operators.leads import SLICE_DIGITS, pending, ranked
 
 _RESULTS = pa.schema(
     [("lead_id", pa.string()), ("external_id", pa.string()), ("ok", pa.bool_())]
@@ -18,10 +18,6 @@ _RESULTS = pa.schema(
 # Fixed value: records per pushed batch.
 EXPORT_BATCH = 10
 
-# Leading hex digits of the id that slice the leads of one score: 4096 slices,
-# so even a score shared by a third of all leads is numbered by many tasks.
-SLICE_DIGITS = 3
-
 # The target's column names.
 PAYLOAD_COLUMNS = (
     "Name",

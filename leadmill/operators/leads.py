@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from uuid import UUID
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from leadmill.functions.rules import PRIORITIES
@@ -17,6 +17,10 @@ DEFAULT_LIMIT = 50
 MAX_LIMIT = 200
 MAX_STATE_LENGTH = 8
 
+# Leading hex digits of the id that slice the leads of one score: 4096 slices,
+# so even a score shared by a third of all leads is numbered by many tasks.
+SLICE_DIGITS = 3
+
 SUMMARY_COLUMNS = (
     "id",
     "owner_name",
@@ -114,6 +118,76 @@ def list_leads(
     return ranked(rows).offset(page.offset).limit(page.limit)
 
 
+def rank_counts(leads: DataFrame, digits: int = SLICE_DIGITS) -> DataFrame:
+    """How many leads there are by priority, score and beginning of the id.
+
+    At most as many rows as scores times ``16 ** digits`` and priorities, however many
+    leads: each task adds up its own before they meet. Counts of parts of the leads can be
+    put together, as ``seek`` adds them up.
+    """
+    key = F.substring("id", 1, digits).alias("slice")
+    return leads.groupBy("priority", "score", key).agg(F.count("*").alias("leads_in"))
+
+
+@dataclass(frozen=True)
+class Place:
+    """Where an offset is: so many leads after the first one of a slice."""
+
+    score: int
+    slice: str
+    skip: int
+
+
+def seek(ranks: DataFrame, offset: int) -> Place | None:
+    """Turn an offset into a place of the order, from ``rank_counts`` alone.
+
+    None if there are no more leads than ``offset``. First the score is found, then the
+    slice in that score, so no window runs over more than the slices of one score.
+    """
+    if offset < 0:
+        raise ValueError("offset must be at least 0")
+    in_score = ranks.groupBy("score").agg(F.sum("leads_in").alias("leads_in"))
+    score = _cell(in_score, F.desc("score"), offset)
+    if score is None:
+        return None
+    offset -= score["before"]
+    of_score = ranks.where(F.col("score") == score["score"])
+    slices = of_score.groupBy("slice").agg(F.sum("leads_in").alias("leads_in"))
+    found = _cell(slices, F.asc("slice"), offset)
+    return Place(score["score"], found["slice"], offset - found["before"])
+
+
+def _cell(counts: DataFrame, order: Column, offset: int) -> Row | None:
+    """The row of small counts in which the lead after ``offset`` others lies."""
+    above = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("leads_in").over(above), F.lit(0))
+    rows = counts.withColumn("before", before)
+    inside = (F.col("before") <= offset) & (F.col("before") + F.col("leads_in") > offset)
+    return rows.where(inside).first()
+
+
+def list_at(
+    leads: DataFrame,
+    ranks: DataFrame,
+    where: LeadFilter = LeadFilter(),
+    page: Page = Page(),
+) -> DataFrame:
+    """The page of ``list_leads``, at the same cost for every offset.
+
+    ``ranks`` are the ``rank_counts`` of the leads that meet the filter. The rows before
+    the slice of the first lead are filtered out, so the top-k holds a page and what it
+    skips of one slice.
+    """
+    rows = summaries(where.apply(leads))
+    place = seek(ranks, page.offset)
+    if place is None:
+        return rows.limit(0)
+    later = (F.col("score") < place.score) | (
+        (F.col("score") == place.score) & (F.col("id") >= place.slice)
+    )
+    return ranked(rows.where(later)).offset(place.skip).limit(page.limit)
+
+
 def list_after(
     leads: DataFrame,
     score: int,
@@ -138,18 +212,26 @@ def filtered_count(leads: DataFrame, where: LeadFilter = LeadFilter()) -> DataFr
 
 
 def lead_page(
-    leads: DataFrame, where: LeadFilter = LeadFilter(), page: Page = Page()
+    leads: DataFrame,
+    where: LeadFilter = LeadFilter(),
+    page: Page = Page(),
+    ranks: DataFrame | None = None,
 ) -> DataFrame:
     """One row: items in order, total, limit and offset.
 
-    The page is at most ``MAX_LIMIT`` rows, so gathering it is bounded.
+    The page is at most ``MAX_LIMIT`` rows, so gathering it is bounded. With ``ranks``, as
+    ``list_at`` takes them, the page is found and the total added up from these counts.
     """
-    rows = list_leads(leads, where, page)
+    if ranks is None:
+        rows, total = list_leads(leads, where, page), filtered_count(leads, where)
+    else:
+        rows = list_at(leads, ranks, where, page)
+        total = ranks.agg(F.coalesce(F.sum("leads_in"), F.lit(0)).alias("total"))
     best_first = F.struct((-F.col("score")).alias("rank"), *SUMMARY_COLUMNS)
     items = rows.agg(F.sort_array(F.collect_list(best_first)).alias("gathered")).select(
         F.transform("gathered", lambda item: item.dropFields("rank")).alias("items")
     )
-    halves = items.unionByName(filtered_count(leads, where), allowMissingColumns=True)
+    halves = items.unionByName(total, allowMissingColumns=True)
     return halves.agg(
         F.any_value("items", ignoreNulls=True).alias("items"),
         F.max("total").alias("total"),

@@ -17,7 +17,7 @@ from leadmill.plans.session import shared_folder, tune
 from leadmill.sources import mappings
 from leadmill.sources.csv import LINE_COLUMN, read_csv_source
 from leadmill.sources.raw import batch_id, json_cells, wrap_raw
-from leadmill.sources.warehouse import LEADS, NORMALIZED, RAW, SCORED, Warehouse
+from leadmill.sources.warehouse import HASHES, LEADS, NORMALIZED, RAW, SCORED, Warehouse
 from leadmill.streaming.incremental import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -838,6 +838,15 @@ def a1_a4_stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.current_stats(pushed_store(spark, sf_dir))
 
 
+@query
+def o2_o3_stored_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page far down the list of that store: its items, and the total."""
+    store = pushed_store(spark, sf_dir)
+    where, page = leads.LeadFilter(priority="low"), leads.Page(limit=200, offset=1500)
+    row = jobs.lead_page(store, where, page)
+    return row.select(F.explode("items").alias("item"), "total").select("item.*", "total")
+
+
 @query
 def j6_n1_stored_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bucketed hashes after two runs and a merge of their folders."""
@@ -896,6 +905,21 @@ def k2_repeated_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.repeated(rows, "dedup_hash")
 
 
+@query
+def k2_new_repeated_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes of orders listed again late, stored past the probe after a clean check."""
+    store = store_in(spark)
+    done = earlier_records(spark, sf_dir)
+    late = raw_rows(spark, sf_dir).where(F.col("ingested_at") >= ntz(CUTOFF))
+    fresh = normalize.normalize(late, REGISTRY)
+    for name, rows in (("first", done), ("second", fresh)):
+        folder = store.write_hashes(rows, store.buckets(store.state()))
+        store.commit(name, add={HASHES: [folder]})
+        if name == "first":
+            jobs.check_hashes(store)
+    return jobs.repeated_hashes(store)
+
+
 @query
 def k2_repeated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records scored twice, when late rows are scored by two runs."""

@@ -36,6 +36,7 @@ from leadmill.sources.warehouse import (
     LEADS,
     LEFTOVER,
     NORMALIZED,
+    RANKS,
     RAW,
     RESULTS,
     SCORED,
@@ -221,7 +222,7 @@ def score_new(
         fresh = [n for n in state.live.get(NORMALIZED, []) if n not in state.covered]
         scored = scoring.score_leads(store.read(NORMALIZED, fresh), rules, _now(at))
         store.write(scored, SCORED, run)
-        stats, counts = _lead_stats(store, run)
+        stats, counts = _describe(store, run)
         store.commit(
             run,
             add={SCORED: [run]},
@@ -248,7 +249,7 @@ def rescore_all(
         records = state.live.get(NORMALIZED, [])
         scored = scoring.score_leads(store.read(NORMALIZED, records), rules, _now(at))
         store.write(scored, SCORED, run)
-        stats, counts = _lead_stats(store, run)
+        stats, counts = _describe(store, run)
         store.commit(
             run,
             add={SCORED: [run]},
@@ -265,9 +266,14 @@ def rescore_all(
     return _until_committed(store, job)
 
 
-def _lead_stats(store: Warehouse, folder: str) -> tuple[dict[str, Any], dict[str, int]]:
-    """The statistics of one folder of leads, as the log keeps them, and its counts."""
-    row = leads.stats(store.read(LEADS, [folder])).first()
+def _describe(store: Warehouse, folder: str) -> tuple[dict[str, Any], dict[str, int]]:
+    """The statistics of one new folder of leads, as the log keeps them, and its counts.
+
+    Its rank counts are stored beside it, for pages far down the list.
+    """
+    rows = store.read(LEADS, [folder])
+    store.write(leads.rank_counts(rows).coalesce(1), RANKS, folder)
+    row = leads.stats(rows).first()
     stats = {**row.asDict(), "total_claim_amount": str(row["total_claim_amount"])}
     return stats, {name: row[name] for name in ("total_leads", *PRIORITIES)}
 
@@ -317,6 +323,76 @@ def current_stats(store: Warehouse) -> DataFrame:
     return store.spark.createDataFrame([row], empty.schema)
 
 
+def _rank_counts(store: Warehouse, rows: DataFrame, where: leads.LeadFilter) -> DataFrame:
+    """The rank counts of the leads that meet a filter: stored ones if these can tell."""
+    if where.state or where.min_amount is not None:
+        return leads.rank_counts(where.apply(rows))
+    stored = store.read(RANKS)
+    return leads.LeadFilter(priority=where.priority).apply(stored)
+
+
+def leads_at(
+    store: Warehouse,
+    where: leads.LeadFilter = leads.LeadFilter(),
+    page: leads.Page = leads.Page(),
+) -> DataFrame:
+    """``leads.list_leads`` of the current leads, for any offset at the price of a page.
+
+    By priority or without a filter the place of the page comes from counts stored beside
+    each folder of leads; other filters count by one narrow pass over the leads.
+    """
+    rows = current_leads(store)
+    return leads.list_at(rows, _rank_counts(store, rows, where), where, page)
+
+
+def lead_page(
+    store: Warehouse,
+    where: leads.LeadFilter = leads.LeadFilter(),
+    page: leads.Page = leads.Page(),
+) -> DataFrame:
+    """``leads.lead_page`` of the current leads, found and counted as in ``leads_at``."""
+    rows = current_leads(store)
+    return leads.lead_page(rows, where, page, _rank_counts(store, rows, where))
+
+
+def repeated_hashes(store: Warehouse) -> DataFrame:
+    """``dedup_hash, copies`` of the hashes that more than one normalized row has.
+
+    Only hashes of folders not checked before are looked at, against all folders, and only
+    the buckets they lie in are read.
+    """
+    return _repeated_hashes(store, store.state())
+
+
+def _repeated_hashes(store: Warehouse, state: State) -> DataFrame:
+    live = state.live.get(HASHES, [])
+    fresh = [folder for folder in live if folder not in state.covered]
+    rows = store.read_buckets(live, store.hash_buckets_of(fresh))
+    is_new = F.col("run").isin(fresh) if fresh else F.lit(False)
+    counts = rows.groupBy("dedup_hash").agg(
+        F.count("*").alias("copies"), F.max(is_new).alias("is_new")
+    )
+    return counts.where("copies > 1 AND is_new").drop("is_new")
+
+
+def check_hashes(store: Warehouse) -> int:
+    """How many hashes are repeated, as ``repeated_hashes`` finds them.
+
+    If there are none, the folders count as checked from now on.
+    """
+    run = _run_name("check")
+
+    def job(state: State) -> int:
+        live = state.live.get(HASHES, [])
+        fresh = [folder for folder in live if folder not in state.covered]
+        found = _repeated_hashes(store, state).agg(F.count("*")).first()[0]
+        if fresh and not found:
+            store.commit(run, add={}, covers=fresh, state=state, reads={HASHES: live})
+        return found
+
+    return _until_committed(store, job)
+
+
 def export_batches(store: Warehouse, size: int = export.EXPORT_BATCH) -> DataFrame:
     """Pending leads with their batch, for an outside client to push."""
     return export.assign_batches(current_leads(store), size)
@@ -367,7 +443,7 @@ def fold_results(store: Warehouse) -> int:
         stats: dict[str, Any] = {}
         if folders:
             store.write(export.apply_results(store.read(LEADS, folders), results), SCORED, run)
-            stats[run] = _lead_stats(store, run)[0]
+            stats[run] = _describe(store, run)[0]
         store.commit(
             run,
             add={SCORED: [run]} if folders else {},
@@ -445,7 +521,7 @@ def _remove(store: Warehouse, state: State, run: str, condition: Column) -> None
             add[layer].append(folder)
             covers += [folder] * done
             if layer == SCORED:
-                stats[folder] = _lead_stats(store, folder)[0]
+                stats[folder] = _describe(store, folder)[0]
             if layer == RAW:
                 moved.update(_moved(state, names, folder))
     if retire:
@@ -513,7 +589,7 @@ def merge_folders(store: Warehouse, most: int = MOST_FOLDERS) -> dict[str, int]:
                 covers += [folder] * done
                 if layer == RAW:
                     moved.update(_moved(state, names, folder))
-            stats = {f: _lead_stats(store, f)[0] for f in add} if layer == SCORED else {}
+            stats = {f: _describe(store, f)[0] for f in add} if layer == SCORED else {}
             store.commit(
                 f"{run}-{layer}",
                 add={layer: add},

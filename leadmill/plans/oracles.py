@@ -758,6 +758,16 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, ((row_number() OVER (ORDER BY score DESC, lead_id)
           - 1) // 10) % 3 <> 1 AS ok FROM leads)""",
     ),
+    "o2_o3_stored_page": _over(
+        "leads",
+        """SELECT id, owner_name, entity_type, city, state, claim_amount, score, priority,
+        ok AS exported_to_crm, total
+        FROM (SELECT lead_id AS id, name AS owner_name, entity_type, city, state,
+          CAST(amount AS DOUBLE) AS claim_amount, score, priority,
+          ((row_number() OVER (ORDER BY score DESC, lead_id) - 1) // 10) % 3 <> 1 AS ok,
+          count(*) FILTER (priority = 'low') OVER () AS total FROM leads)
+        WHERE priority = 'low' ORDER BY score DESC, id LIMIT 200 OFFSET 1500""",
+    ),
     "j6_n1_stored_hashes": _over(
         "kept", "SELECT dedup_hash FROM kept WHERE dedup_hash IS NOT NULL"
     ),
@@ -774,6 +784,12 @@ ORACLES: dict[str, str] = {
         """SELECT dedup_hash, count(*) AS copies FROM rows2
         WHERE dedup_hash IS NOT NULL GROUP BY dedup_hash HAVING count(*) > 1""",
     ),
+    "k2_new_repeated_hashes": _over(
+        "rows",
+        f"""SELECT dedup_hash, CAST(2 AS BIGINT) AS copies FROM rows2
+        WHERE dedup_hash IS NOT NULL GROUP BY dedup_hash
+        HAVING min(listed_at) < {_CUTOFF} AND max(listed_at) >= {_CUTOFF}""",
+    ),
     "k2_repeated_scores": _over(
         "kept",
         """SELECT record_id AS normalized_record_id, CAST(2 AS BIGINT) AS copies

@@ -41,6 +41,9 @@ LEADS = f"""
     source STRING, dedup_hash STRING
 """
 
+# How many leads of a priority have a score and begin their id alike.
+RANKS = "priority STRING, score INT, slice STRING, leads_in BIGINT"
+
 # One row per lead of a pushed export batch.
 EXPORT_RESULTS = """
     lead_id STRING, external_id STRING, ok BOOLEAN, exported_at TIMESTAMP

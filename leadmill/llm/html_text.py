@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,7 +40,10 @@ BLOCKS = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = "script style noscript template textarea svg math iframe object canvas title"
+RAW = (
+    "script style noscript template textarea svg annotation annotation-xml iframe object "
+    "canvas title"
+)
 OTHER_TAGS = frozenset(
     "head nav footer aside form button select menu dialog audio video map".split()
 )
@@ -70,12 +74,8 @@ _ANCHORED = frozenset("section h1 h2 h3 h4 h5 h6".split())
 PLACE, KIND, SURE = 1, 2, 3
 # Elements that hold the lines of one part of a page.
 CONTAINERS = frozenset("article center div fieldset main section td th".split())
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)"
-    r"(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
+_TAG_SIGN = re.compile("[>\"']")
 _RAW_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split()}
 _ATTRIBUTE = re.compile(
     r"([A-Za-z][\w:-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
@@ -158,17 +158,73 @@ def _role(tag: str, rest: str, inside: bool) -> tuple[bool, int]:
             elif name == "style":
                 flat = value.replace(" ", "").lower()
                 sure |= "display:none" in flat or "visibility:hidden" in flat
+    if inside and tag not in BLOCKS:
+        other = 0  # a name on words of a paragraph does not take them out of it
     if tag in ("html", "body"):
         return own, 0  # classes of the whole page say nothing about a part
     return own, SURE if sure else other
 
 
+class Tokens:
+    """The markup of a page from left to right, in time that grows with its length.
+
+    A tag ends at the first ``>`` outside of quotes. Where each search for it would end is
+    noted from the end of the page backwards, so tags that never close cost no more.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.signs = [match.start() for match in _TAG_SIGN.finditer(page)]
+        self.ends = [-1] * (len(self.signs) + 1)
+        later = {'"': -1, "'": -1}
+        for n in range(len(self.signs) - 1, -1, -1):
+            sign = page[self.signs[n]]
+            if sign == ">":
+                self.ends[n] = self.signs[n]
+            else:
+                partner, later[sign] = later[sign], n
+                if partner >= 0:
+                    self.ends[n] = self.ends[partner + 1]
+        self.last = page.rfind(">")
+        self.last_data = page.rfind("]]>")
+
+    def _end(self, at: int) -> int:
+        """Where the tag ends whose attributes begin here; -1 if it never does."""
+        return self.ends[bisect_left(self.signs, at)]
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """The next markup: where it starts and stops, its kind, and two texts.
+
+        The kinds: ``tag`` and ``close`` with a name and attributes, ``data`` with a text,
+        ``skip``. Other signs ``<`` are text.
+        """
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), "skip", "", ""
+            if page.startswith("<![CDATA[", at) and at + 9 <= self.last_data:
+                end = page.find("]]>", at + 9)
+                return at, end + 3, "data", page[at + 9 : end], ""
+            if page.startswith(("<!", "<?"), at):
+                if at < self.last:
+                    return at, page.find(">", at) + 1, "skip", "", ""
+            elif match := _TAG.match(page, at):
+                end = self._end(match.end())
+                if end >= 0:
+                    kind = "close" if match[1] else "tag"
+                    return at, end + 1, kind, match[2].lower(), page[match.end() : end]
+            at += 1
+        return None
+
+
 def lines_of(page: str) -> list[Line]:
     """The lines of a page in order."""
     lines = [Line(False, 0, False)]
     stack: list[tuple[str, tuple[bool, int, int, int, Place | None]]] = []
     at = frames = forms = 0
     levels = {0: 0}
+    opened: dict[str, int] = {}  # how many elements of a name are open
 
     def state() -> tuple[bool, int, int, int, Place | None]:
         return stack[-1][1] if stack else (False, 0, 0, 0, None)
@@ -182,12 +238,19 @@ def lines_of(page: str) -> list[Line]:
         if text:
             plain = html.unescape(text)
             lines[-1].parts.append(plain)
-            if any(tag == "a" for tag, _ in stack):
+            if "a" in opened:
                 lines[-1].linked += len(plain.strip())
 
     def close(names: set[str], until: frozenset[str] = frozenset()) -> bool:
+        if opened.keys().isdisjoint(names):
+            return False
         for place in range(len(stack) - 1, -1, -1):
             if stack[place][0] in names:
+                for name, _ in stack[place:]:
+                    if opened[name] == 1:
+                        del opened[name]
+                    else:
+                        opened[name] -= 1
                 del stack[place:]
                 return True
             if stack[place][0] in until:
@@ -195,20 +258,20 @@ def lines_of(page: str) -> list[Line]:
         return False
 
     scopes = frozenset("article aside body div footer form header main nav ol section table td th ul dl".split())
+    tokens = Tokens(page)
     while at < len(page):
-        match = _TOKEN.search(page, at)
-        if match is None:
+        token = tokens.next(at)
+        if token is None:
             add(page[at:])
             break
-        add(page[at : match.start()])
-        at = match.end()
-        if match["data"] is not None:
-            add(html.escape(match["data"], quote=False))
+        add(page[at : token[0]])
+        _, at, kind, tag, rest = token
+        if kind == "data":
+            add(html.escape(tag, quote=False))
             continue
-        if match["tag"] is None:
+        if kind == "skip":
             continue
-        tag = match["tag"].lower()
-        if match["close"]:
+        if kind == "close":
             if tag in BLOCKS or tag in OTHER_TAGS:
                 if tag != "br" and close({tag}):
                     line()
@@ -239,7 +302,7 @@ def lines_of(page: str) -> list[Line]:
             continue
         before = state()
         own, other, frame, form, place = before
-        mine, foreign = _role(tag, match["rest"], own)
+        mine, foreign = _role(tag, rest, own)
         other = max(other, foreign)
         if mine and PLACE <= other <= KIND:
             # Words on an article or around it do not decide alone: see _settle.
@@ -252,6 +315,7 @@ def lines_of(page: str) -> list[Line]:
             form = forms
         if tag in CONTAINERS:
             place = Place(place)
+        opened[tag] = opened.get(tag, 0) + 1
         stack.append((tag, (own or mine, other, frame, form, place)))
         if tag in BLOCKS or state() != before:
             line()

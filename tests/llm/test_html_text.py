@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
+import time
+
 import pytest
 
-from leadmill.llm.html_text import extract, main_text
+from leadmill.llm.html_text import Tokens, extract, main_text
 
 LONG = "Words of a paragraph that is long enough to count as running text, with a second clause at its end."
 MORE = "Another paragraph of the same kind, again with more than eighty-six characters of plain running text."
@@ -135,3 +138,39 @@ LINKED = "<p>See <a href='/x'>all that we have said before</a>.</p>"
 )
 def test_nothing_of_the_container_is_lost(page, blocks):
     assert main_text(page).split("\n\n") == blocks
+
+
+@pytest.mark.parametrize("broken", ["<a ", "<a b='", '<a b="', "<!", "<![CDATA[", "<![CDATA[>", "<!--", "</a ", "<"])
+def test_a_megabyte_of_broken_markup_is_read_once(broken):
+    page = f"<article><p>{LONG}</p></article>" + broken * (1_000_000 // len(broken))
+    start = time.monotonic()
+    assert LONG in main_text(page)
+    assert time.monotonic() - start < 10
+
+
+def _ends(page, at):
+    """Where a tag ends, sign by sign."""
+    quote = ""
+    for n in range(at, len(page)):
+        if quote:
+            quote = "" if page[n] == quote else quote
+        elif page[n] in "\"'":
+            quote = page[n]
+        elif page[n] == ">":
+            return n
+    return -1
+
+
+def test_tags_end_where_a_plain_scan_says():
+    rng = random.Random(5)
+    for _ in range(500):
+        page = "".join(rng.choice("<a>\"' =/") for _ in range(rng.randrange(40)))
+        tokens = Tokens(page)
+        assert [tokens._end(n) for n in range(len(page))] == [_ends(page, n) for n in range(len(page))]
+
+
+def test_inline_names_and_formulas_stay_in_their_paragraph():
+    page = f"<article><p>One <span class='search'>word</span> more</p><p>{LONG}</p></article>"
+    assert main_text(page) == f"One word more\n\n{LONG}"
+    page = f"<article><p>where <math><mi>x</mi><annotation>\\x</annotation></math> is.</p><p>{LONG}</p></article>"
+    assert main_text(page) == f"where x is.\n\n{LONG}"

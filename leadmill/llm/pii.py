@@ -13,7 +13,7 @@ Everything is a DataFrame or SQL function; no Python code runs on the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadmill.llm.shared import stored
@@ -102,15 +102,27 @@ def _is(kind: str):
     return lambda x: x["kind"] == kind
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
 def spans(text: Column, pattern: str) -> Column:
     """All matches of a pattern, leftmost and not overlapping, in order, with what is
     left and right of them: start and end count code points, the end is exclusive.
 
     The pieces between the matches and the matches alternate, which gives the places.
     """
-    pieces = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rows = F.arrays_zip(
+    cut = F.struct(
+        F.split(text, pattern, -1).alias("pieces"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
+    )
+    return _bound(cut, lambda cut: _bound(_matches(cut["pieces"], cut["found"]), _placed))
+
+
+def _matches(pieces: Column, found: Column) -> Column:
+    """The matches, each with the size of the piece before it and what is beside it."""
+    return F.arrays_zip(
         found.alias("value"),
         F.transform(
             F.slice(pieces, 1, F.size(found)),
@@ -123,10 +135,49 @@ def spans(text: Column, pattern: str) -> Column:
             lambda piece: F.left(piece, F.lit(40)),
         ).alias("after"),
     )
-    empty = F.struct(
-        F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")
+
+
+def _placed(rows: Column) -> Column:
+    """The spans of matches in order.
+
+    An array grows by being copied, so matches are placed in blocks of about the root of
+    their number: first the blocks, by their sizes, then the matches of each.
+    """
+    size = F.ceil(F.sqrt(F.size(rows))).cast("int")
+    last = (F.ceil(F.size(rows) / size) - 1).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), last), lambda n: F.slice(rows, n * size + 1, size)
     )
 
+    def place(blocks: Column) -> Column:
+        sizes = F.transform(
+            blocks,
+            lambda block: F.aggregate(
+                block,
+                F.lit(0),
+                lambda at, row: at + row["before"]["size"] + F.length(row["value"]),
+            ),
+        )
+        starts = F.aggregate(
+            sizes,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda state, size: F.struct(
+                (state["at"] + size).alias("at"),
+                F.concat(state["out"], F.array(state["at"])).alias("out"),
+            ),
+            lambda state: state["out"],
+        )
+        parts = F.arrays_zip(blocks.alias("rows"), starts.alias("at"))
+        return F.flatten(F.transform(parts, lambda part: _block(part["rows"], part["at"])))
+
+    nothing = F.array().cast(f"array<{_SPAN}>")
+    return F.when(F.size(rows) > 0, _bound(blocks, place)).otherwise(nothing)
+
+
+def _block(rows: Column, at: Column) -> Column:
+    """The spans of a few matches, the first piece of which begins at a place."""
+    begin = F.struct(at.alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+
     def add(state: Column, row: Column) -> Column:
         start = state["at"] + row["before"]["size"]
         end = start + F.length(row["value"])
@@ -139,7 +190,7 @@ def spans(text: Column, pattern: str) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    return F.aggregate(rows, empty, add, lambda state: state["out"])
+    return F.aggregate(rows, begin, add, lambda state: state["out"])
 
 
 #: What a text must hold for a pattern to match at all.
@@ -167,7 +218,12 @@ def _word(text: Column, pattern: str, group: int) -> Column:
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
-    """One row for each span: ``row, kind, start, end, name, seed, patterns``."""
+    """One row for each span: ``row, kind, start, end, name, seed, patterns``.
+
+    Spans of the loose patterns that overlap one of the fixed ones are left out. The spans
+    of a text are sorted for that, and each is held against the base spans that begin
+    before it and after it.
+    """
 
     def listed(kind: str, base: bool) -> Column:
         column = f"{'base' if base else 'loose'}_{kind}"
@@ -180,6 +236,14 @@ def _occurrences(found: DataFrame) -> DataFrame:
         "row",
         F.explode(F.concat(*[listed(k, b) for k in KINDS for b in (True, False)])).alias("o"),
     ).select("row", "o.kind", "o.seed", "o.x.*")
+    whole = (Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("row").orderBy("start").rangeBetween(*whole)
+    after = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(*whole)
+    base_start, base_end = (F.when(F.col("seed"), F.col(name)) for name in ("start", "end"))
+    clear = (F.coalesce(F.max(base_end).over(before), F.col("start")) <= F.col("start")) & (
+        F.coalesce(F.min(base_start).over(after), F.col("end")) >= F.col("end")
+    )
+    rows = rows.withColumn("clear", clear).where("seed OR clear").drop("clear")
     first = _word(F.col("left"), r"(\S+)\s*$", 1)
     second = _word(F.col("left"), r"(\S+)\s+\S+\s*$", 1)
     after = _word(F.col("right"), r"^[^\p{L}\p{N}]*(\S+)", 1)
@@ -278,19 +342,7 @@ def find_personal_data(
         F.col(id_column).alias("id"), *[c.alias(name) for name, c in columns.items()]
     ).withColumn("row", F.monotonically_increasing_id())
     found = stored(raw)
-    every = F.concat(*[F.col(f"base_{kind}") for kind in KINDS])
-    free = found.withColumns(
-        {
-            f"loose_{kind}": F.filter(
-                f"loose_{kind}",
-                lambda x: ~F.exists(
-                    every, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])
-                ),
-            )
-            for kind in KINDS
-        }
-    )
-    occurrences = stored(_occurrences(free))
+    occurrences = stored(_occurrences(found))
     names = _believed(occurrences, rounds, support, reliable, believed)
     added = (
         occurrences.where(~F.col("seed"))

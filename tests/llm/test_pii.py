@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -118,3 +119,17 @@ def test_no_python_in_the_plan(documents):
     found = pii.digest(pii.find_personal_data(documents(["a@b.c"])))
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_tens_of_thousands_of_matches_in_one_text(spark):
+    """Places are right and the work does not grow with the square of the matches."""
+    parts = [f"n{n % 7} 10.0.{n % 256}.{n % 251}," for n in range(40_000)]
+    text = " ".join(parts)
+    start = time.monotonic()
+    rows = spark.createDataFrame([(1, text), (2, "no"), (3, None)], "doc_id long, text string")
+    found = {row["doc_id"]: row for row in pii.find_personal_data(rows).collect()}
+    assert time.monotonic() - start < 150
+    spans = [(m.start(), m.end()) for m in re.finditer(r"10\.0\.\d+\.\d+", text)]
+    ips = [(s["start"], s["end"]) for s in found[1]["base"] if s["kind"] == "ip"]
+    assert ips == spans
+    assert found[2]["base"] == [] and found[3]["base"] == []

@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,21 @@ _GAP_SIGNS = re.compile(r"[.*_~-]")
 _EDGES = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _REPEAT = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1+")
+
+
+def _classes() -> dict[int, str]:
+    """Each sign and each letter that it may be read as under one letter for all of them."""
+    held: dict[str, str] = {}
+    for sign, letters in LOOKS.items():
+        group = {held.get(each, each) for each in (sign, *letters)}
+        name = min(group & set(letters) or {letters[0]})
+        held.update({each: name for each, of in held.items() if of in group})
+        held.update(dict.fromkeys((sign, *letters), name))
+    return {ord(each): name for each, name in held.items()}
+
+
+_CLASSES = _classes()
 #: Prices in natural logarithms: reading a sign as a letter, leaving out a repeat.
 READ, SECOND, REPEAT, LONG_REPEAT = 1.0, 1.5, 4.0, 0.5
 #: The price of a blank inside a word.
@@ -127,6 +142,15 @@ def _options(signs: str, at: int) -> list[tuple[str, float]]:
     return here
 
 
+def shape(word: str) -> str:
+    """What decoding leaves as it is: letters by class, and no repeats.
+
+    A decoding takes one letter of its class for each sign, or leaves out a repeated sign
+    but for the first, so a spelling and all its decodings have the same shape.
+    """
+    return _RUN.sub(r"\1", word.translate(_CLASSES))
+
+
 def decode(signs: str, model: CharModel) -> str:
     """The most likely word behind a spelling."""
     keep = model.order - 1
@@ -210,9 +234,12 @@ class Restorer:
         self.cache: dict[str, str] = {}
         self.runs: dict[str, list[str]] = {}
 
-    def word(self, token: str) -> str:
+    def word(self, token: str, matters: Callable[[str], bool] | None = None) -> str:
+        """The restored word; a token that does not matter to the caller stays as it is."""
         if token.isdigit() or token.isalpha() and not _REPEAT.search(token):
             return token
+        if matters is not None and not matters(token):
+            return token
         known = self.cache.get(token)
         if known is None:
             if len(self.cache) >= _CACHE:
@@ -220,16 +247,18 @@ class Restorer:
             known = self.cache[token] = decode(token, self.model)
         return known
 
-    def chunk(self, chunk: str) -> list[str]:
-        """The words of what stands between white space."""
+    def chunk(
+        self, chunk: str, matters: Callable[[str], bool] | None = None
+    ) -> list[str]:
+        """The words of what stands between white space; ``matters`` as for ``word``."""
         low = chunk.lower()
         core = low.rstrip(".,;:")
         if core.isalpha():
-            return [self.word(core)]
-        words = [self.word(token) for token in _TOKEN.findall(low)]
+            return [self.word(core, matters)]
+        words = [self.word(token, matters) for token in _TOKEN.findall(low)]
         if len(low) > 4 and _GAP_SIGNS.search(low):
             for apart in _APART.findall(low):
-                words.append(self.word(_GAP_SIGNS.sub("", apart)))
+                words.append(self.word(_GAP_SIGNS.sub("", apart), matters))
         return words
 
     def spelt(self, letters: list[str]) -> list[str]:
@@ -352,6 +381,20 @@ class Lexicon:
             for size in range(1, len(feature.rstrip("*")))
         )
 
+        self.head_shapes = frozenset(shape(head) for head in self.heads)
+        self.start_shapes = frozenset(shape(start) for start in self.starts)
+
+    def may_become(self, token: str) -> bool:
+        """Whether a decoding of a token can be a word of the lexicon or begin one.
+
+        Exact in saying no, by the shapes that they would share: decoding all other tokens
+        would change nothing.
+        """
+        form, heads = shape(token), self.head_shapes
+        return form in self.start_shapes or any(
+            form[:size] in heads for size in range(1, BEGINNINGS[0] + 1)
+        )
+
     def may_hold(self, words: list[str]) -> bool:
         heads, size = self.heads, BEGINNINGS[0]
         return any([word[:size] in heads for word in words])
@@ -379,19 +422,34 @@ class Measure:
         """Features, the letter that it is, and its word if more may belong to it."""
         known = self.cache.get(chunk)
         if known is None:
-            words = self.restorer.chunk(chunk)
-            found = self.lexicon.count(words) if self.lexicon.may_hold(words) else None
             if len(self.cache) >= _CACHE:
                 self.cache.clear()
+            if self._tells_nothing(chunk.lower().rstrip(".,;:")):
+                self.cache[chunk] = _NOTHING
+                return _NOTHING
+            words = self.restorer.chunk(chunk, self.lexicon.may_become)
+            found = self.lexicon.count(words) if self.lexicon.may_hold(words) else None
             letter = letter_of(chunk)
             piece = words[0] if len(words) == 1 and words[0] in self.lexicon.starts else ""
             known = (found, letter, piece) if found or letter or piece else _NOTHING
             self.cache[chunk] = known
         return known
 
+    def _tells_nothing(self, core: str) -> bool:
+        """Whether a chunk is one word that is neither in the lexicon nor may become so."""
+        lexicon = self.lexicon
+        return (
+            len(core) > 1
+            and core.isalpha()
+            and core[: BEGINNINGS[0]] not in lexicon.heads
+            and core not in lexicon.starts
+            and not (_REPEAT.search(core) and lexicon.may_become(core))
+        )
+
     def __call__(self, texts: pa.Array) -> Iterator[Counter]:
         for chunks, places, counts in word_runs(texts):
-            known = [self._chunk(chunk) for chunk in chunks]
+            held = self.cache.get
+            known = [held(chunk) or self._chunk(chunk) for chunk in chunks]
             telling = np.array([bool(found) for found, _, _ in known], dtype=bool)
             single = np.array([bool(letter) for _, letter, _ in known], dtype=bool)
             begins = np.array([bool(piece) for _, _, piece in known], dtype=bool)
@@ -427,8 +485,11 @@ class Measure:
             known = self.pairs.get(both)
             if known is None:
                 first = self.cache.get(both[0]) or self._chunk(both[0])
-                words = self.restorer.chunk(both[1])
-                word = first[2] + words[0] if len(words) == 1 else ""
+                piece = first[2]
+                words = self.restorer.chunk(
+                    both[1], lambda token: self.lexicon.may_become(piece + token)
+                )
+                word = piece + words[0] if len(words) == 1 else ""
                 known = word in self.lexicon.starts or bool(
                     word and self.lexicon.count([word])
                 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -141,3 +142,28 @@ def test_words_in_pieces(model):
     found = list(t.Measure(t.Restorer(model), [*BAD, "snar*"])(pa.array(texts)))
     assert found[:3] == [{"blorf": 1}, {"snarkle": 1, "snar*": 1}, {"grumpel": 1}]
     assert not any(found[3:])
+
+
+def test_only_tokens_that_cannot_become_a_feature_stay_undecoded():
+    """Leaving tokens undecoded changes no count."""
+    rng = random.Random(11)
+    features = ["idiot", "still*", "bogg*", "fool", "ill", "zz", "goose*"]
+    lexicon = t.Lexicon(features)
+    words = [*(f.rstrip("*") for f in features), "hello", "letter", "bill", "fog", "goosse"]
+    counts = Counter()
+    for word in words:
+        counts.update(t.grams_of(word))
+    restorer = t.Restorer(t.CharModel(dict(counts)))
+    twins = {"i": "1!|", "o": "0", "l": "1|", "s": "5$", "e": "3", "g": "69", "b": "68", "t": "7+", "z": "2"}
+    for _ in range(3000):
+        signs = "".join(
+            rng.choice([letter, letter * 2, *twins.get(letter, letter)])
+            for letter in rng.choice(words)
+        )
+        decoded = restorer.word(signs)
+        assert t.shape(decoded) == t.shape(signs)
+        if decoded in lexicon.starts or lexicon.count([decoded]):
+            assert lexicon.may_become(signs)
+        assert lexicon.count(restorer.chunk(signs)) == lexicon.count(
+            restorer.chunk(signs, lexicon.may_become)
+        )

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadmill.llm.components import components
+from leadmill.llm.components import components, spread_join
 from leadmill.llm.shared import LOWER_ASCII, fresh_name, mapped, stored
 
 SHINGLE = 4
@@ -271,12 +271,17 @@ def near_groups(
     edges = link_forest(points, radius, block_rows)
     roots = stored(components(edges))
     # Only fingerprints with links are in ``roots``; the others stand for themselves.
-    joined = points.join(roots, points["print"] == roots["node"], "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root")
+    joined = stored(
+        points.join(roots, points["print"] == roots["node"], "left").select(
+            "print", "least", F.coalesce("root", "print").alias("root")
+        )
     )
     top = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(top, "root").select("print", "component_id")
-    return prints.join(named, "print").select(
+    named = spread_join(joined, top, "root", F.xxhash64("print"), joined.count())
+    row = F.monotonically_increasing_id()
+    return spread_join(
+        prints, named.select("print", "component_id"), "print", row, prints.count()
+    ).select(
         id_column,
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -291,7 +296,8 @@ def keep_one(
 ) -> DataFrame:
     """One document of each group of near duplicates, with the same columns.
 
-    The document with the smallest id stays; of repeated rows with that id, one. Rows
+    The document with the smallest id stays; of several rows with that id the one with the
+    smallest text, then that with the smallest hash of its columns other than maps. Rows
     without id cannot be told apart and all stay.
     """
     groups = near_groups(docs.where(F.col(id_column).isNotNull()), id_column, text_column, radius)
@@ -301,7 +307,12 @@ def keep_one(
         .distinct()
     )
     mine = docs.join(heads, docs[id_column] == heads["_head"], "left_semi")
-    first = Window.partitionBy(id_column).orderBy(text_column)
+    hashed = [
+        F.col(f"`{name}`")
+        for name, kind in docs.dtypes
+        if "map<" not in kind and kind != "variant"
+    ]
+    first = Window.partitionBy(id_column).orderBy(text_column, F.xxhash64(*hashed))
     place = fresh_name(docs, "place")
     single = (
         mine.withColumn(place, F.row_number().over(first))

@@ -6,10 +6,10 @@ of its count plus one; one part is left for words never seen. So each text has a
 probability, computed exactly by the scaled forward recursion over all of its words.
 
 Baum-Welch: in each round every partition runs forward and backward over its training
-texts and adds up expected transitions and emissions; Spark sums them and the driver, which
-holds only the bounded tables of the model, takes the next estimate. For training, texts
-are cut into stretches of ``STRETCH`` words that start from a distribution of their own;
-scoring cuts nothing.
+texts, whole ones, and adds up expected transitions and emissions; Spark sums them and the
+driver, which holds only the bounded tables of the model, takes the next estimate. Of texts
+too long to hold all forward states only some are kept, and those between computed again on
+the way back.
 
 Counts of words come from all training texts. The most frequent ones, ``known`` at most,
 are sent to the tasks; all others are joined by word.
@@ -34,11 +34,11 @@ SYMBOLS = 16_384
 CLASSES = 256
 KNOWN = 262_144
 ROUNDS = 4
-STRETCH = 64
+#: Words whose forward states the E-step holds at a time.
+HELD = 1 << 19
 SMOOTH = 0.1
 END = "\n"  # no word holds white space
 _FLUSH = 300_000
-_BATCH = 4096
 
 
 def class_of(word: str, classes: int = CLASSES) -> int:
@@ -80,9 +80,9 @@ def _sequences(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray
 class Model:
     """Start, transition and emission probabilities."""
 
-    def __init__(self, start: np.ndarray, later: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        #: ``start`` of texts, ``later`` of stretches inside texts; ``emit[symbol, state]``.
-        self.start, self.later, self.move, self.emit = start, later, move, emit
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
+        #: ``move[from, to]`` and ``emit[symbol, state]``.
+        self.start, self.move, self.emit = start, move, emit
 
     @classmethod
     def first(cls, counts: np.ndarray, states: int) -> Model:
@@ -91,59 +91,88 @@ class Model:
         shares = (counts + SMOOTH) / (counts + SMOOTH).sum()
         emit = shares[:, None] * random.uniform(0.2, 1.8, (len(counts), states))
         move = np.full((states, states), 0.2 / states) + 0.8 * np.eye(states)
-        even = np.full(states, 1 / states)
-        return cls(even, even.copy(), move, emit / emit.sum(axis=0))
+        return cls(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
     @property
     def parts(self) -> tuple:
-        return self.start, self.later, self.move, self.emit
+        return self.start, self.move, self.emit
 
     def expect(self, row: np.ndarray, lengths: np.ndarray) -> Expected:
-        """One E-step over texts, stretch by stretch, many at a time."""
+        """One E-step over whole texts, many of about the same length at a time."""
         total = Expected.zero(*self.emit.shape)
-        stops = np.cumsum(lengths)
-        starts = stops - lengths
-        pieces = -(-lengths // STRETCH)
-        which = np.repeat(np.arange(len(lengths)), pieces)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = starts[which] + inside * STRETCH
-        size = np.minimum(stops[which] - begin, STRETCH)
-        order = np.argsort(-size, kind="stable")
-        for at in range(0, len(order), _BATCH):
-            chosen = order[at : at + _BATCH]
-            self._expect(row, begin[chosen], size[chosen], inside[chosen] == 0, total)
+        order = np.argsort(-lengths, kind="stable")
+        starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        at = 0
+        while at < len(order):
+            stop = int(np.searchsorted(before, before[at] + HELD, "right")) - 1
+            stop = max(stop, at + 1)
+            self._expect(row, starts[at:stop], sizes[at:stop], total)
+            at = stop
         return total
 
-    def _expect(self, row, begin, size, first, total: Expected) -> None:
-        steps, many = int(size[0]), len(begin)
-        states = len(self.start)
-        grid = np.minimum(begin[:, None] + np.arange(steps), len(row) - 1)
-        symbols = row[grid]
-        live = [int((size > t).sum()) for t in range(steps)]
-        ahead = np.zeros((steps, many, states))
-        scale = np.ones((steps, many))
-        here = np.where(first[:, None], self.start, self.later) * self.emit[symbols[:, 0]]
-        for t in range(steps):
-            n = live[t]
-            if t:
-                here = (ahead[t - 1, :n] @ self.move) * self.emit[symbols[:n, t]]
-            scale[t, :n] = here.sum(axis=1)
-            ahead[t, :n] = here / scale[t, :n, None]
-        back = np.ones((many, states))
-        share = np.empty((steps, many, states))
-        for t in range(steps - 1, -1, -1):
-            n = live[t]
-            share[t, :n] = ahead[t, :n] * back[:n]
-            if t:
-                following = self.emit[symbols[:n, t]] * back[:n] / scale[t, :n, None]
-                total.move += (ahead[t - 1, :n].T @ following) * self.move
-                back[:n] = following @ self.move.T
-        total.start += share[0][first].sum(axis=0)
-        total.later += share[0][~first].sum(axis=0)
-        real = np.arange(steps) < size[:, None]
-        flat, shares = symbols[real], share.transpose(1, 0, 2)[real]
-        for state in range(states):
-            total.emit[:, state] += np.bincount(flat, shares[:, state], len(self.emit))
+    def _forward(self, symbols, live, here) -> tuple[np.ndarray, np.ndarray]:
+        """Scaled forward states of some steps, and emissions divided by their scales.
+
+        Rows are the words of one step after the other, ``live`` of them in each step;
+        ``here`` holds the states of the step before, None before the first word.
+        """
+        emitted = self.emit[symbols]
+        ahead, scales = np.empty_like(emitted), np.empty(len(symbols))
+        at = 0
+        for n in live:
+            words = slice(at, at + n)
+            prior = self.start if here is None else here[:n] @ self.move
+            here = np.multiply(prior, emitted[words], out=ahead[words])
+            scale = here.sum(axis=1, out=scales[words])
+            here /= scale[:, None]
+            at += n
+        emitted /= scales[:, None]
+        return ahead, emitted
+
+    def _expect(self, row, starts, sizes, total: Expected) -> None:
+        """Adds what is expected of texts, given from the longest to the shortest."""
+        steps = int(sizes[0])
+        live = len(sizes) - np.searchsorted(sizes[::-1], np.arange(steps), "right")
+        # Stretches of steps with as many words as are held; each keeps where it begins.
+        marks = np.flatnonzero(np.diff((np.cumsum(live) - 1) // HELD, prepend=-1))
+        bounds = [*marks.tolist(), steps]
+
+        def words(part: int) -> tuple[np.ndarray, list[int]]:
+            counts = live[bounds[part] : bounds[part + 1]]
+            step = np.repeat(np.arange(bounds[part], bounds[part + 1]), counts)
+            text = np.arange(len(step)) - np.repeat(np.cumsum(counts) - counts, counts)
+            return row[starts[text] + step], counts.tolist()
+
+        entries: list[np.ndarray | None] = [None]
+        for part in range(len(bounds) - 1):
+            symbols, counts = words(part)
+            ahead, emitted = self._forward(symbols, counts, entries[-1])
+            entries.append(ahead[len(ahead) - counts[-1] :].copy())
+        back = np.ones((len(sizes), len(self.start)))
+        moves = np.zeros_like(self.move)
+        for part in range(len(bounds) - 2, -1, -1):
+            if part < len(bounds) - 2:
+                symbols, counts = words(part)
+                ahead, emitted = self._forward(symbols, counts, entries[part])
+            at = len(symbols)
+            for step in range(len(counts) - 1, -1, -1):
+                n, at = counts[step], at - counts[step]
+                here = slice(at, at + n)
+                if step or part:
+                    prior = ahead[at - counts[step - 1] : at] if step else entries[part]
+                    following = emitted[here]
+                    following *= back[:n]
+                    ahead[here] *= back[:n]
+                    moves += prior[:n].T @ following
+                    np.matmul(following, self.move.T, out=back[:n])
+                else:
+                    ahead[here] *= back[:n]
+                    total.start += ahead[here].sum(axis=0)
+            # What was ahead is now the share of each state in each word.
+            for state in range(len(self.start)):
+                total.emit[:, state] += np.bincount(symbols, ahead[:, state], len(self.emit))
+        total.move += moves * self.move
 
     def log10(self, row: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The log10 probability of each text's symbols: the scaled forward recursion."""
@@ -169,29 +198,23 @@ class Model:
 class Expected:
     """Expected counts of one E-step."""
 
-    def __init__(self, start, later, move, emit):
-        self.start, self.later, self.move, self.emit = start, later, move, emit
+    def __init__(self, start, move, emit):
+        self.start, self.move, self.emit = start, move, emit
 
     @classmethod
     def zero(cls, symbols: int, states: int) -> Expected:
-        return cls(
-            np.zeros(states),
-            np.zeros(states),
-            np.zeros((states, states)),
-            np.zeros((symbols, states)),
-        )
+        return cls(np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states)))
 
     def add(self, other: Expected) -> None:
         self.start += other.start
-        self.later += other.later
         self.move += other.move
         self.emit += other.emit
 
     def table(self) -> pa.RecordBatch:
-        """Rows by kind: -1 start, -2 later, -3 and below the transitions, symbols from 0."""
+        """Rows by kind: -1 start, -2 and below the transitions, symbols from 0."""
         states = len(self.start)
-        rows = np.vstack([self.start, self.later, self.move, self.emit])
-        keys = np.concatenate([-1 - np.arange(2 + states), np.arange(len(self.emit))])
+        rows = np.vstack([self.start, self.move, self.emit])
+        keys = np.concatenate([-1 - np.arange(1 + states), np.arange(len(self.emit))])
         some = np.flatnonzero(rows.any(axis=1))
         columns = {f"c{k}": pa.array(rows[some, k]) for k in range(states)}
         return pa.RecordBatch.from_pydict({"key": pa.array(keys[some]), **columns})
@@ -201,9 +224,9 @@ class Expected:
         total = cls.zero(symbols, states)
         keys = frame["key"].to_numpy()
         values = frame[[f"c{k}" for k in range(states)]].to_numpy()
-        rows = np.vstack([total.start, total.later, total.move, total.emit])
-        rows[np.where(keys < 0, -1 - keys, keys + 2 + states)] = values
-        return cls(rows[0], rows[1], rows[2 : 2 + states], rows[2 + states :])
+        rows = np.vstack([total.start, total.move, total.emit])
+        rows[np.where(keys < 0, -1 - keys, keys + 1 + states)] = values
+        return cls(rows[0], rows[1 : 1 + states], rows[1 + states :])
 
     def model(self, shares: np.ndarray) -> Model:
         """The next estimate; every state keeps a little of the unigram shares."""
@@ -213,9 +236,7 @@ class Expected:
 
         weight = max(1.0, 1e-3 * self.emit.sum() / self.emit.shape[1])
         emit = self.emit + weight * shares[:, None]
-        return Model(
-            even(self.start), even(self.later), even(self.move), emit / emit.sum(axis=0)
-        )
+        return Model(even(self.start), even(self.move), emit / emit.sum(axis=0))
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,12 +348,9 @@ def score_texts(
                     plus - np.log10(bases[codes_here % table.classes]),
                     0.0,
                 )
-                stops, starts = np.cumsum(held), np.cumsum(held) - held
-                sums = [
-                    np.concatenate([[0.0], np.cumsum(values[places])])
-                    for values in (found > 0, plus, inside)
-                ]
-                known, base, within = (x[stops] - x[starts] for x in sums)
+                known, base, within = (
+                    _sums(values[places], held) for values in (found > 0, plus, inside)
+                )
                 ends = np.cumsum(lengths) * table.kind.itemsize
                 data = row.tobytes()
                 cuts = zip((ends - lengths * table.kind.itemsize).tolist(), ends.tolist(), strict=True)
@@ -421,6 +439,16 @@ def score_texts(
     )
 
 
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The sum of each text's values, by themselves, so equal texts have equal sums."""
+    result = np.zeros(len(lengths))
+    some = lengths > 0
+    if some.any():
+        starts = (np.cumsum(lengths) - lengths)[some]
+        result[some] = np.add.reduceat(values.astype(np.float64), starts)
+    return result
+
+
 def _rare(words: list[str], places, held, found) -> pa.Array:
     """For each text the words whose count is not at hand, with how often they occur."""
     open_places = np.flatnonzero(found[places] == 0) if len(places) else places

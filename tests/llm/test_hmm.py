@@ -17,7 +17,6 @@ from leadmill.llm import hmm
 def _model(states=3, symbols=5, seed=2):
     r = np.random.default_rng(seed)
     return hmm.Model(
-        r.dirichlet(np.ones(states)),
         r.dirichlet(np.ones(states)),
         r.dirichlet(np.ones(states), states),
         r.dirichlet(np.ones(symbols), states).T.copy(),
@@ -49,24 +48,23 @@ def test_long_texts_do_not_underflow():
     assert np.isfinite(score).all() and score[0] < -1000
 
 
-def test_expected_counts_are_those_of_all_paths(monkeypatch):
-    monkeypatch.setattr(hmm, "STRETCH", 4)
+@pytest.mark.parametrize("held", [1, 5, 1 << 19])
+def test_expected_counts_are_those_of_all_paths(monkeypatch, held):
+    """Whatever the number of words whose forward states are held."""
+    monkeypatch.setattr(hmm, "HELD", held)
     model = _model()
-    texts = [[0, 1, 4, 2, 2, 3], [1], [3, 3, 1, 0]]
+    texts = [[0, 1, 4, 2, 2, 3], [1], [3, 3, 1, 0], [2, 2], [4, 0, 0, 1, 3]]
     got = model.expect(np.concatenate(texts), np.array([len(x) for x in texts]))
     want = hmm.Expected.zero(5, 3)
     for text in texts:
-        for at in range(0, len(text), 4):
-            piece = text[at : at + 4]
-            start = model.later if at else model.start
-            whole = sum(p for _, p in _paths(model, piece, start))
-            for path, p in _paths(model, piece, start):
-                (want.later if at else want.start)[path[0]] += p / whole
-                for s, k in zip(piece, path, strict=True):
-                    want.emit[s, k] += p / whole
-                for a, b in itertools.pairwise(path):
-                    want.move[a, b] += p / whole
-    for name in ("start", "later", "move", "emit"):
+        whole = sum(p for _, p in _paths(model, text, model.start))
+        for path, p in _paths(model, text, model.start):
+            want.start[path[0]] += p / whole
+            for s, k in zip(text, path, strict=True):
+                want.emit[s, k] += p / whole
+            for a, b in itertools.pairwise(path):
+                want.move[a, b] += p / whole
+    for name in ("start", "move", "emit"):
         assert getattr(got, name) == pytest.approx(getattr(want, name)), name
     frame = hmm.pa.Table.from_batches([got.table()]).to_pandas()
     again = hmm.Expected.of_table(frame, 5, 3)
@@ -88,6 +86,16 @@ def test_rounds_raise_the_likelihood():
     assert before > unigram + 500  # it finds out that there are two kinds of texts
 
 
+def test_equal_texts_have_equal_sums():
+    chance = np.random.default_rng(5)
+    part, lengths = chance.random(37), np.array([0, 37, 11, 0, 37, 37, 0])
+    values = np.concatenate([part, chance.random(11), part, part])
+    sums = hmm._sums(values, lengths)
+    assert sums[1] == sums[4] == sums[5] == pytest.approx(part.sum())
+    assert not sums[[0, 3, 6]].any()
+    assert not hmm._sums(np.zeros(0), np.zeros(2, np.int64)).any()
+
+
 def _tokens(text):
     low = (text or "").translate({c: c + 32 for c in range(65, 91)})
     for c in "\t\n\v\f\r":

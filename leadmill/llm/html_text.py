@@ -4,13 +4,14 @@ Markup is stripped first: every block element starts a line, and a line knows wh
 lies inside the article's own element, or inside an element that holds something else
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, hidden parts).
 Lengths of text are then summed over sliding windows of lines, where lines that hold
-something else count nothing. Where the sum surges above a bar the main text begins, where
-it dives to zero it ends, and all lines between are kept. On pages with an ``article`` or
-``main`` element only its lines have a length and the bar is zero, so the element alone
-bounds the text; on others the bar is ``SURGE`` characters, lines made of links count
-nothing, and the lines found only say where the main text is: the containers (``div`` and
-the like) that they are in are kept but for what holds something else, and so are headings
-right before. If no sum is above the bar, the container with most running text is taken.
+something else count nothing. Where the sum surges above a bar of ``SURGE`` characters the
+main text begins, where it dives to zero it ends. The lines between say where the main text
+is, and what they are in is kept but for what holds something else. On pages with
+``article`` or ``main`` elements only lines in these have a length, windows end with them,
+and the outermost ones with a surge are kept; if none has, all of them. On others lines
+made of links count nothing, the containers (``div`` and the like) around the lines found
+are kept, and so are headings right before. If no sum is above the bar, the container with
+most running text is taken.
 """
 
 from __future__ import annotations
@@ -111,6 +112,7 @@ class Line:
     frame: int = 0  # the article's element, if words on or around it speak against it
     form: int = 0  # the outermost form around it, unless an article's element is inside
     place: Place | None = None
+    article: int = 0  # the outermost article's element around it
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -221,18 +223,18 @@ class Tokens:
 def lines_of(page: str) -> list[Line]:
     """The lines of a page in order."""
     lines = [Line(False, 0, False)]
-    stack: list[tuple[str, tuple[bool, int, int, int, Place | None]]] = []
-    at = frames = forms = 0
+    stack: list[tuple[str, tuple[bool, int, int, int, Place | None, int]]] = []
+    at = frames = forms = articles = 0
     levels = {0: 0}
     opened: dict[str, int] = {}  # how many elements of a name are open
 
-    def state() -> tuple[bool, int, int, int, Place | None]:
-        return stack[-1][1] if stack else (False, 0, 0, 0, None)
+    def state() -> tuple[bool, int, int, int, Place | None, int]:
+        return stack[-1][1] if stack else (False, 0, 0, 0, None, 0)
 
     def line() -> None:
-        own, other, frame, form, place = state()
+        own, other, frame, form, place, article = state()
         heading = any(_HEADING.match(tag) for tag, _ in stack[-3:])
-        lines.append(Line(own, other, heading, frame, form, place))
+        lines.append(Line(own, other, heading, frame, form, place, article))
 
     def add(text: str) -> None:
         if text:
@@ -301,7 +303,7 @@ def lines_of(page: str) -> list[Line]:
                 line()
             continue
         before = state()
-        own, other, frame, form, place = before
+        own, other, frame, form, place, article = before
         mine, foreign = _role(tag, rest, own)
         other = max(other, foreign)
         if mine and PLACE <= other <= KIND:
@@ -310,13 +312,15 @@ def lines_of(page: str) -> list[Line]:
             frame, levels[frames], other = frames, max(other, levels[frame]), 0
         if mine and not own:
             form = 0
+            articles += 1
+            article = articles
         if tag == "form" and not form:
             forms += 1
             form = forms
         if tag in CONTAINERS:
             place = Place(place)
         opened[tag] = opened.get(tag, 0) + 1
-        stack.append((tag, (own or mine, other, frame, form, place)))
+        stack.append((tag, (own or mine, other, frame, form, place, article)))
         if tag in BLOCKS or state() != before:
             line()
     _settle(lines, levels)
@@ -390,8 +394,25 @@ def main_text(page: str | None, width: int = WIDTH, surge: int = SURGE) -> str:
         return len(text)
 
     sizes = [length(line, text) for line, text in held]
-    bar = 0 if framed else surge
-    kept: set[int] = set()
+    if framed:
+        members: dict[int, list[int]] = {}
+        for size, (line, _) in zip(sizes, held, strict=True):
+            members.setdefault(line.article, []).append(size)
+        # Windows end with the article's element.
+        chosen = {at for at, own in members.items() if _surges(own, width, surge)}
+        kept = {
+            n
+            for n, (line, _) in enumerate(held)
+            if sizes[n] and (not chosen or line.article in chosen)
+        }
+    else:
+        kept = _extended(held, sizes, _surges(sizes, width, surge), surge)
+    return "\n\n".join(held[n][1] for n in sorted(kept))
+
+
+def _surges(sizes: list[int], width: int, bar: int) -> set[int]:
+    """Lines with a length between a surge of the window's sum and its dive to zero."""
+    found: set[int] = set()
     at = 0
     while at < len(sizes):
         if not sizes[at] or sum(sizes[at : at + width]) <= bar:
@@ -400,11 +421,9 @@ def main_text(page: str | None, width: int = WIDTH, surge: int = SURGE) -> str:
         end = at
         while end < len(sizes) and sum(sizes[end : end + width]):
             end += 1
-        kept.update(n for n in range(at, end) if sizes[n])
+        found.update(n for n in range(at, end) if sizes[n])
         at = end + 1
-    if not framed:
-        kept = _extended(held, sizes, kept, surge)
-    return "\n\n".join(held[n][1] for n in sorted(kept))
+    return found
 
 
 def _extended(

@@ -7,6 +7,7 @@ import time
 
 import pytest
 
+from leadmill.llm import html_text
 from leadmill.llm.html_text import Tokens, extract, main_text
 
 LONG = "Words of a paragraph that is long enough to count as running text, with a second clause at its end."
@@ -67,6 +68,41 @@ def test_pieces(page, text):
     assert main_text(page) == text
 
 
+def test_surges_choose_among_articles():
+    card = "<article class='card'><p>Read on.</p></article>"
+    assert main_text(f"{card}<article><p>Oh.</p><p>{LONG}</p></article>{card}") == f"Oh.\n\n{LONG}"
+    assert main_text(f"<main>{card}<p>{LONG}</p></main>") == f"Read on.\n\n{LONG}"
+    assert main_text(f"<article><p>{LONG}</p></article><article><p>{MORE}</p></article>") == (
+        f"{LONG}\n\n{MORE}"
+    )
+    # Without any surge no article is preferred, and short lines at an end stay.
+    assert main_text(card + card) == "Read on.\n\nRead on."
+    ends = "".join(f"<p>{n}.</p><div class=ad>{MORE}</div>" for n in range(5))
+    assert main_text(f"<article><p>{LONG}</p>{ends}</article>").endswith("\n\n3.\n\n4.")
+
+
+def _plain_surges(sizes, width, bar):
+    """Every line walked by itself, as the method is told."""
+    found, inside = set(), False
+    for n, size in enumerate(sizes):
+        ahead = sum(sizes[n : n + width])
+        if inside and not ahead:
+            inside = False
+        elif not inside and size and ahead > bar:
+            inside = True
+        if inside and size:
+            found.add(n)
+    return found
+
+
+@pytest.mark.parametrize("width, bar", [(1, 0), (3, 86), (3, 20), (5, 150)])
+def test_surges_equal_a_plain_walk(width, bar):
+    rng = random.Random(width)
+    for _ in range(300):
+        sizes = [rng.choice([0, 0, 0, 5, 30, 60, 120]) for _ in range(rng.randint(0, 40))]
+        assert html_text._surges(sizes, width, bar) == _plain_surges(sizes, width, bar)
+
+
 def test_long_pages_and_deep_nesting():
     page = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
     assert main_text(page) == "\n\n".join([LONG] * 5000)

@@ -26,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.llm.shared import crc_of_id, frequent, mapped, stored, word_runs
+from leadmill.llm.shared import crc_of_id, mapped, stored, word_runs
 
 ORDER = 4
-GRAMS = 200_000
+#: An n-gram tells something if it is at least one in so many of all.
+RAREST = 2_000_000
 SAMPLE = 20_000
-LEXICON = 300
 LEAST_DOCS = 5
+#: Twice this log likelihood ratio is far out in a chi-squared distribution.
+LEAST_SIGNAL = 10.0
 BEGINNINGS = (4, 5, 6)
 _FLUSH = 200_000
 _STOPS = frozenset(".!?;:")
@@ -328,9 +330,13 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def character_model(
-    docs: DataFrame, text_column: str = "text", grams: int = GRAMS, order: int = ORDER
+    docs: DataFrame, text_column: str = "text", rarest: int = RAREST, order: int = ORDER
 ) -> CharModel:
-    """The character model of all texts; the ``grams`` most frequent n-grams are kept."""
+    """The character model of all texts.
+
+    N-grams that are less than one in ``rarest`` of all are left out, so at most that many
+    reach the driver and the same ones stay however many texts of a kind there are.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
@@ -359,7 +365,8 @@ def character_model(
     counts = stored(
         words.transform(mapped, cut, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     )
-    rows = frequent(counts, "n", grams).toPandas()
+    every = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    rows = counts.where(F.col("n") * rarest >= every).toPandas()
     return CharModel(dict(zip(rows["gram"], rows["n"].tolist(), strict=True)), order)
 
 
@@ -553,14 +560,14 @@ def _signal(toxic, clean, n_toxic: float, n_clean: float):
 def fit(
     labelled: DataFrame,
     model: CharModel,
-    lexicon: int = LEXICON,
     least_docs: int = LEAST_DOCS,
+    least_signal: float = LEAST_SIGNAL,
 ) -> Scorer:
     """A scorer from ``text, toxic``; the caller bounds the rows.
 
-    The lexicon holds the words and beginnings of words whose documents speak most
-    clearly for toxic. Without
-    rows of both kinds every score is the share of toxic rows (one half without rows).
+    The lexicon holds all words and beginnings of words whose documents speak clearly for
+    toxic; the rows given bound it. Without rows of both kinds every score is the share of
+    toxic rows (one half without rows).
     """
     spark = labelled.sparkSession
     shared = spark.sparkContext.broadcast((model.counts, model.order))
@@ -598,9 +605,8 @@ def fit(
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(F.col("toxic") >= least_docs)
         .withColumn("signal", signal)
-        .where(F.col("signal") > 10.0)
+        .where(F.col("signal") > least_signal)
         .orderBy(F.desc("signal"), "word")
-        .limit(lexicon)
         .collect()
     ]
 
@@ -622,24 +628,39 @@ def fit(
         .transform(mapped, measure, "toxic int, found array<struct<at:int,n:int>>")
         .collect()
     )
-    features = np.zeros((len(rows), len(words) + 1))
-    features[:, -1] = 1.0
-    for at, row in enumerate(rows):
-        for seen in row["found"]:
-            features[at, seen["at"]] = math.log1p(seen["n"])
-    weights = _logistic(features, np.array([row["toxic"] for row in rows], float))
+    found = [[(seen["at"], math.log1p(seen["n"])) for seen in row["found"]] for row in rows]
+    labels = np.array([row["toxic"] for row in rows], float)
+    weights = _logistic(found, len(words), labels)
     return Scorer(dict(zip(words, weights[:-1].tolist(), strict=True)), float(weights[-1]))
 
 
-def _logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps; the bias is free."""
-    weights = np.zeros(features.shape[1])
-    prices = np.full(features.shape[1], ridge)
+def _logistic(
+    found: list[list[tuple[int, float]]], size: int, labels: np.ndarray, ridge: float = 1.0
+) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton steps; the bias, last, is free.
+
+    ``found`` lists the features of each row; they become a matrix some rows at a time.
+    """
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(found), 1024):
+            some = found[at : at + 1024]
+            features = np.zeros((len(some), size + 1))
+            features[:, -1] = 1.0
+            for row, pairs in enumerate(some):
+                for place, value in pairs:
+                    features[row, place] = value
+            yield features, labels[at : at + 1024]
+
+    weights = np.zeros(size + 1)
+    prices = np.full(size + 1, ridge)
     prices[-1] = 1e-6
     for _ in range(50):
-        guess = 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
-        slope = features.T @ (guess - labels) + prices * weights
-        bend = (features * (guess * (1 - guess))[:, None]).T @ features + np.diag(prices)
+        slope, bend = prices * weights, np.diag(prices)
+        for features, truth in blocks():
+            guess = 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
+            slope += features.T @ (guess - truth)
+            bend += (features * (guess * (1 - guess))[:, None]).T @ features
         step = np.linalg.solve(bend, slope)
         weights -= step
         if np.abs(step).max() < 1e-8:

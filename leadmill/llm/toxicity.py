@@ -309,7 +309,8 @@ def _runs(single: np.ndarray, least: int = 3) -> list[tuple[int, int]]:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``word, n`` of plain words, added up as far as memory allows."""
-    held: Counter = Counter()
+    held: dict[str, int] = {}
+    get = held.get
     kind = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def flush() -> pa.RecordBatch:
@@ -322,8 +323,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunks, places, _ in word_runs(batch.column(0)):
             counts = np.bincount(places, minlength=len(chunks)).tolist()
             for chunk, count in zip(chunks, counts, strict=True):
-                for word in _PLAIN.findall(chunk.lower()):
-                    held[word] += count
+                low = chunk.lower()
+                core = low.rstrip(".,;:!?")
+                # A chunk of letters alone is its only word.
+                for word in (core,) if core.isalpha() else _PLAIN.findall(low):
+                    held[word] = get(word, 0) + count
             if len(held) > _FLUSH:
                 yield flush()
     yield flush()
@@ -388,6 +392,10 @@ class Lexicon:
             for size in range(1, len(feature.rstrip("*")))
         )
 
+        long = [head.encode() for head in self.heads if len(head) == BEGINNINGS[0]]
+        self.head_codes = np.array(
+            [int.from_bytes(head, "little") for head in long if len(head) == 4], np.uint32
+        )
         self.head_shapes = frozenset(shape(head) for head in self.heads)
         self.start_shapes = frozenset(shape(start) for start in self.starts)
 
@@ -453,10 +461,39 @@ class Measure:
             and not (_REPEAT.search(core) and lexicon.may_become(core))
         )
 
+    def _plain(self, chunks: list[str]) -> np.ndarray:
+        """Which chunks surely tell nothing, for all of them at a time.
+
+        These are words of five letters a-z or more without a repeated letter, in either
+        case and with a sign behind them or not, that begin as no feature does.
+        """
+        array = pa.array(chunks, pa.large_string())
+        _, offsets, data = array.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(chunks) + 1)
+        signs = np.frombuffer(data, np.uint8, int(ends[-1])) if ends[-1] else np.zeros(0, np.uint8)
+        starts, stops = ends[:-1], ends[1:]
+        signs = np.where((signs >= 65) & (signs <= 90), signs | 32, signs)
+        stops = stops - np.isin(signs[stops - 1], np.frombuffer(b".,;:", np.uint8))
+        odd = (signs < 97) | (signs > 122)
+        odd[1:] |= signs[1:] == signs[:-1]
+        # A first letter that equals the last one of the chunk before repeats nothing.
+        odd[starts] = (signs[starts] < 97) | (signs[starts] > 122)
+        bad = np.concatenate([[0], np.cumsum(odd)])
+        plain = (stops - starts >= 5) & (bad[stops] == bad[starts])
+        at = starts[plain]
+        codes = signs[at].astype(np.uint32)
+        for n in range(1, 4):
+            codes |= signs[at + n].astype(np.uint32) << np.uint32(8 * n)
+        plain[plain] = ~np.isin(codes, self.lexicon.head_codes)
+        return plain
+
     def __call__(self, texts: pa.Array) -> Iterator[Counter]:
         for chunks, places, counts in word_runs(texts):
             held = self.cache.get
-            known = [held(chunk) or self._chunk(chunk) for chunk in chunks]
+            known = [
+                _NOTHING if plain else held(chunk) or self._chunk(chunk)
+                for chunk, plain in zip(chunks, self._plain(chunks).tolist(), strict=True)
+            ]
             telling = np.array([bool(found) for found, _, _ in known], dtype=bool)
             single = np.array([bool(letter) for _, letter, _ in known], dtype=bool)
             begins = np.array([bool(piece) for _, _, piece in known], dtype=bool)

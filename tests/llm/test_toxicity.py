@@ -6,6 +6,7 @@ import itertools
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -167,3 +168,18 @@ def test_only_tokens_that_cannot_become_a_feature_stay_undecoded():
         assert lexicon.count(restorer.chunk(signs)) == lexicon.count(
             restorer.chunk(signs, lexicon.may_become)
         )
+
+
+def test_plain_words_are_told_at_once_and_tell_nothing():
+    features = ["idiot", "idio*", "grump*", "ill", "größe*", "still*"]
+    measure = t.Measure(t.Restorer(_model([*PLAIN, "idiot", "grumpy"])), features)
+    rng = random.Random(3)
+    letters = "abdegilmoprstuyABI.,;:!1é"
+    chunks = ["Idiots", "idiom", "house", "HOUSE,", "house..", "hous", "hoouse", "e", "é", "grumps", "gland;"]
+    chunks += ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(3000)]
+    plain = measure._plain(chunks)
+    assert plain[:11].tolist() == [False, False, True, True, *[False] * 6, True]
+    assert plain.sum() > 20
+    for chunk in np.array(chunks, object)[plain]:
+        assert measure._tells_nothing(chunk.lower().rstrip(".,;:"))
+    assert measure._plain([]).tolist() == []

@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ BEGINNINGS = (4, 5, 6)
 _FLUSH = 200_000
 _STOPS = frozenset(".!?;:")
 _CACHE = 300_000
+_LONG = 48
 # The letters that signs are used for, with most likely ones first.
 LOOKS = {
     "0": "o",
@@ -131,6 +133,34 @@ def grams_of(word: str, order: int = ORDER) -> list[str]:
     ]
 
 
+def count_grams(words: pa.Array, counts: pa.Array, order: int = ORDER) -> Iterator[tuple]:
+    """N-grams of words that occur so often, with their counts.
+
+    Those of words up to ``_LONG`` letters are cut by Arrow, place by place.
+    """
+    marked = pc.binary_join_element_wise(_START, words, _END, "")
+    lengths = pc.utf8_length(marked)
+    short = pc.less_equal(lengths, _LONG)
+    for word, n in zip(
+        words.filter(pc.invert(short)).to_pylist(),
+        counts.filter(pc.invert(short)).to_pylist(),
+        strict=True,
+    ):
+        for gram in grams_of(word, order):
+            yield gram, n
+    marked, lengths, counts = (x.filter(short) for x in (marked, lengths, counts))
+    grams, often = [], []
+    for at in range(pc.max(lengths).as_py() or 0):
+        for size in range(1, order + 1):
+            fits = pc.greater_equal(lengths, at + size)
+            grams.append(pc.utf8_slice_codeunits(marked.filter(fits), at, at + size))
+            often.append(counts.filter(fits))
+    if grams:
+        table = pa.table({"gram": pa.chunked_array(grams), "n": pa.chunked_array(often)})
+        summed = table.group_by("gram").aggregate([("n", "sum")])
+        yield from zip(summed["gram"].to_pylist(), summed["n_sum"].to_pylist(), strict=True)
+
+
 def _options(signs: str, at: int) -> list[tuple[str, float]]:
     """The letters that a sign of a word may stand for, and their prices."""
     sign = signs[at]
@@ -353,9 +383,8 @@ def character_model(
             return rows
 
         for batch in batches:
-            for word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for gram in grams_of(word, order):
-                    found[gram] += n
+            for gram, n in count_grams(batch.column(0), batch.column(1), order):
+                found[gram] += n
             if len(found) > _FLUSH:
                 yield flush()
         yield flush()

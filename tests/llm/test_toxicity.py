@@ -183,3 +183,16 @@ def test_plain_words_are_told_at_once_and_tell_nothing():
     for chunk in np.array(chunks, object)[plain]:
         assert measure._tells_nothing(chunk.lower().rstrip(".,;:"))
     assert measure._plain([]).tolist() == []
+
+
+def test_grams_cut_by_arrow_are_those_of_each_word():
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abé😀ß", k=rng.randint(0, 60))) for _ in range(200)] + ["x" * 500]
+    times = [rng.randint(1, 9) for _ in words]
+    want, got = Counter(), Counter()
+    for word, n in zip(words, times, strict=True):
+        want.update({gram: n * k for gram, k in Counter(t.grams_of(word)).items()})
+    for gram, n in t.count_grams(pa.array(words), pa.array(times, pa.int64())):
+        got[gram] += n
+    assert got == want
+    assert list(t.count_grams(pa.array([], pa.string()), pa.array([], pa.int64()))) == []

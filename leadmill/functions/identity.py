@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from leadmill.functions.amounts import amount_key
 from leadmill.functions.text import strip
 
+# The first byte of packed text says what the others are.
+_TEXT, _HEX, _UUID = (bytearray([kind]) for kind in range(3))
+
 
 def dedup_hash(name: Column, line1: Column, amount: Column) -> Column:
     """SHA-256 of ``NAME|LINE1|amount``; null when all three are blank.
@@ -32,9 +35,37 @@ def hash_of_upper(name: Column, line1: Column, amount: Column) -> Column:
 
 def record_id(*parts: Column) -> Column:
     """Deterministic id in UUID form, evenly spread over its hex prefixes."""
-    digest = F.md5(F.concat_ws("|", *parts))
+    return _with_dashes(F.md5(F.concat_ws("|", *parts)))
+
+
+def _with_dashes(digits: Column) -> Column:
     groups = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(digest, at, size) for at, size in groups])
+    return F.concat_ws("-", *[F.substring(digits, at, size) for at, size in groups])
+
+
+def packed(text: Column) -> Column:
+    """Text as bytes, for a shuffle: hex digits, such as of ids and hashes, take half.
+
+    ``unpacked`` gives the text back, whatever it is; different texts stay different.
+    """
+    digits = F.replace(text, F.lit("-"), F.lit(""))
+    uuid = text.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\\z")
+    plain = text.rlike("^([0-9a-f]{2})+\\z")
+    return (
+        F.when(uuid, F.concat(F.lit(_UUID), F.unhex(digits)))
+        .when(plain, F.concat(F.lit(_HEX), F.unhex(text)))
+        .when(text.isNotNull(), F.concat(F.lit(_TEXT), text.cast("binary")))
+    )
+
+
+def unpacked(data: Column) -> Column:
+    kind, rest = F.substring(data, 1, 1), F.substring(data, 2, 2**31 - 1)
+    digits = F.lower(F.hex(rest))
+    return (
+        F.when(kind == F.lit(_UUID), _with_dashes(digits))
+        .when(kind == F.lit(_HEX), digits)
+        .otherwise(rest.cast("string"))
+    )
 
 
 def normalized_id(raw_id: Column) -> Column:

@@ -37,14 +37,24 @@ HOT_ROWS = 1_000_000
 
 
 def not_yet_normalized(raw: DataFrame, normalized: DataFrame) -> DataFrame:
-    """Raw rows without a normalized child.
+    """Raw rows without a normalized child; rows without an id stay out.
 
-    Only ids are shuffled against each other; the rows themselves are picked by
-    a semi join, which is a broadcast when little is pending.
+    One anti join, so the rows are computed and shuffled once, and only against ids.
     """
     children = normalized.select(F.col("raw_record_id").alias("id"))
-    pending = raw.select("id").join(children, "id", "left_anti")
-    return raw.join(pending, "id", "left_semi")
+    return raw.where(F.col("id").isNotNull()).join(children, "id", "left_anti")
+
+
+def leftover(
+    raw: DataFrame, registry: Registry, normalized: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """``not_yet_normalized`` in two parts: rows of other sources, and duplicates.
+
+    The first have no child for sure and are not shuffled.
+    """
+    known = F.coalesce(F.col("source").isin(*registry), F.lit(False))
+    others = raw.where(~known & F.col("id").isNotNull())
+    return others, not_yet_normalized(raw.where(known), normalized)
 
 
 def work_order(raw: DataFrame, slice_rows: int = 100_000) -> DataFrame:
@@ -169,22 +179,43 @@ def first_of_each(rows: DataFrame, existing: DataFrame | None = None) -> DataFra
     bucketed by hash, as ``Warehouse.hashes`` gives it, it is not shuffled: the groups
     are dealt into its buckets.
     """
+    return _firsts(rows, rows.columns, existing).select("first.*")
+
+
+def _firsts(
+    rows: DataFrame, columns: list[str], existing: DataFrame | None = None
+) -> DataFrame:
+    """``group_key, first``: some columns of the first row of each new group."""
     firsts = rows.groupBy(_group_key().alias("group_key")).agg(
-        F.min_by(F.struct(*rows.columns), F.struct(*ORDER, "raw_record_id")).alias(
-            "first"
-        )
+        F.min_by(F.struct(*columns), F.struct(*ORDER, "raw_record_id")).alias("first")
     )
     if existing is not None:
         firsts = firsts.join(_hashes(existing), "group_key", "left_anti")
-    return firsts.select("first.*")
+    return firsts
 
 
 def normalize(
     raw: DataFrame, registry: Registry, existing: DataFrame | None = None
 ) -> DataFrame:
-    """New normalized rows for pending raw rows."""
+    """New normalized rows for pending raw rows.
+
+    Ids follow from the raw ids and hashes are the keys of the groups, so neither is sorted
+    and shuffled with the rows.
+    """
     rows = build_normalized(raw, registry)
-    return first_of_each(rows, existing).select(*NORMALIZED_COLUMNS)
+    columns = [name for name in NORMALIZED_COLUMNS if name not in ("id", "dedup_hash")]
+    key = F.col("group_key")
+    hashed = F.when((key != "") & ~key.startswith("#"), key)
+    return (
+        _firsts(rows, columns, existing)
+        .select("first.*", hashed.alias("dedup_hash"))
+        .select(
+            *[
+                normalized_id(F.col("raw_record_id")).alias(name) if name == "id" else name
+                for name in NORMALIZED_COLUMNS
+            ]
+        )
+    )
 
 
 def tag_duplicates(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -21,8 +21,9 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadmill.functions.identity import packed, unpacked
 from leadmill.functions.rules import DEFAULT_RULES, PRIORITIES
-from leadmill.operators import export, integrity, leads, normalize, scoring
+from leadmill.operators import export, leads, normalize, scoring
 from leadmill.sources.csv import read_csv_groups
 from leadmill.sources.mappings import (
     DEFAULT_REGISTRY,
@@ -45,6 +46,10 @@ from leadmill.sources.warehouse import (
     Warehouse,
 )
 
+# Columns of leads that hold hex digits; most of a row when it is shuffled.
+_LEAD_KEYS = ("id", "normalized_record_id", "raw_record_id", "dedup_hash")
+# So many removed ids are broadcast, some 100 MB; more are shuffled.
+MOST_BROADCAST = 500_000
 # How often a job is done again because another one was faster.
 TRIES = 10
 # Results of so many pushes are joined when leads are read; then they are folded in.
@@ -174,15 +179,19 @@ def normalize_new(
         fresh = [name for name in state.live.get(RAW, []) if name not in state.covered]
         waiting = state.live.get(LEFTOVER, [])
         left = waiting if again else []
-        seen = store.read(RAW, fresh).unionByName(store.read(LEFTOVER, left))
+        seen = store.read(RAW, fresh)
+        if left:
+            seen = seen.unionByName(store.read(LEFTOVER, left))
 
         kept = normalize.normalize(seen, registry, store.hashes(state))
         store.write(kept.withColumn("created_at", _now(at)), NORMALIZED, run)
         written = store.read(NORMALIZED, [run])
         buckets = store.buckets(state)
         hashed = store.write_hashes(written, buckets)
-        leftover = normalize.not_yet_normalized(seen, written)
-        store.write(leftover.hint("rebalance", "source"), LEFTOVER, run)
+        others, doubles = normalize.leftover(seen, registry, written)
+        # Rows of other sources stay in the tasks that read them, source by source.
+        leftover = others.unionByName(doubles.hint("rebalance", "source"))
+        store.write(leftover, LEFTOVER, run)
 
         over = [name for name in waiting if name not in left] + [run]
         rows = store.read(LEFTOVER, over)
@@ -436,13 +445,18 @@ def fold_results(store: Warehouse) -> int:
         if not waiting:
             return 0
         results = store.read(RESULTS, waiting)
-        done = export.successes(results)
+        short = results.withColumn("lead_id", packed(F.col("lead_id")))
+        done = short.where("ok").select(F.col("lead_id").alias("id"))
         live = state.live.get(SCORED, [])
-        touched = store.read(LEADS, live, folders=True).select("id", "run")
+        touched = store.read(LEADS, live, folders=True).select(packed(F.col("id")).alias("id"), "run")
         folders = sorted(_by_folder(touched.join(done, "id", "left_semi")))
         stats: dict[str, Any] = {}
         if folders:
-            store.write(export.apply_results(store.read(LEADS, folders), results), SCORED, run)
+            rows = store.read(LEADS, folders)
+            keys = {name: packed(F.col(name)) for name in _LEAD_KEYS}
+            applied = export.apply_results(rows.withColumns(keys), short)
+            texts = {name: unpacked(F.col(name)) for name in _LEAD_KEYS}
+            store.write(applied.withColumns(texts), SCORED, run)
             stats[run] = _describe(store, run)[0]
         store.commit(
             run,
@@ -476,13 +490,43 @@ def remove_raw(store: Warehouse, condition: Column) -> None:
 
 def _remove(store: Warehouse, state: State, run: str, condition: Column) -> None:
     doomed = F.coalesce(condition, F.lit(False))
-    raw, records, scored = integrity.cascade(
-        store.read(RAW, state=state),
-        store.read(NORMALIZED, state=state),
-        store.read(LEADS, state=state),
-        condition,
-        remove=False,
-    )
+    kept: list[DataFrame] = []
+    try:
+        raw = _held(store.read(RAW, state=state).where(doomed), kept)
+        records = _held(_children(store.read(NORMALIZED, state=state), "raw_record_id", raw), kept)
+        leads_of = _children(store.read(LEADS, state=state), "normalized_record_id", records)
+        scored = _held(leads_of, kept)
+        _remove_ids(store, state, run, doomed, raw, records, scored)
+    finally:
+        for ids in kept:
+            ids.unpersist()
+
+
+def _children(rows: DataFrame, parent: str, ids: DataFrame) -> DataFrame:
+    gone = ids.select(F.col("id").alias("gone"))
+    return rows.join(gone, rows[parent] == F.col("gone"), "left_semi")
+
+
+def _held(rows: DataFrame, kept: list[DataFrame]) -> DataFrame:
+    """The ids of rows, computed once, and broadcast where they are joined if they are few.
+
+    Else each join would shuffle the layer it removes them from.
+    """
+    ids = rows.select("id").persist()
+    kept.append(ids)
+    few = ids.agg(F.count("*")).first()[0] <= MOST_BROADCAST
+    return F.broadcast(ids) if few else ids
+
+
+def _remove_ids(
+    store: Warehouse,
+    state: State,
+    run: str,
+    doomed: Column,
+    raw: DataFrame,
+    records: DataFrame,
+    scored: DataFrame,
+) -> None:
     add: dict[str, list[str]] = {}
     retire: dict[str, list[str]] = {}
     covers: list[str] = []
@@ -517,7 +561,7 @@ def _remove(store: Warehouse, state: State, run: str, condition: Column) -> None
             if not names:
                 continue
             left = hit(store.read(stored, names), "left_anti")
-            folder = _rewrite(store, state, layer, left, f"{run}-{layer}-{done:d}")
+            folder = _rewrite(store, state, layer, left, names, f"{run}-{layer}-{done:d}")
             add[layer].append(folder)
             covers += [folder] * done
             if layer == SCORED:
@@ -539,12 +583,20 @@ def _remove(store: Warehouse, state: State, run: str, condition: Column) -> None
 
 
 def _rewrite(
-    store: Warehouse, state: State, layer: str, rows: DataFrame, folder: str
+    store: Warehouse,
+    state: State,
+    layer: str,
+    rows: DataFrame,
+    names: list[str],
+    folder: str,
 ) -> str:
-    """Write rows of a layer into one new folder; returns its name."""
+    """Write rows of some folders of a layer into one new folder; returns its name.
+
+    Only small files are gathered by a shuffle; large ones are read and written as they are.
+    """
     if layer == HASHES:
         return store.write_hashes(rows, store.buckets(state))
-    if layer in (RAW, LEFTOVER):
+    if layer in (RAW, LEFTOVER) and store.has_small_files(layer, names):
         rows = rows.hint("rebalance", "source")
     store.write(rows, layer, folder)
     return folder
@@ -583,7 +635,7 @@ def merge_folders(store: Warehouse, most: int = MOST_FOLDERS) -> dict[str, int]:
                 if len(names) < 2:
                     continue
                 rows = store.read(stored, names)
-                folder = _rewrite(store, state, layer, rows, f"{run}-{layer}-{done:d}")
+                folder = _rewrite(store, state, layer, rows, names, f"{run}-{layer}-{done:d}")
                 add.append(folder)
                 gone += names
                 covers += [folder] * done

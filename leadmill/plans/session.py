@@ -9,7 +9,12 @@ from pyspark.sql import SparkSession
 # HotSpot does not compile methods above 8000 bytes of bytecode. The field rules
 # form long projections; beyond this limit Spark splits their code into many
 # small functions instead, which ran three times as fast here.
-_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+# A task that writes folders by source or priority keeps so many files open; only one with
+# more of them sorts its rows first, which else spills them.
+_SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:

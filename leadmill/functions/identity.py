@@ -35,12 +35,9 @@ def hash_of_upper(name: Column, line1: Column, amount: Column) -> Column:
 
 def record_id(*parts: Column) -> Column:
     """Deterministic id in UUID form, evenly spread over its hex prefixes."""
-    return _with_dashes(F.md5(F.concat_ws("|", *parts)))
-
-
-def _with_dashes(digits: Column) -> Column:
+    digest = F.md5(F.concat_ws("|", *parts))
     groups = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(digits, at, size) for at, size in groups])
+    return F.concat_ws("-", *[F.substring(digest, at, size) for at, size in groups])
 
 
 def packed(text: Column) -> Column:
@@ -60,10 +57,12 @@ def packed(text: Column) -> Column:
 
 def unpacked(data: Column) -> Column:
     kind, rest = F.substring(data, 1, 1), F.substring(data, 2, 2**31 - 1)
-    digits = F.lower(F.hex(rest))
+    # Cut as bytes, so that each is made into digits once.
+    parts = ((2, 4), (6, 2), (8, 2), (10, 2), (12, 6))
+    uuid = F.concat_ws("-", *[F.hex(F.substring(data, at, size)) for at, size in parts])
     return (
-        F.when(kind == F.lit(_UUID), _with_dashes(digits))
-        .when(kind == F.lit(_HEX), digits)
+        F.when(kind == F.lit(_UUID), F.lower(uuid))
+        .when(kind == F.lit(_HEX), F.lower(F.hex(rest)))
         .otherwise(rest.cast("string"))
     )
 

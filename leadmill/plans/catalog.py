@@ -816,10 +816,11 @@ def pushed_store(spark: SparkSession, sf_dir: str) -> Warehouse:
         jobs.ingest_raw(store, rows, name)
         jobs.normalize_new(store, REGISTRY)
         jobs.score_new(store)
-    results = pushed_results(jobs.export_batches(store)).drop("exported_at")
+    results = pushed_results(jobs.export_batches(store)).drop("exported_at").persist()
     # Each half of the batches is recorded by itself.
     for half in (0, 1):
         jobs.record_results(store, results.where(F.crc32("lead_id") % 2 == half))
+    results.unpersist()
     jobs.fold_results(store)
     return store
 

@@ -64,7 +64,9 @@ LOOKS = {
     "(": "c",
 }
 _SIGNS = re.escape("".join(sign for sign in LOOKS if not sign.isdigit()))
-_TOKEN = re.compile(rf"[^\W_{_SIGNS}]+(?:[{_SIGNS}]+[^\W_{_SIGNS}]+)*|[{_SIGNS}]+[^\W_{_SIGNS}]+(?:[{_SIGNS}]+[^\W_{_SIGNS}]+)*")
+# Signs at the front are taken once for each run of them, so long runs take linear time.
+_LETTERS_ON = rf"[^\W_{_SIGNS}]++(?:[{_SIGNS}]++[^\W_{_SIGNS}]++)*"
+_TOKEN = re.compile(rf"{_LETTERS_ON}|(?<![{_SIGNS}])[{_SIGNS}]++{_LETTERS_ON}")
 _APART = re.compile(
     rf"(?<![^\W_])(?:(?:[^\W_]|[{_SIGNS}])[.*_~-]{{1,3}}){{2,}}(?:[^\W_]|[{_SIGNS}])(?![^\W_])"
 )
@@ -188,34 +190,45 @@ def decode(signs: str, model: CharModel) -> str:
     keep = model.order - 1
     # Paths by their last letters, which is all that the model looks back to. While there
     # is only one path, what it costs does not matter.
-    paths: dict[str, tuple[float, str]] = {_START: (0.0, "")}
+    # Their letters are a chain from the last one, as in runs.
+    paths: dict[str, tuple[float, tuple | None]] = {_START: (0.0, None)}
     before = ""
     for at, sign in enumerate(signs):
         one = sign != before and sign not in LOOKS
         before = sign
         if one and len(paths) == 1:
-            ((context, (_, word)),) = paths.items()
-            paths = {(context + sign)[-keep:]: (0.0, word + sign)}
+            ((context, (_, chain)),) = paths.items()
+            paths = {(context + sign)[-keep:]: (0.0, (chain, sign))}
             continue
-        following: dict[str, tuple[float, str]] = {}
+        following: dict[str, tuple[float, tuple | None]] = {}
         for letter, extra in [(sign, 0.0)] if one else _options(signs, at):
-            for context, (price, word) in paths.items():
-                total, after = price + extra, context
+            for context, (price, chain) in paths.items():
+                total, after, longer = price + extra, context, chain
                 if letter:
                     total += model.cost(context, letter)
-                    after = (context + letter)[-keep:]
+                    after, longer = (context + letter)[-keep:], (chain, letter)
                 best = following.get(after)
                 if best is None or total < best[0]:
-                    following[after] = (total, word + letter)
+                    following[after] = (total, longer)
         paths = following
     if len(paths) == 1:
-        ((_, (_, word)),) = paths.items()
-        return word
-    ends = (
-        (price + model.cost(context, _END), word)
-        for context, (price, word) in paths.items()
-    )
-    return min(ends)[1]
+        ((_, (_, chain)),) = paths.items()
+        return _spelling(chain)
+    ends = [
+        (price + model.cost(context, _END), chain)
+        for context, (price, chain) in paths.items()
+    ]
+    least = min(price for price, _ in ends)
+    return min(_spelling(chain) for price, chain in ends if price == least)
+
+
+def _spelling(chain: tuple | None) -> str:
+    """The letters of a chain, first one first."""
+    letters = []
+    while chain:
+        chain, letter = chain
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def decode_run(signs: str, model: CharModel) -> list[str]:
@@ -251,11 +264,7 @@ def decode_run(signs: str, model: CharModel) -> list[str]:
         ),
         key=lambda path: path[0],
     )
-    letters = []
-    while chain:
-        chain, letter = chain
-        letters.append(letter)
-    return "".join(reversed(letters)).split()
+    return _spelling(chain).split()
 
 
 class Restorer:
@@ -265,6 +274,7 @@ class Restorer:
         self.model = model
         self.cache: dict[str, str] = {}
         self.runs: dict[str, list[str]] = {}
+        self.prices: dict[str, float] = {}
 
     def word(self, token: str, matters: Callable[[str], bool] | None = None) -> str:
         """The restored word; a token that does not matter to the caller stays as it is."""
@@ -307,10 +317,16 @@ class Restorer:
 
     def price(self, word: str) -> float:
         """What a word costs under the character model."""
-        return sum(
-            self.model.cost((_START + word)[: at + 1], letter)
-            for at, letter in enumerate(word + _END)
-        )
+        known = self.prices.get(word)
+        if known is None:
+            if len(self.prices) >= _CACHE:
+                self.prices.clear()
+            marked, keep = _START + word, self.model.order - 1
+            known = self.prices[word] = sum(
+                self.model.cost(marked[max(0, at + 1 - keep) : at + 1], letter)
+                for at, letter in enumerate(word + _END)
+            )
+        return known
 
     def words(self, text: str | None) -> list[str]:
         """The restored words, then those that were written letter by letter."""
@@ -322,6 +338,12 @@ class Restorer:
         return found
 
 
+def _plain_word(chunk: str) -> str:
+    """The word of a chunk that is left as it is; empty if decoding may change it."""
+    core = chunk.lower().rstrip(".,;:")
+    return core if core.isalpha() and not _REPEAT.search(core) else ""
+
+
 def letter_of(chunk: str) -> str:
     """The letter or sign that a chunk is, but for punctuation; else empty."""
     if len(chunk) > 8 or chunk.isalpha():
@@ -421,6 +443,11 @@ class Lexicon:
             for size in range(1, len(feature.rstrip("*")))
         )
 
+        #: Beginnings that are features, by their size.
+        self.begins = [
+            (size, frozenset(f[:-1] for f in self.features if len(f) == size + 1 and f[-1] == "*"))
+            for size in BEGINNINGS
+        ]
         long = [head.encode() for head in self.heads if len(head) == BEGINNINGS[0]]
         self.head_codes = np.array(
             [int.from_bytes(head, "little") for head in long if len(head) == 4], np.uint32
@@ -443,15 +470,24 @@ class Lexicon:
         heads, size = self.heads, BEGINNINGS[0]
         return any([word[:size] in heads for word in words])
 
+    def holds(self, word: str) -> bool:
+        """Whether a word has a feature of the lexicon."""
+        if word in self.features:
+            return True
+        for size, begins in self.begins:
+            if word[:size] in begins:
+                return True
+        return False
+
     def count(self, words: list[str]) -> Counter:
         heads, size = self.heads, BEGINNINGS[0]
-        likely = [word for word in words if word[:size] in heads]
-        return Counter(
-            feature
-            for word in likely
-            for feature in features_of(word)
-            if feature in self.features
-        )
+        found: Counter = Counter()
+        for word in words:
+            if word[:size] in heads:
+                for feature in features_of(word):
+                    if feature in self.features:
+                        found[feature] += 1
+        return found
 
 
 class Measure:
@@ -468,13 +504,14 @@ class Measure:
         if known is None:
             if len(self.cache) >= _CACHE:
                 self.cache.clear()
-            if self._tells_nothing(chunk.lower().rstrip(".,;:")):
+            lexicon, core = self.lexicon, _plain_word(chunk)
+            if not core and self._tells_nothing(chunk.lower().rstrip(".,;:")):
                 self.cache[chunk] = _NOTHING
                 return _NOTHING
-            words = self.restorer.chunk(chunk, self.lexicon.may_become)
-            found = self.lexicon.count(words) if self.lexicon.may_hold(words) else None
-            letter = letter_of(chunk)
-            piece = words[0] if len(words) == 1 and words[0] in self.lexicon.starts else ""
+            words = [core] if core else self.restorer.chunk(chunk, lexicon.may_become)
+            found = lexicon.count(words) if lexicon.may_hold(words) else None
+            letter = "" if len(core) > 1 else letter_of(chunk)
+            piece = words[0] if len(words) == 1 and words[0] in lexicon.starts else ""
             known = (found, letter, piece) if found or letter or piece else _NOTHING
             self.cache[chunk] = known
         return known
@@ -528,9 +565,13 @@ class Measure:
             begins = np.array([bool(piece) for _, _, piece in known], dtype=bool)
             stops = np.cumsum(counts)
             each = [Counter() for _ in counts]
-            for at in np.flatnonzero(telling[places]) if len(places) else []:
-                text = int(np.searchsorted(stops, at, "right"))
-                each[text].update(known[places[at]][0])
+            where = np.flatnonzero(telling[places]) if len(places) else np.empty(0, int)
+            pairs = np.searchsorted(stops, where, "right") * len(chunks) + places[where]
+            pairs, times = np.unique(pairs, return_counts=True)
+            for pair, often in zip(pairs.tolist(), times.tolist(), strict=True):
+                own = each[pair // len(chunks)]
+                for feature, n in known[pair % len(chunks)][0].items():
+                    own[feature] += n * often
             # Letters set apart; a run ends with its text.
             alone = np.flatnonzero(single[places]) if len(places) else np.empty(0, int)
             for text in np.unique(np.searchsorted(stops, alone, "right")).tolist():
@@ -553,8 +594,18 @@ class Measure:
         pairs = places[at].astype(np.int64) * len(chunks) + places[at + 1]
         different, which = np.unique(pairs, return_inverse=True)
         fits = np.zeros(len(different), dtype=bool)
+        cores: dict[int, str] = {}
+        held, lexicon = self.cache.get, self.lexicon
         for n, pair in enumerate(different.tolist()):
-            both = (chunks[pair // len(chunks)], chunks[pair % len(chunks)])
+            one, two = divmod(pair, len(chunks))
+            core = cores.get(two)
+            if core is None:
+                core = cores[two] = _plain_word(chunks[two])
+            if core:  # it is its own decoding
+                word = (held(chunks[one]) or self._chunk(chunks[one]))[2] + core
+                fits[n] = word in lexicon.starts or lexicon.holds(word)
+                continue
+            both = (chunks[one], chunks[two])
             known = self.pairs.get(both)
             if known is None:
                 first = self.cache.get(both[0]) or self._chunk(both[0])
@@ -563,9 +614,7 @@ class Measure:
                     both[1], lambda token: self.lexicon.may_become(piece + token)
                 )
                 word = piece + words[0] if len(words) == 1 else ""
-                known = word in self.lexicon.starts or bool(
-                    word and self.lexicon.count([word])
-                )
+                known = word in lexicon.starts or bool(word and lexicon.holds(word))
                 if len(self.pairs) >= _CACHE:
                     self.pairs.clear()
                 self.pairs[both] = known

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -196,3 +197,32 @@ def test_grams_cut_by_arrow_are_those_of_each_word():
         got[gram] += n
     assert got == want
     assert list(t.count_grams(pa.array([], pa.string()), pa.array([], pa.int64()))) == []
+
+
+@pytest.mark.parametrize("text", ["!" * 80_000, "@" * 80_000 + " x", "blorf" + "(" * 80_000, "blorf" + "0l" * 40_000])
+def test_long_runs_of_signs_take_linear_time(model, text):
+    measure = t.Measure(t.Restorer(model), [*BAD, "blor*"])
+    begun = time.process_time()
+    found = list(measure(pa.array([text])))
+    assert time.process_time() - begun < 20
+    assert found == [Counter(t.Lexicon([*BAD, "blor*"]).count(t.Restorer(model).words(text)))]
+
+
+def test_long_signs_keep_their_tokens():
+    rng = random.Random(2)
+    signs = t._SIGNS
+    plain = t.re.compile(rf"[^\W_{signs}]+(?:[{signs}]+[^\W_{signs}]+)*|[{signs}]+[^\W_{signs}]+(?:[{signs}]+[^\W_{signs}]+)*")
+    for _ in range(20_000):
+        text = "".join(rng.choices("ab1!|$(._ -é@", k=rng.randint(0, 12)))
+        assert t._TOKEN.findall(text) == plain.findall(text)
+
+
+def test_counts_of_repeated_and_joined_chunks(model):
+    """Each chunk counts as often as it stands there, and pieces join as single texts say."""
+    rng = random.Random(4)
+    some = ["blorf", "Blorf,", "bl", "orf", "sn", "arkle", "snarkly", "the", "bl0rf", "gr", "umpel.", "umpel"]
+    texts = [" ".join(rng.choices(some, k=rng.randint(0, 30))) for _ in range(300)]
+    features = [*BAD, "snar*", "blor*"]
+    whole = list(t.Measure(t.Restorer(model), features)(pa.array(texts)))
+    alone = [next(t.Measure(t.Restorer(model), features)(pa.array([text]))) for text in texts]
+    assert whole == alone and sum(found.total() for found in whole) > 300

@@ -36,16 +36,22 @@ UNDECIDED = "und"
 _FLUSH = 200_000
 _CACHE = 400_000
 _TEXTS = 256
+_AT_ONCE = 50_000
 # Signs such as ½ or ² are word characters, but no letters.
 _SIGNS = "".join(
     sign for sign in map(chr, range(0x80, 0x110000)) if sign.isnumeric() and not sign.isalpha()
 )
 _LETTERS = re.compile(rf"[^\W\d_{_SIGNS}]+")
+#: The class of all signs is searched for each letter; it is left to runs that hold one.
+_RUNS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters, in lower case."""
-    return _LETTERS.findall(text.lower()) if text else []
+    runs = _RUNS.findall(text.lower()) if text else []
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [word for run in runs for word in ((run,) if run.isalpha() else _LETTERS.findall(run))]
 
 
 def ngrams(word: str) -> list[str]:
@@ -55,6 +61,32 @@ def ngrams(word: str) -> list[str]:
     ]
 
 
+def _gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of words one after the other, as numbers, and how many each word has.
+
+    A number holds the code points of an n-gram, 21 bits each.
+    """
+    signs = np.frombuffer("".join(f"<{word}>" for word in words).encode("utf-32-le"), np.uint32)
+    signs = signs.astype(np.int64)
+    lengths = np.array([len(word) + 2 for word in words])
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(signs))
+    codes = np.zeros((len(signs), len(SIZES)), np.int64)
+    code = np.zeros(len(signs), np.int64)
+    for size in range(1, max(SIZES) + 1):
+        code[: len(signs) - size + 1] |= signs[size - 1 :] << (21 * (size - 1))
+        if size in SIZES:
+            codes[:, SIZES.index(size)] = np.where(left >= size, code, 0)
+    fits = left[:, None] >= np.array(SIZES)
+    word_ends = np.cumsum(lengths)
+    before = np.concatenate([[0], np.cumsum(fits.sum(axis=1))])
+    return codes[fits], np.diff(before[np.concatenate([[0], word_ends])])
+
+
+def _gram_of(code: int) -> str:
+    """The n-gram behind a number."""
+    return "".join(chr(code >> at & 0x1FFFFF) for at in (0, 21, 42) if code >> at)
+
+
 def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``lang, gram, n`` from ``lang, text``, added up as far as memory allows."""
     words: dict[str, Counter] = {}
@@ -62,13 +94,18 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, counts in words.items():
             grams: Counter = Counter()
-            for word, count in counts.items():
-                for gram in ngrams(word):
-                    grams[gram] += count
+            each, times = list(counts), np.array(list(counts.values()), np.int64)
+            for at in range(0, len(each), _AT_ONCE):
+                codes, sizes = _gram_codes(each[at : at + _AT_ONCE])
+                different, which = np.unique(codes, return_inverse=True)
+                sums = np.zeros(len(different), np.int64)
+                np.add.at(sums, which, np.repeat(times[at : at + _AT_ONCE], sizes))
+                for code, n in zip(different.tolist(), sums.tolist(), strict=True):
+                    grams[code] += n
             yield pa.RecordBatch.from_pydict(
                 {
                     "lang": pa.array([lang] * len(grams), pa.string()),
-                    "gram": pa.array(list(grams), pa.string()),
+                    "gram": pa.array(list(map(_gram_of, grams)), pa.string()),
                     "n": pa.array(grams.values(), pa.int64()),
                 }
             )
@@ -95,7 +132,7 @@ class Filters:
         self._forget()
 
     def _forget(self) -> None:
-        self.grams: dict[str, int] = {}
+        self.grams: dict[int, int] = {}
         self.rows: dict[str, int] = {}
         #: A row for each known word: hits of each language, and its n-grams.
         self.hits = np.zeros((0, len(self.languages) + 1), dtype=np.int32)
@@ -104,16 +141,16 @@ class Filters:
         """Looks new words up, all at once."""
         if len(self.rows) + len(words) > _CACHE:
             self._forget()
-        each = [ngrams(word) for word in words]
-        fresh = list({g for grams in each for g in grams if g not in self.grams})
+        codes, sizes = _gram_codes(words)
+        different, which = np.unique(codes, return_inverse=True)
+        listed = different.tolist()
+        fresh = [code for code in listed if code not in self.grams]
         if fresh:
-            slots = slots_of(fresh, len(self.masks), self.probes)
+            slots = slots_of(list(map(_gram_of, fresh)), len(self.masks), self.probes)
             masks = np.bitwise_and.reduce(self.masks[slots], axis=1)
             self.grams.update(zip(fresh, masks.tolist(), strict=True))
-        sizes = np.array([len(grams) for grams in each])
-        flat = np.fromiter(
-            (self.grams[g] for grams in each for g in grams), np.uint64, sizes.sum()
-        )
+        known = np.fromiter(map(self.grams.__getitem__, listed), np.uint64, len(listed))
+        flat = known[which]
         starts = np.cumsum(sizes) - sizes
         columns = [
             np.add.reduceat(((flat >> bit) & np.uint64(1)).astype(np.int32), starts)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -111,3 +114,30 @@ def test_signs_that_are_no_letters(text):
 
 def test_letters_of_many_scripts_stay():
     assert langid.words_of("Straße½ 東京二 один2два") == ["straße", "東京二", "один", "два"]
+
+
+def test_words_are_cut_without_looking_each_letter_up_among_all_signs():
+    plain = re.compile(rf"[^\W\d_{langid._SIGNS}]+")
+    rng = random.Random(5)
+    for _ in range(5000):
+        text = "".join(rng.choices("abÉñß½²Ⅷ٣7_ .東一İ\u0301", k=rng.randint(0, 12)))
+        assert langid.words_of(text) == plain.findall(text.lower())
+    text = " ".join(rng.choices(WORDS["en"] + WORDS["de"], k=200_000))
+
+    def seconds(cut):
+        begun = time.process_time()
+        cut(text)
+        return time.process_time() - begun
+
+    assert 3 * min(seconds(langid.words_of) for _ in range(3)) < seconds(
+        lambda text: plain.findall(text.lower())
+    )
+
+
+def test_gram_numbers_are_the_ngrams():
+    words = ["a", "straße", "東京", "\U00010400x", "one"]
+    codes, sizes = langid._gram_codes(words)
+    ends = np.cumsum(sizes).tolist()
+    for word, end, size in zip(words, ends, sizes.tolist(), strict=True):
+        found = Counter(map(langid._gram_of, codes[end - size : end].tolist()))
+        assert found == Counter(langid.ngrams(word))

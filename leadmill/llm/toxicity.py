@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -321,13 +322,19 @@ class Restorer:
         if known is None:
             if len(self.prices) >= _CACHE:
                 self.prices.clear()
-            marked, keep = _START + word, self.model.order - 1
-            known = self.prices[word] = sum(
-                self.model.cost(marked[max(0, at + 1 - keep) : at + 1], letter)
-                for at, letter in enumerate(word + _END)
-            )
+            total, last = self.more(0.0, _START, word)
+            known = self.prices[word] = total + self.model.cost(last, _END)
         return known
 
+    def more(self, total: float, last: str, word: str) -> tuple[float, str]:
+        """The price of a beginning that ends with ``last`` and of a word behind it, without
+        its end, and the last letters then."""
+        keep, cost = self.model.order - 1, self.model.cost
+        for letter in word:
+            total += cost(last, letter)
+            last = (last + letter)[-keep:]
+        return total, last
+
     def words(self, text: str | None) -> list[str]:
         """The restored words, then those that were written letter by letter."""
         chunks = text.split() if text else []
@@ -448,6 +455,12 @@ class Lexicon:
             (size, frozenset(f[:-1] for f in self.features if len(f) == size + 1 and f[-1] == "*"))
             for size in BEGINNINGS
         ]
+        #: The letters a-z that may follow such a beginning, a bit for each.
+        self.next_letters: Counter = Counter()
+        for feature in self.features:
+            for at, letter in enumerate(feature.rstrip("*")):
+                if at and "a" <= letter <= "z":
+                    self.next_letters[feature[:at]] |= 1 << ord(letter) - ord("a")
         long = [head.encode() for head in self.heads if len(head) == BEGINNINGS[0]]
         self.head_codes = np.array(
             [int.from_bytes(head, "little") for head in long if len(head) == 4], np.uint32
@@ -490,6 +503,105 @@ class Lexicon:
         return found
 
 
+class Joiner:
+    """The words that the chunks of one text make if neighbours are read as one.
+
+    ``own`` tells which of the different ``chunks`` stands at each place, ``cut`` keeps their
+    words. Once no word of the lexicon begins as the joined word does, a further piece
+    leaves its features as they are and joins or not by the few letters before it,
+    wherever the word began. So how far that goes is found once for each place.
+    """
+
+    def __init__(self, restorer: Restorer, lexicon: Lexicon, chunks, own, cut: dict):
+        self.restorer, self.lexicon = restorer, lexicon
+        self.chunks, self.own, self.cut = chunks, own, cut
+        self.ends: dict[int, int] = {}
+        self.having: dict[str, list[int]] = {}
+        self.listed = 0
+
+    def piece(self, place: int) -> str:
+        """The only word at a place; empty if there are several or none."""
+        which = self.own[place]
+        words = self.cut.get(which)
+        if words is None:
+            words = self.cut[which] = self.restorer.chunk(self.chunks[which])
+        return words[0] if len(words) == 1 else ""
+
+    def stops(self, place: int) -> bool:
+        return self.chunks[self.own[place]][-1:] in _STOPS
+
+    def features(self, at: int) -> Counter:
+        """The features of the word from a place on, if it is the cheaper reading."""
+        lexicon, restorer = self.lexicon, self.restorer
+        word, apart, joined, last = "", 0.0, 0.0, _START
+        best: tuple[float, Counter] = (0.0, Counter())
+        pieces: list[str] = []
+        for place in range(at, len(self.own)):
+            piece = self.piece(place)
+            if not piece:
+                break
+            pieces.append(piece)
+            word += piece
+            apart += restorer.price(piece)
+            joined, last = restorer.more(joined, last, piece)
+            if len(pieces) > 1 and (found := lexicon.count([word])):
+                whole = joined + restorer.model.cost(last, _END)
+                gain = apart - whole - SPLIT * (len(pieces) - 1)
+                if gain <= best[0]:
+                    break
+                # What the pieces tell by themselves is counted already.
+                best = (gain, found - lexicon.count(pieces))
+                del found[word]
+                if found and self._settled(word) and not self.stops(place):
+                    end = self._end(place + 1, last)
+                    return self._left(found, at, end) if end > place + 1 else best[1]
+            elif len(pieces) > 1 and word not in lexicon.starts:
+                break
+            if self.stops(place):
+                break
+        return best[1]
+
+    def _settled(self, word: str) -> bool:
+        """Whether more letters change neither its features nor what the model looks back to."""
+        least = max(BEGINNINGS[-1], self.restorer.model.order - 1)
+        return len(word) >= least and word not in self.lexicon.starts
+
+    def _end(self, place: int, last: str) -> int:
+        """Where the pieces stop joining a settled word that goes up to a place."""
+        restorer, cost = self.restorer, self.restorer.model.cost
+        passed = []
+        while place not in self.ends:
+            piece = self.piece(place) if place < len(self.own) else ""
+            if piece:
+                more, after = restorer.more(-cost(last, _END), last, piece)
+            if not piece or restorer.price(piece) - more - cost(after, _END) - SPLIT <= 0:
+                self.ends[place] = place
+                break
+            passed.append(place)
+            place, last = place + 1, after
+            if self.stops(place - 1):
+                self.ends[passed.pop()] = place
+                break
+        else:
+            place = self.ends[place]
+        self.ends.update(dict.fromkeys(passed, place))
+        return place
+
+    def _left(self, found: Counter, at: int, end: int) -> Counter:
+        """The features that no piece up to an end has; asked for ascending places."""
+        for place in range(max(self.listed, at), end):
+            for feature in self.lexicon.count([self.piece(place)]):
+                self.having.setdefault(feature, []).append(place)
+        self.listed = max(self.listed, end)
+
+        def missing(feature: str) -> bool:
+            places = self.having.get(feature, [])
+            first = bisect_left(places, at)
+            return first == len(places) or places[first] >= end
+
+        return Counter(filter(missing, found))
+
+
 class Measure:
     """Counts the features of a lexicon in texts, looking at each chunk only once."""
 
@@ -528,10 +640,15 @@ class Measure:
         )
 
     def _plain(self, chunks: list[str]) -> np.ndarray:
+        return self._told_at_once(chunks)[0]
+
+    def _told_at_once(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Which chunks surely tell nothing, for all of them at a time.
 
         These are words of five letters a-z or more without a repeated letter, in either
-        case and with a sign behind them or not, that begin as no feature does.
+        case and with a sign behind them or not, that begin as no feature does. Also
+        returns the first three letters of each such word of three letters or more, whatever
+        it begins as, in the bytes of a number; zero for other chunks.
         """
         array = pa.array(chunks, pa.large_string())
         _, offsets, data = array.buffers()
@@ -545,24 +662,30 @@ class Measure:
         # A first letter that equals the last one of the chunk before repeats nothing.
         odd[starts] = (signs[starts] < 97) | (signs[starts] > 122)
         bad = np.concatenate([[0], np.cumsum(odd)])
-        plain = (stops - starts >= 5) & (bad[stops] == bad[starts])
-        at = starts[plain]
+        words = (stops - starts >= 3) & (bad[stops] == bad[starts])
+        at = starts[words]
+        firsts = np.zeros(len(chunks), np.uint32)
         codes = signs[at].astype(np.uint32)
-        for n in range(1, 4):
+        for n in range(1, 3):
             codes |= signs[at + n].astype(np.uint32) << np.uint32(8 * n)
+        firsts[words] = codes
+        plain = words & (stops - starts >= 5)
+        at = starts[plain]
+        codes = firsts[plain] | signs[at + 3].astype(np.uint32) << np.uint32(24)
         plain[plain] = ~np.isin(codes, self.lexicon.head_codes)
-        return plain
+        return plain, firsts
 
     def __call__(self, texts: pa.Array) -> Iterator[Counter]:
         for chunks, places, counts in word_runs(texts):
             held = self.cache.get
+            plain, firsts = self._told_at_once(chunks)
             known = [
-                _NOTHING if plain else held(chunk) or self._chunk(chunk)
-                for chunk, plain in zip(chunks, self._plain(chunks).tolist(), strict=True)
+                _NOTHING if nothing else held(chunk) or self._chunk(chunk)
+                for chunk, nothing in zip(chunks, plain.tolist(), strict=True)
             ]
             telling = np.array([bool(found) for found, _, _ in known], dtype=bool)
             single = np.array([bool(letter) for _, letter, _ in known], dtype=bool)
-            begins = np.array([bool(piece) for _, _, piece in known], dtype=bool)
+            pieces = [piece for _, _, piece in known]
             stops = np.cumsum(counts)
             each = [Counter() for _ in counts]
             where = np.flatnonzero(telling[places]) if len(places) else np.empty(0, int)
@@ -580,36 +703,42 @@ class Measure:
                 for start, stop in _runs(single[own]):
                     letters = [known[place][1] for place in own[start:stop]]
                     each[text].update(self.lexicon.count(self.restorer.spelt(letters)))
-            for at in self._split_words(chunks, places, begins, single):
-                text = int(np.searchsorted(stops, at, "right"))
-                own = (chunks[places[n]] for n in range(at, int(stops[text])))
-                each[text].update(self._joined(own))
+            cut: dict[int, list[str]] = {}
+            joiner, begin, end = None, 0, 0
+            for at in self._split_words(chunks, places, pieces, firsts, single):
+                if at >= end:
+                    text = int(np.searchsorted(stops, at, "right"))
+                    begin, end = int(stops[text] - counts[text]), int(stops[text])
+                    own = places[begin:end].tolist()
+                    joiner = Joiner(self.restorer, self.lexicon, chunks, own, cut)
+                each[text].update(joiner.features(at - begin))
             yield from each
 
-    def _split_words(self, chunks, places, begins, single) -> list[int]:
+    def _split_words(self, chunks, places, pieces, firsts, single) -> list[int]:
         """Where a word of the lexicon may have been cut into pieces."""
         if len(places) < 2:
             return []
+        begins = np.array([bool(piece) for piece in pieces], dtype=bool)
         at = np.flatnonzero(begins[places[:-1]] & ~(single[places[:-1]] & single[places[1:]]))
         pairs = places[at].astype(np.int64) * len(chunks) + places[at + 1]
         different, which = np.unique(pairs, return_inverse=True)
         fits = np.zeros(len(different), dtype=bool)
         cores: dict[int, str] = {}
-        held, lexicon = self.cache.get, self.lexicon
-        for n, pair in enumerate(different.tolist()):
+        lexicon = self.lexicon
+        open_pairs = np.flatnonzero(self._may_begin(different, pieces, firsts))
+        for n, pair in zip(open_pairs.tolist(), different[open_pairs].tolist(), strict=True):
             one, two = divmod(pair, len(chunks))
             core = cores.get(two)
             if core is None:
                 core = cores[two] = _plain_word(chunks[two])
             if core:  # it is its own decoding
-                word = (held(chunks[one]) or self._chunk(chunks[one]))[2] + core
+                word = pieces[one] + core
                 fits[n] = word in lexicon.starts or lexicon.holds(word)
                 continue
             both = (chunks[one], chunks[two])
             known = self.pairs.get(both)
             if known is None:
-                first = self.cache.get(both[0]) or self._chunk(both[0])
-                piece = first[2]
+                piece = pieces[one]
                 words = self.restorer.chunk(
                     both[1], lambda token: self.lexicon.may_become(piece + token)
                 )
@@ -621,28 +750,27 @@ class Measure:
             fits[n] = known
         return at[fits[which]].tolist()
 
-    def _joined(self, chunks: Iterator[str]) -> Counter:
-        """The features of the word that the first chunks make, if it is the cheaper reading."""
-        word, apart, pieces = "", 0.0, []
-        best: tuple[float, Counter] = (0.0, Counter())
-        for chunk in chunks:
-            words = self.restorer.chunk(chunk)
-            if len(words) != 1:
-                break
-            pieces += words
-            word += words[0]
-            apart += self.restorer.price(words[0])
-            if len(pieces) > 1 and (found := self.lexicon.count([word])):
-                gain = apart - self.restorer.price(word) - SPLIT * (len(pieces) - 1)
-                if gain <= best[0]:
-                    break
-                # What the pieces tell by themselves is counted already.
-                best = (gain, found - self.lexicon.count(pieces))
-            elif len(pieces) > 1 and word not in self.lexicon.starts:
-                break
-            if chunk[-1:] in _STOPS:
-                break
-        return best[1]
+    def _may_begin(self, pairs: np.ndarray, pieces: list[str], firsts: np.ndarray) -> np.ndarray:
+        """Which pairs of a piece and a chunk may begin as a feature does.
+
+        Told by four letters of both for short pieces, by the letter behind it for others.
+        """
+        lexicon = self.lexicon
+        sizes, codes, nexts = np.zeros((3, len(pieces)), np.uint32)
+        for n, piece in enumerate(pieces):
+            if not piece:
+                continue
+            if len(piece) < BEGINNINGS[0] and piece.isascii():
+                sizes[n], codes[n] = len(piece), int.from_bytes(piece.encode(), "little")
+            nexts[n] = 0xFFFFFFFF if lexicon.holds(piece) else lexicon.next_letters[piece]
+        one, two = np.divmod(pairs, len(pieces))
+        letters = firsts[two]
+        told = letters > 0
+        follows = nexts[one] >> (letters & 255) - 97 & 1
+        short = sizes[one] > 0
+        joined = codes[one] | letters << 8 * sizes[one]
+        fits = np.where(short, np.isin(joined, lexicon.head_codes), follows > 0)
+        return ~told | fits
 
 
 class Scorer:

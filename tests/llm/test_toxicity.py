@@ -226,3 +226,65 @@ def test_counts_of_repeated_and_joined_chunks(model):
     whole = list(t.Measure(t.Restorer(model), features)(pa.array(texts)))
     alone = [next(t.Measure(t.Restorer(model), features)(pa.array([text]))) for text in texts]
     assert whole == alone and sum(found.total() for found in whole) > 300
+
+
+def _joined_plainly(restorer, lexicon, chunks):
+    """Joins one more chunk at a time, pricing the whole word anew."""
+    word, apart, pieces, best = "", 0.0, [], (0.0, Counter())
+    for chunk in chunks:
+        words = restorer.chunk(chunk)
+        if len(words) != 1:
+            break
+        pieces += words
+        word += words[0]
+        apart += restorer.price(words[0])
+        if len(pieces) > 1 and (found := lexicon.count([word])):
+            gain = apart - restorer.price(word) - t.SPLIT * (len(pieces) - 1)
+            if gain <= best[0]:
+                break
+            best = (gain, found - lexicon.count(pieces))
+        elif len(pieces) > 1 and word not in lexicon.starts:
+            break
+        if chunk[-1:] in t._STOPS:
+            break
+    return best[1]
+
+
+def test_pieces_join_as_when_priced_anew(model):
+    rng = random.Random(6)
+    lexicon = t.Lexicon([*BAD, "blor*", "snar*", "snark*", "grumpe*"])
+    some = ["blorf", "bl", "orf", "orfs", "sn", "ark", "arkle", "gr", "umpel", "umpel.", "grum", "the", "a-b", "b"]
+    long = 0
+    for _ in range(300):
+        chunks = [c for _ in range(rng.randint(1, 4)) for c in rng.choices(some, k=2) * rng.randint(1, 9)]
+        restorer = t.Restorer(model)
+        joiner = t.Joiner(restorer, lexicon, chunks, list(range(len(chunks))), {})
+        for at in range(len(chunks)):
+            assert joiner.features(at) == _joined_plainly(restorer, lexicon, chunks[at:])
+        long += bool(joiner.listed)
+    assert long > 5
+
+
+def test_pairs_ruled_out_at_once_begin_no_word(model):
+    features = [*BAD, "snar*", "blor*", "snark*", "öde", "ödes*"]
+    measure = t.Measure(t.Restorer(model), features)
+    pieces = ["b", "bl", "blo", "blor", "blorf", "s", "snar", "sn", "gru", "grum", "grumpe", "ö", "öd", "the"]
+    chunks = [*pieces, "orf", "Rfs,", "lorf", "kle", "umpel", "pel", "le", "es", "essen", "arkle", "zzz", "nark", "l"]
+    starts = [piece if piece in measure.lexicon.starts else "" for piece in pieces]
+    starts += [""] * (len(chunks) - len(pieces))
+    _, firsts = measure._told_at_once(chunks)
+    n = len(chunks)
+    pairs = np.array([a * n + b for a in range(n) if starts[a] for b in range(n)])
+    may = measure._may_begin(pairs, starts, firsts)
+    for pair, fits in zip(pairs.tolist(), may.tolist(), strict=True):
+        word = starts[pair // n] + t._plain_word(chunks[pair % n])
+        assert fits or not (word in measure.lexicon.starts or measure.lexicon.holds(word))
+    assert 0 < may.sum() < len(may) / 2
+
+
+@pytest.mark.parametrize("text", ["blor " * 20_000, "bl or " * 20_000, "blorb lor " * 20_000])
+def test_a_word_in_pieces_over_and_over_takes_linear_time(text):
+    model = _model(PLAIN * 20 + BAD * 10 + ["blorblorblorblorblor"] * 500)
+    begun = time.process_time()
+    list(t.Measure(t.Restorer(model), [*BAD, "blor*", "blorb*"])(pa.array([text])))
+    assert time.process_time() - begun < 20

@@ -36,15 +36,16 @@ MAGIC = b"LMTOKB01"
 BLOCK_IDS = 32_768
 END_ID = 2
 #: Entries of a worker's word cache; it is emptied when full.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 _HEADER = struct.Struct("<8sII")
 _FOOTER = struct.Struct("<QQQQ8s")
 # How word tokenizers with end marks cut texts, and chunks that are surely
 # one run of letters and one of signs under that rule.
 _WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SIMPLE = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<signs>[!-&(-/:;=-@\[-`{}~]*)\z"
-#: Words looked up at a time.
-RUN_WORDS = 2_000_000
+#: Words looked up at a time, and words whose ids are put in a row at a time.
+RUN_WORDS = 1_000_000
+GATHERED = 100_000
 _ENCODERS: dict = {}
 
 
@@ -308,12 +309,26 @@ class WordEncoder:
         for chunks, uses, counts in word_runs(texts, RUN_WORDS):
             places = self._places(chunks)
             self.uses[places] += np.bincount(uses, minlength=len(places))
-            pairs = self.pairs[places][uses]
-            ids = self._gather(pairs.ravel())
-            stops = np.cumsum(np.concatenate([[0], self.sizes[pairs].sum(axis=1)]))
-            docs = np.cumsum(np.concatenate([[0], counts]))
-            for start, stop in zip(docs[:-1], docs[1:], strict=True):
-                yield np.concatenate([ids[stops[start] : stops[stop]], end])
+            stops = np.cumsum(counts)
+            first = 0
+            while first < len(counts):  # some documents at a time, at least one
+                begin = int(stops[first] - counts[first])
+                last = max(first + 1, int(np.searchsorted(stops, begin + GATHERED, "right")))
+                own = places[uses[begin : stops[last - 1]]]
+                yield from self._documents(own, counts[first:last], end)
+                first = last
+            pa.default_memory_pool().release_unused()
+
+    def _documents(
+        self, places: np.ndarray, counts: np.ndarray, end: np.ndarray
+    ) -> Iterator[np.ndarray]:
+        """The ids of documents from the places of their chunks."""
+        pairs = self.pairs[places]
+        ids = self._gather(pairs.ravel())
+        stops = np.cumsum(np.concatenate([[0], self.sizes[pairs].sum(axis=1)]))
+        docs = np.cumsum(np.concatenate([[0], counts]))
+        for start, stop in zip(docs[:-1], docs[1:], strict=True):
+            yield np.concatenate([ids[stops[start] : stops[stop]], end])
 
 
 def splits_at_blanks(description: str) -> bool:

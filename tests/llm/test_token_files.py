@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -118,3 +119,17 @@ def test_a_document_longer_than_a_read(documents):
     rows = [row for batch in batches for row in batch.to_pylist()]
     assert [(r["start"], r["n_tokens"]) for r in rows] == [(10, 1), (11, 70_001)]
     assert rows[1]["ids_crc32"] == zlib.crc32(ids.tobytes())
+
+
+def test_ids_are_gathered_some_documents_at_a_time():
+    """What a batch holds at once does not grow with its words."""
+    encoder = t.WordEncoder(Tokenizer.from_file(FILE), 2)
+    texts = pa.array(["one two three, " * 3_000, "", None, "four"] * 60)
+    list(encoder(texts.slice(0, 4)))
+    tracemalloc.start()
+    sums = [zlib.crc32(ids.tobytes()) for ids in encoder(texts)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+    plain = t.TextEncoder(Tokenizer.from_file(FILE), 2)
+    assert sums == [zlib.crc32(ids.tobytes()) for ids in plain(texts.slice(0, 4))] * 60

@@ -88,12 +88,17 @@ def frequent(counts: DataFrame, column: str, limit: int) -> DataFrame:
 
 
 def word_runs(texts: pa.Array, most: int = 500_000) -> Iterator[tuple]:
+    """``coded_runs`` with the different words as a list of Python strings."""
+    for words, places, counts in coded_runs(texts, most):
+        yield words.to_pylist(), places, counts
+
+
+def coded_runs(texts: pa.Array, most: int) -> Iterator[tuple]:
     """Texts cut at ASCII white space, a run of texts with about ``most`` words at a time.
 
-    Yields ``words, places, counts``: the different words of the run as a list, for each
-    word of the texts its place in that list, and how many words each text has. The work
-    on every word is done by Arrow; only different words become Python strings. Null
-    texts have no words.
+    Yields ``words, places, counts``: the different words of the run, for each word of the
+    texts its place among these, and how many words each text has. The work on every word
+    is done by Arrow. Null texts have no words.
     """
     whole = pc.fill_null(texts, "")
     # A word takes two bytes at least; texts are put together by what they may hold.
@@ -109,5 +114,5 @@ def word_runs(texts: pa.Array, most: int = 500_000) -> Iterator[tuple]:
         kept = np.concatenate([[0], np.cumsum(real)])
         coded = (flat if real.all() else flat.filter(pa.array(real))).dictionary_encode()
         counts = np.diff(kept[offsets - offsets[0]])
-        yield coded.dictionary.to_pylist(), coded.indices.to_numpy(), counts
+        yield coded.dictionary, coded.indices.to_numpy(), counts
         start = stop

@@ -30,22 +30,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer, pre_tokenizers
 
-from leadmill.llm.shared import mapped, scratch, stored, word_runs
+from leadmill.llm.shared import coded_runs, mapped, scratch, stored
 
 MAGIC = b"LMTOKB01"
 BLOCK_IDS = 32_768
 END_ID = 2
-#: Entries of a worker's word cache; it is emptied when full.
-CACHE_WORDS = 300_000
+#: Words a worker remembers; when these are too many, those used most stay.
+CACHE_WORDS = 500_000
 _HEADER = struct.Struct("<8sII")
 _FOOTER = struct.Struct("<QQQQ8s")
 # How word tokenizers with end marks cut texts, and chunks that are surely
 # one run of letters and one of signs under that rule.
 _WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SIMPLE = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<signs>[!-&(-/:;=-@\[-`{}~]*)\z"
-#: Words looked up at a time, and words whose ids are put in a row at a time.
-RUN_WORDS = 1_000_000
+#: Words looked up at a time (a batch of ``mapped``), words whose ids are put in a row at a
+#: time, and words that are encoded at a time.
+RUN_WORDS = 1_500_000
 GATHERED = 100_000
+LEARNED = 16_384
 _ENCODERS: dict = {}
 
 
@@ -182,9 +184,10 @@ class WordEncoder:
     """Encodes texts by their words, each only once as long as it is remembered.
 
     For tokenizers that ``splits_at_blanks`` accepts: a text's ids are those of its
-    chunks between white space. A chunk of letters with signs after it is two
-    words; new words are encoded together and told apart by the ids that end a word.
-    Other chunks are encoded one by one.
+    chunks between white space. A chunk of letters with signs after it is two words, the
+    letters in lower case; Arrow cuts the different chunks of a run, so that only
+    different words are looked up. New words are encoded together and told apart by
+    the ids that end a word. Other chunks are words of their own, encoded one by one.
     """
 
     def __init__(self, tokenizer, end_id: int | None, most: int = CACHE_WORDS):
@@ -206,14 +209,11 @@ class WordEncoder:
         self._start()
 
     def _start(self) -> None:
-        #: The ids of all known words in a row, and where each word's begin and how many.
+        #: The ids of all known words in a row, where each word's begin and how many they
+        #: are, and how often it was used. The empty word is the first.
         self.pool = np.empty(0, np.uint32)
-        self.begins = self.sizes = np.zeros(1, np.int64)
+        self.begins = self.sizes = self.uses = np.zeros(1, np.int64)
         self.words: dict[str, int] = {"": 0}
-        #: The one or two words of each known chunk, and how often it was used.
-        self.chunks: dict[str, int] = {}
-        self.pairs = np.empty((0, 2), np.int64)
-        self.uses = np.empty(0, np.int64)
 
     def _gather(self, words: np.ndarray) -> np.ndarray:
         """The ids of words, one after the other."""
@@ -222,108 +222,96 @@ class WordEncoder:
         return self.pool[shifts + np.arange(len(shifts))]
 
     def _forget(self) -> None:
-        """Keeps the chunks that were used most, at most half of what is allowed."""
+        """Keeps the words that were used most, at most half of what is allowed."""
         places = np.argsort(-self.uses, kind="stable")[: self.most // 2]
-        places = np.sort(places[self.uses[places] > 1])
-        chosen = np.zeros(len(self.uses), dtype=bool)
-        chosen[places] = True
-        names = [c for c, keep in zip(self.chunks, chosen.tolist(), strict=True) if keep]
-        used, pairs = np.unique(self.pairs[places], return_inverse=True)
-        if not len(used) or used[0]:  # the empty word stays the first
-            used, pairs = np.concatenate([[0], used]), pairs + 1
-        ids, sizes = self._gather(used), self.sizes[used]
-        new_place = dict(zip(used.tolist(), range(len(used)), strict=True))
-        words = {
-            word: new_place[at] for word, at in self.words.items() if at in new_place
-        }
-        uses = self.uses[places] // 2
+        keep = np.zeros(len(self.uses), dtype=bool)
+        keep[places] = self.uses[places] > 1
+        keep[0] = True
+        kept = np.flatnonzero(keep)
+        names = [word for word, stays in zip(self.words, keep.tolist(), strict=True) if stays]
+        ids, sizes = self._gather(kept), self.sizes[kept]
         self.pool, self.sizes, self.begins = ids, sizes, np.cumsum(sizes) - sizes
-        self.words, self.uses = words, uses
-        self.pairs = pairs.reshape(-1, 2)
-        self.chunks = {name: at for at, name in enumerate(names)}
+        self.uses = self.uses[kept] // 2
+        self.words = {word: at for at, word in enumerate(names)}
 
-    def _add(self, ids: list[int], sizes: np.ndarray) -> int:
-        """Puts words into the pool; the place of the first."""
+    def _add(self, words: list[str], ids: list[int], sizes: np.ndarray) -> None:
+        """Puts new words behind those that are known."""
         first = len(self.sizes)
         ends = len(self.pool) + np.cumsum(sizes)
         self.pool = np.concatenate([self.pool, np.array(ids, np.uint32)])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.begins = np.concatenate([self.begins, ends - sizes])
-        return first
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int64)])
+        self.words.update(zip(words, range(first, first + len(words)), strict=True))
 
-    def _learn_words(self, words: list[str]) -> None:
-        for at in range(0, len(words), 16384):
-            part = words[at : at + 16384]
-            text = " ".join(part).lower()
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), LEARNED):
+            part = words[at : at + LEARNED]
+            text = " ".join(part)
             joined = self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids
             stops = np.flatnonzero(self.ends[joined]) + 1
             if len(stops) != len(part):
                 raise ValueError("words cannot be told apart by their last ids")
-            first = self._add(joined, np.diff(stops, prepend=0))
-            self.words.update(zip(part, range(first, first + len(part)), strict=True))
-
-    def _learn(self, chunks: list[str]) -> None:
-        cut = pc.extract_regex(pa.array(chunks, pa.string()), _SIMPLE)
-        simple = cut.is_valid().to_numpy(zero_copy_only=False)
-        found = cut.filter(pa.array(simple))
-        both = pa.concat_arrays([found.field(0), found.field(1)]).dictionary_encode()
-        different = both.dictionary.to_pylist()
-        self._learn_words([word for word in different if word not in self.words])
-        known = map(self.words.__getitem__, different)
-        words = np.fromiter(known, np.int64, len(different))[both.indices.to_numpy()]
-        odd = [chunks[at] for at in np.flatnonzero(~simple).tolist()]
-        encoded = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        sizes = np.array([len(part) for part in ids], np.int64)
-        first = self._add(list(chain.from_iterable(ids)), sizes)
-        places = np.zeros((len(chunks), 2), np.int64)
-        places[simple] = words.reshape(2, -1).T
-        places[~simple, 0] = np.arange(first, first + len(odd))
-        held = len(self.chunks)
-        self.chunks.update(zip(chunks, range(held, held + len(chunks)), strict=True))
-        self.pairs = np.concatenate([self.pairs, places])
-        self.uses = np.concatenate([self.uses, np.zeros(len(chunks), np.int64)])
-
-    def _places(self, chunks: list[str]) -> np.ndarray:
-        """The place of each of these different chunks; unknown ones are learned."""
-        places = self._known(chunks)
-        fresh = np.flatnonzero(places < 0)
-        if len(self.chunks) + len(fresh) > self.most:
+            self._add(part, joined, np.diff(stops, prepend=0))
+
+    def _learn_odd(self, chunks: list[str]) -> None:
+        for at in range(0, len(chunks), LEARNED):
+            part = chunks[at : at + LEARNED]
+            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            ids = [e.ids for e in encoded]
+            sizes = np.array([len(own) for own in ids], np.int64)
+            self._add(part, list(chain.from_iterable(ids)), sizes)
+
+    def _known(self, words: list[str]) -> np.ndarray:
+        """The place of each word, -1 for unknown ones."""
+        found = map(self.words.get, words, repeat(-1))
+        return np.fromiter(found, np.int64, len(words))
+
+    def _places(self, chunks: pa.Array, times: np.ndarray) -> np.ndarray:
+        """The places of the two words of each of these different chunks, the second one
+        maybe empty; unknown words are learned. ``times``: how often each is used."""
+        cut = pc.extract_regex(chunks, _SIMPLE)
+        simple = cut.is_valid()
+        letters, signs = pc.struct_field(cut, "word"), pc.struct_field(cut, "signs")
+        # Chunks that are cut otherwise never look like letters or signs only.
+        whole = pc.if_else(simple, pc.utf8_lower(letters), chunks)
+        parts = pa.concat_arrays([whole, pc.fill_null(signs, "")]).dictionary_encode()
+        different, codes = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+        places = self._known(different)
+        if len(self.words) + int((places < 0).sum()) > self.most:
             self._forget()
-            places = self._known(chunks)
-            fresh = np.flatnonzero(places < 0)
+            places = self._known(different)
+        fresh = np.flatnonzero(places < 0)
         if len(fresh):
-            learned = [chunks[at] for at in fresh.tolist()]
-            self._learn(learned)
-            places[fresh] = self._known(learned)
-        return places
-
-    def _known(self, chunks: list[str]) -> np.ndarray:
-        """The place of each chunk, -1 for unknown ones."""
-        found = map(self.chunks.get, chunks, repeat(-1))
-        return np.fromiter(found, np.int64, len(chunks))
+            is_odd = np.zeros(len(different), dtype=bool)
+            odd_chunks = np.flatnonzero(~simple.to_numpy(zero_copy_only=False))
+            is_odd[codes[odd_chunks]] = True
+            self._learn([different[at] for at in fresh[~is_odd[fresh]].tolist()])
+            self._learn_odd([different[at] for at in fresh[is_odd[fresh]].tolist()])
+            places[fresh] = self._known([different[at] for at in fresh.tolist()])
+        used = np.bincount(codes, np.concatenate([times, times]), len(different))
+        self.uses[places] += used.astype(np.int64)
+        return places[codes].reshape(2, -1).T
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         end = np.array(self.end, np.uint32)
         # One run a batch, so that each of its different chunks is looked up once.
-        for chunks, uses, counts in word_runs(texts, RUN_WORDS):
-            places = self._places(chunks)
-            self.uses[places] += np.bincount(uses, minlength=len(places))
+        for chunks, uses, counts in coded_runs(texts, RUN_WORDS):
+            pairs = self._places(chunks, np.bincount(uses, minlength=len(chunks)))
             stops = np.cumsum(counts)
             first = 0
             while first < len(counts):  # some documents at a time, at least one
                 begin = int(stops[first] - counts[first])
                 last = max(first + 1, int(np.searchsorted(stops, begin + GATHERED, "right")))
-                own = places[uses[begin : stops[last - 1]]]
+                own = pairs[uses[begin : stops[last - 1]]]
                 yield from self._documents(own, counts[first:last], end)
                 first = last
             pa.default_memory_pool().release_unused()
 
     def _documents(
-        self, places: np.ndarray, counts: np.ndarray, end: np.ndarray
+        self, pairs: np.ndarray, counts: np.ndarray, end: np.ndarray
     ) -> Iterator[np.ndarray]:
-        """The ids of documents from the places of their chunks."""
-        pairs = self.pairs[places]
+        """The ids of documents from the places of the words of their chunks."""
         ids = self._gather(pairs.ravel())
         stops = np.cumsum(np.concatenate([[0], self.sizes[pairs].sum(axis=1)]))
         docs = np.cumsum(np.concatenate([[0], counts]))

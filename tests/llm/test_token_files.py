@@ -133,3 +133,44 @@ def test_ids_are_gathered_some_documents_at_a_time():
     assert peak < 30 << 20
     plain = t.TextEncoder(Tokenizer.from_file(FILE), 2)
     assert sums == [zlib.crc32(ids.tobytes()) for ids in plain(texts.slice(0, 4))] * 60
+
+
+def test_words_are_encoded_once_in_any_case_and_with_any_signs():
+    """A worker remembers words, not each way to write them with signs."""
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.words = inner, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.words += sum(len(text.split(" ")) for text in texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    letters = "abcdefghij"
+    words = [a + b + c for a in letters for b in letters for c in letters]
+    forms = [w + s for w in words for s in ("", ",", "!?", "...")]
+    forms += [w.title() + s for w in words for s in (".", ":")] + [w.upper() for w in words]
+    encoder = t.WordEncoder(Tokenizer.from_file(FILE), 2, most=1_500)
+    encoder.plain = counting = Counting(encoder.plain)
+    texts = pa.array([" ".join(forms), " ".join(reversed(forms))])
+    got = [ids.tolist() for _ in range(3) for ids in encoder(texts)]
+    plain = t.TextEncoder(Tokenizer.from_file(FILE), 2)
+    assert got == [ids.tolist() for ids in plain(texts)] * 3
+    assert counting.words == len(words) + 5
+
+
+def test_forgotten_words_are_encoded_again():
+    tokenizer = Tokenizer.from_file(FILE)
+    encoder, plain = t.WordEncoder(tokenizer, 2, most=40), t.TextEncoder(tokenizer, 2)
+    random = np.random.default_rng(5)
+    signs = list("aBzÀßÿµ×ñÑ.,'!-_0é§") + ["é", "İ", " ", "\x00", "日"]
+    for _ in range(30):
+        texts = pa.array(
+            [
+                " ".join("".join(random.choice(signs, 4)) for _ in range(random.integers(0, 30)))
+                for _ in range(5)
+            ]
+        )
+        want = [ids.tolist() for ids in plain(texts)]
+        assert [ids.tolist() for ids in encoder(texts)] == want
+        assert len(encoder.words) == len(encoder.sizes) == len(encoder.uses)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.address import address_pieces, merge_address
 from leadmill.functions.amounts import to_money, wide_amount
-from leadmill.functions.identity import hash_of_upper, normalized_id
+from leadmill.functions.identity import hash_of_upper, normalized_id, packed
 from leadmill.functions.names import detect_entity_type
 from leadmill.functions.text import clean_state, clean_text, clean_zip, normalize_name
 from leadmill.sources.mappings import Registry, extract, unregistered
@@ -35,6 +35,9 @@ ORDER = ("ingested_at", "origin", "ingest_seq")
 # of input, and each takes some 150 bytes.
 HOT_ROWS = 1_000_000
 
+# Bits that tell which rows may be duplicates, 32,768 to a bitmap.
+BITS = 1 << 26
+
 
 def not_yet_normalized(raw: DataFrame, normalized: DataFrame) -> DataFrame:
     """Raw rows without a normalized child; rows without an id stay out.
@@ -46,15 +49,57 @@ def not_yet_normalized(raw: DataFrame, normalized: DataFrame) -> DataFrame:
 
 
 def leftover(
-    raw: DataFrame, registry: Registry, normalized: DataFrame
+    raw: DataFrame, registry: Registry, normalized: DataFrame, bits: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``not_yet_normalized`` in two parts: rows of other sources, and duplicates.
 
-    The first have no child for sure and are not shuffled.
+    The first have no child for sure and are not shuffled. With ``bits`` from
+    ``childless_bits`` mostly duplicates are, of the rest.
     """
     known = F.coalesce(F.col("source").isin(*registry), F.lit(False))
     others = raw.where(~known & F.col("id").isNotNull())
-    return others, not_yet_normalized(raw.where(known), normalized)
+    mine = raw.where(known)
+    if bits is None:
+        return others, not_yet_normalized(mine, normalized)
+    # Not an anti join: Spark would do that first, on all rows.
+    children = normalized.select(F.col("raw_record_id").alias("__child"))
+    joined = _with_bit_set(mine, bits).join(children, F.col("id") == F.col("__child"), "left")
+    return others, joined.where(F.col("__child").isNull()).select(*raw.columns)
+
+
+def childless_bits(raw: DataFrame, registry: Registry, normalized: DataFrame) -> DataFrame:
+    """Bitmaps in which every row of a registered source without a child has its bit set.
+
+    Whole rows are wide, so only ids are joined here, as bytes. The bitmaps take eight
+    megabytes at most, whatever the input. The more rows have no child, the more others share
+    their bits; these are told apart by the join of whole rows that follows.
+    """
+    mine = raw.where(F.col("source").isin(*registry) & F.col("id").isNotNull())
+    ids = mine.select(packed(F.col("id")).alias("id"))
+    children = normalized.select(packed(F.col("raw_record_id")).alias("id"))
+    place = _bit_of(F.col("id"))
+    return (
+        ids.join(children, "id", "left_anti")
+        .groupBy(F.bitmap_bucket_number(place).alias("__bitmap"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bits"))
+    )
+
+
+def _bit_of(key: Column) -> Column:
+    """The place of a key among the bits, from 1."""
+    return F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+
+
+def _with_bit_set(raw: DataFrame, bits: DataFrame) -> DataFrame:
+    """The rows whose bit is set; rows without an id stay out."""
+    place = _bit_of(packed(F.col("id")))
+    marked = raw.where(F.col("id").isNotNull()).withColumns(
+        {"__bitmap": F.bitmap_bucket_number(place), "__at": F.bitmap_bit_position(place)}
+    )
+    byte = F.hex(F.substring(F.col("__bits"), F.expr("cast(__at div 8 AS INT) + 1"), F.lit(1)))
+    value = F.conv(byte, 16, 10).cast("int")
+    is_set = F.getbit(value, (F.col("__at") % 8).cast("int")) == 1
+    return marked.join(F.broadcast(bits), "__bitmap").where(is_set).select(*raw.columns)
 
 
 def work_order(raw: DataFrame, slice_rows: int = 100_000) -> DataFrame:

@@ -50,6 +50,8 @@ from leadmill.sources.warehouse import (
 _LEAD_KEYS = ("id", "normalized_record_id", "raw_record_id", "dedup_hash")
 # So many removed ids are broadcast, some 100 MB; more are shuffled.
 MOST_BROADCAST = 500_000
+# So many pushed ids are looked for in all folders before the others.
+PROBED = 10_000
 # How often a job is done again because another one was faster.
 TRIES = 10
 # Results of so many pushes are joined when leads are read; then they are folded in.
@@ -188,7 +190,11 @@ def normalize_new(
         written = store.read(NORMALIZED, [run])
         buckets = store.buckets(state)
         hashed = store.write_hashes(written, buckets)
-        others, doubles = normalize.leftover(seen, registry, written)
+        bits = None
+        if store.count(NORMALIZED, run) > MOST_BROADCAST:  # else their ids may be broadcast
+            found = normalize.childless_bits(seen, registry, written)
+            bits = store.spark.createDataFrame(found.collect(), found.schema)
+        others, doubles = normalize.leftover(seen, registry, written, bits)
         # Rows of other sources stay in the tasks that read them, source by source.
         leftover = others.unionByName(doubles.hint("rebalance", "source"))
         store.write(leftover, LEFTOVER, run)
@@ -448,8 +454,7 @@ def fold_results(store: Warehouse) -> int:
         short = results.withColumn("lead_id", packed(F.col("lead_id")))
         done = short.where("ok").select(F.col("lead_id").alias("id"))
         live = state.live.get(SCORED, [])
-        touched = store.read(LEADS, live, folders=True).select(packed(F.col("id")).alias("id"), "run")
-        folders = sorted(_by_folder(touched.join(done, "id", "left_semi")))
+        folders = _touched(store, live, done)
         stats: dict[str, Any] = {}
         if folders:
             rows = store.read(LEADS, folders)
@@ -471,6 +476,22 @@ def fold_results(store: Warehouse) -> int:
     return _until_committed(store, job)
 
 
+def _touched(store: Warehouse, folders: list[str], done: DataFrame) -> list[str]:
+    """The folders that hold a lead of ``done``, whose ids are packed.
+
+    Some of these ids, broadcast, tell most folders without a shuffle; all of them are
+    joined only to the leads of folders where none of the first was found.
+    """
+    found: set[str] = set()
+    for ids in (F.broadcast(done.limit(PROBED)), done):
+        left = [name for name in folders if name not in found]
+        if left:
+            rows = store.read(LEADS, left, folders=True)
+            short = rows.select(packed(F.col("id")).alias("id"), "run")
+            found |= set(_by_folder(short.join(ids, "id", "left_semi")))
+    return sorted(found)
+
+
 def export_result(pushed: DataFrame, results: DataFrame) -> ExportResult:
     row = export.export_summary(pushed, results).first()
     return ExportResult(row.exported, row.failed, row.total_seen)

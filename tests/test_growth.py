@@ -108,6 +108,50 @@ def test_leftover_keeps_rows_without_a_source(spark):
     assert [r.id for r in others.collect()] == ["n"] and doubles.count() == 0
 
 
+@pytest.mark.parametrize("name", ["{0}", "{0:08x}-0000-4000-8000-00000000abcd"])
+def test_rows_with_children_are_not_shuffled_to_find_duplicates(spark, shuffled_joins, name):
+    ids = [name.format(at) for at in range(400)]
+    raw = _raw(spark, "a", ["Mara"] * 400).toDF("at", *_raw(spark, "a", ["x"]).columns[1:])
+    names = spark.createDataFrame([(f"a{at}", ids[at]) for at in range(400)], "at STRING, id STRING")
+    raw = raw.join(names, "at").select("id", *raw.columns[1:])
+    lost = raw.limit(1).withColumn("id", F.lit(None).cast("string"))
+    raw = raw.unionByName(lost).persist()
+    children = [(one,) for at, one in enumerate(ids) if at % 40]
+    normal = spark.createDataFrame(children, "raw_record_id STRING")
+    found = normalize.childless_bits(raw, REGISTRY, normal)
+    bits = spark.createDataFrame(found.collect(), found.schema)
+    likely = normalize._with_bit_set(raw, bits)
+    assert {r.id for r in likely.collect()} >= set(ids[::40]) and likely.count() < 20
+    others, doubles = normalize.leftover(raw, REGISTRY, normal, bits)
+    assert sorted(r.id for r in doubles.collect()) == sorted(ids[::40])
+    assert doubles.columns == raw.columns and others.count() == 0
+    plan = _plan(normalize.leftover(raw, REGISTRY, normal, bits)[1])
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # filtered first
+    raw.unpersist()
+
+
+def test_leftover_of_many_rows(store, spark, monkeypatch, shuffled_joins):
+    monkeypatch.setattr(jobs, "MOST_BROADCAST", 0)
+    plans = _written(store, monkeypatch)
+    assert _fill(store, spark) == jobs.NormalizeResult(3, 2, 2, 7)
+    assert sorted(r.id for r in store.read(LEFTOVER).collect()) == [
+        "a2", "b0", "other0", "other1"]
+    assert "__bitmap" in plans[LEFTOVER][0]  # whole rows are filtered before their join
+
+
+def test_folders_are_found_by_some_of_the_pushed_ids(store, spark, monkeypatch):
+    _fill(store, spark)
+    held = store.live(LEADS)
+    read = []
+    keep = store.read
+    monkeypatch.setattr(store, "read", lambda *args, **options: read.append(args) or keep(*args, **options))
+    done = keep(LEADS).select(packed(F.col("id")).alias("id"))
+    assert jobs._touched(store, held, done) == sorted(held) and len(read) == 1
+    monkeypatch.setattr(jobs, "PROBED", 0)  # all ids are joined where some were not enough
+    assert jobs._touched(store, held, done) == sorted(held)
+    assert jobs._touched(store, held, done.where("false")) == []
+
+
 def test_duplicates_are_sorted_without_id_and_hash(spark):
     rows = normalize.normalize(_raw(spark, "a", ["Mara", "Felix", "Mara", ""]), REGISTRY)
     below = _plan(rows).split("Exchange")[1]
